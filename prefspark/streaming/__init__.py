@@ -1 +1,6 @@
-"""streaming."""
+"""Structured Streaming operators."""
+
+from prefspark.streaming.prompts import read_prompts_stream
+from prefspark.streaming.sessions import final_sessions, replay_sessions_stream
+
+__all__ = ["final_sessions", "read_prompts_stream", "replay_sessions_stream"]
