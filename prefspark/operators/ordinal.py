@@ -42,8 +42,10 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
 
 
 def _offsets(hist: DataFrame, groups: list[str], buckets: list[str]) -> DataFrame:
+    """Running count before each bucket, and the group total, over the histogram."""
     w = Window.partitionBy(*groups).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
-    return hist.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long"))
+    return hist.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long")).withColumn(
+        "_tot", F.sum("_n").over(Window.partitionBy(*groups)).cast("long"))
 
 
 def exact_ordinal(
@@ -53,12 +55,14 @@ def exact_ordinal(
     out: str = "ordinal",
     partition_by: Sequence[str] = (),
     max_rows: int = BROADCAST_ROWS,
+    total: str | None = None,
 ) -> DataFrame:
     """Position 1..n (per ``partition_by`` group) in the order (buckets, within).
 
     ``buckets`` are named expressions whose order is a prefix of the wanted
     order; each bucket must hold a bounded number of rows (a hash prefix, an
-    input split).
+    input split). ``total`` names a column with the group's row count n, taken
+    from the histogram, so callers need no separate ``count()`` pass.
     """
     names = [n for n, _ in buckets]
     groups = list(partition_by)
@@ -67,7 +71,10 @@ def exact_ordinal(
     offs = _offsets(hist, groups, names).drop("_n")
     joined = join_small(keyed, offs, groups + names, max_rows=max_rows)
     rank = F.row_number().over(Window.partitionBy(*groups, *names).orderBy(*_cols(within)))
-    return joined.withColumn(out, F.col("_off") + rank).drop("_off", *names)
+    joined = joined.withColumn(out, F.col("_off") + rank)
+    if total:
+        joined = joined.withColumnRenamed("_tot", total)
+    return joined.drop("_off", "_tot", *names)
 
 
 def hash_ordinal(
@@ -77,6 +84,7 @@ def hash_ordinal(
     out: str = "ordinal",
     partition_by: Sequence[str] = (),
     digits: int = 4,
+    total: str | None = None,
 ) -> DataFrame:
     """Exact ordinal by a hex hash key: buckets are its first ``digits`` hex digits.
 
@@ -90,6 +98,7 @@ def hash_ordinal(
         [F.col("_h"), *_cols(tie)],
         out=out,
         partition_by=partition_by,
+        total=total,
     )
     return ordered.drop("_h")
 
@@ -113,4 +122,4 @@ def with_row_id(df: DataFrame, out: str = "row_id", max_rows: int = BROADCAST_RO
     offs = _offsets(hist, [], ["_f", "_b"]).drop("_n")
     joined = join_small(base, offs, ["_f", "_b"], max_rows=max_rows)
     rid = F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1)
-    return joined.withColumn(out, rid).drop("_f", "_b", "_m", "_m0", "_off")
+    return joined.withColumn(out, rid).drop("_f", "_b", "_m", "_m0", "_off", "_tot")

@@ -6,7 +6,7 @@ and in any engine that has md5. Positions are exact (see ``ordinal``).
 
 from __future__ import annotations
 
-import math
+import math  # noqa: F401
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,17 +47,21 @@ def train_eval_split(
     """Add ``split`` = ``eval`` for exactly ceil(fraction * n) rows, else ``train``.
 
     Fraction 0 (or less) keeps every row in ``train``. Either part empty
-    raises, as a train/test split of the whole table would.
+    fails the job, as a train/test split of the whole table would. n comes
+    from the ordinal's histogram: no extra pass over the data.
     """
     if fraction <= 0:
         return df.withColumn(out, F.lit("train"))
-    n = df.count()
-    n_eval = eval_size(fraction, n)
-    if n_eval < 1 or n_eval >= n:
-        raise ValueError(f"split of {n} rows by {fraction} leaves a part empty")
-    ranked = hash_ordinal(df, seed_key("split", seed, F.col(row_id)), tie=[row_id], out="_pos")
-    split = F.when(F.col("_pos") <= F.lit(n_eval), F.lit("eval")).otherwise(F.lit("train"))
-    return ranked.withColumn(out, split).drop("_pos")
+    if fraction >= 1:
+        raise ValueError("fraction must be below 1")
+    ranked = hash_ordinal(df, seed_key("split", seed, F.col(row_id)), tie=[row_id], out="_pos", total="_n")
+    n_eval = F.ceil(F.lit(float(fraction)) * F.col("_n"))
+    check = F.when((n_eval < 1) | (n_eval >= F.col("_n")),
+                   F.raise_error(F.concat(F.lit("split by %r leaves a part empty of rows: " % fraction),
+                                          F.col("_n").cast("string"))))
+    split = F.coalesce(check.cast("string"),
+                       F.when(F.col("_pos") <= n_eval, F.lit("eval")).otherwise(F.lit("train")))
+    return ranked.withColumn(out, split).drop("_pos", "_n")
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
@@ -83,17 +87,16 @@ def assign_batches(
     if batch_size < 1 or grad_accum < 1 or epochs < 1:
         raise ValueError("batch_size, grad_accum and epochs must be positive")
     per_step = batch_size * grad_accum
-    n = df.count()
-    steps_per_epoch = -(-n // per_step)
     rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     ranked = hash_ordinal(
         rows, seed_key(seed, F.col("epoch"), F.col(row_id)), tie=[row_id], out="epoch_pos",
-        partition_by=["epoch"],
+        partition_by=["epoch"], total="_n",
     )
+    steps_per_epoch = F.floor((F.col("_n") + F.lit(per_step - 1)) / F.lit(per_step)).cast("long")
     local = F.floor((F.col("epoch_pos") - 1) / per_step).cast("long")
     ranked = ranked.withColumn("step", F.col("epoch") * steps_per_epoch + local).withColumn(
         "micro_batch", F.floor(((F.col("epoch_pos") - 1) % per_step) / batch_size).cast("long")
-    )
+    ).drop("_n")
     if max_steps > 0:
         ranked = ranked.filter(F.col("step") < max_steps)
     return ranked

@@ -147,20 +147,35 @@ def classify_events(
     )
 
 
+CONTROL = ("quit", "clear", "system", "load")
+
+
 def _replay_frames(
     events: DataFrame,
     default_system: str | None,
     saved: DataFrame | None,
     strip_input: bool,
     columns: dict,
-) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    ev = classify_events(events, strip_input=strip_input, **columns)
-    quits = ev.filter(F.col("kind") == "quit").groupBy("session_id").agg(F.min("seq").alias("quit_seq"))
-    ev = ev.join(quits, "session_id", "left")
-    live = F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq"))
-    ev = ev.withColumn("live", live)
+) -> tuple[DataFrame, DataFrame]:
+    """Per-session state and the kept message events.
 
-    loads = None
+    Only control events (``/quit``, ``/clear``, ``/system``, ``/load``, system
+    rows) are aggregated with string values; they are few. Over all events
+    there is one hash aggregate (the session list) and one join of the
+    message events with the per-session state.
+    """
+    ev = classify_events(events, strip_input=strip_input, **columns)
+    ctrl = ev.filter(F.col("kind").isin(*CONTROL))
+    quits = ctrl.filter(F.col("kind") == "quit").groupBy("session_id").agg(F.min("seq").alias("quit_seq"))
+    ctrl = ctrl.join(quits, "session_id", "left").filter(
+        F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq")))
+
+    is_sys = F.col("kind") == "system"
+    cstate = ctrl.groupBy("session_id").agg(
+        F.max(F.when(F.col("kind") == "clear", F.col("seq"))).alias("clear_seq"),
+        F.max(F.when(is_sys, F.col("seq"))).alias("sys_seq"),
+        F.max_by(F.when(is_sys, F.col("arg")), F.when(is_sys, F.col("seq"))).alias("sys_arg"),
+    )
     if saved is not None:
         loaded = saved.select(
             F.col("name").alias("arg"),
@@ -168,21 +183,17 @@ def _replay_frames(
             F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"),
         )
         loads = (
-            ev.filter((F.col("kind") == "load") & F.col("live"))
+            ctrl.filter(F.col("kind") == "load")
             .join(loaded, "arg", "inner")
             .groupBy("session_id")
             .agg(F.max_by(F.struct("seq", "load_system", "load_messages"), F.col("seq")).alias("ld"))
-            .select("session_id", "ld.seq", "ld.load_system", "ld.load_messages")
-            .withColumnRenamed("seq", "load_seq")
+            .select("session_id", F.col("ld.seq").alias("load_seq"), "ld.load_system", "ld.load_messages")
         )
+    else:
+        loads = None
 
-    is_sys = F.col("live") & (F.col("kind") == "system")
-    state = ev.groupBy("session_id").agg(
-        F.max(F.when(F.col("live") & (F.col("kind") == "clear"), F.col("seq"))).alias("clear_seq"),
-        F.max(F.when(is_sys, F.col("seq"))).alias("sys_seq"),
-        F.max_by(F.when(is_sys, F.col("arg")), F.when(is_sys, F.col("seq"))).alias("sys_arg"),
-        F.first("quit_seq").alias("quit_seq"),
-    )
+    state = ev.groupBy("session_id").agg(F.count(F.lit(1)).alias("_events"))
+    state = state.join(quits, "session_id", "left").join(cstate, "session_id", "left")
     if loads is not None:
         state = state.join(loads, "session_id", "left")
     else:
@@ -206,16 +217,19 @@ def _replay_frames(
         "session_id",
         F.when(truthy(sys_value), sys_value).alias("system_prompt"),
         F.col("quit_seq").isNotNull().alias("closed"),
+        "quit_seq",
         reset.alias("reset_seq"),
         F.when(from_load, F.col("load_messages")).otherwise(F.array().cast(MESSAGES)).alias("base_messages"),
     )
+    bounds = state.select("session_id", "quit_seq", "reset_seq")
     kept = (
-        ev.filter(F.col("live") & (F.col("kind") == "message"))
-        .join(state.select("session_id", "reset_seq"), "session_id", "inner")
+        ev.filter(F.col("kind") == "message")
+        .join(bounds, "session_id", "inner")
+        .filter(F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq")))
         .filter(F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
         .select("session_id", "seq", "role", F.col("text").alias("content"))
     )
-    return state, kept, loads
+    return state.drop("quit_seq"), kept
 
 
 def replay_messages(
@@ -230,7 +244,7 @@ def replay_messages(
     Loaded base messages (from ``/load``) come first with the load's ``seq``
     and ``pos`` 0..; logged messages have ``pos`` = 0. Order by (seq, pos).
     """
-    state, kept, _ = _replay_frames(events, default_system, saved, strip_input, columns)
+    state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
     base = state.select(
         "session_id", F.col("reset_seq").alias("seq"), F.posexplode("base_messages").alias("pos", "m")
     ).select("session_id", "seq", "pos", "m.role", F.col("m.content").alias("content"))
@@ -253,7 +267,7 @@ def replay_sessions(
     messages``) has ``name``; ``/save``, ``/history`` and unknown commands
     change nothing; any other user text, and every reply, is a message.
     """
-    state, kept, _ = _replay_frames(events, default_system, saved, strip_input, columns)
+    state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
     entry = F.struct("seq", "role", "content")
     lists = kept.groupBy("session_id").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
     out = state.join(lists, "session_id", "left")

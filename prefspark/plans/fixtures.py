@@ -246,16 +246,16 @@ SESSION_COMMANDS = [
 def session_events(spark, d) -> DataFrame:
     conv = table(spark, d, "conversations")
     base = conv.select(F.col("conv_id").alias("session_id"), (F.col("turn") * 2).alias("seq"), "role", "text")
-    ids = conv.select(F.col("conv_id").alias("session_id")).distinct()
-    extra = [
-        ids.filter(F.col("session_id") % m == r).select(
-            "session_id", F.lit(seq).cast("long").alias("seq"), F.lit("user").alias("role"), F.lit(t).alias("text"))
+    cmds = F.array(*[
+        F.struct(F.lit(m).alias("m"), F.lit(r).alias("r"), F.lit(seq).cast("long").alias("seq"), F.lit(t).alias("text"))
         for m, r, seq, t in SESSION_COMMANDS
-    ]
-    out = base
-    for e in extra:
-        out = out.unionByName(e)
-    return out
+    ])
+    ids = conv.select(F.col("conv_id").alias("session_id")).distinct()
+    extra = ids.select(
+        "session_id",
+        F.explode(F.filter(cmds, lambda c: F.col("session_id") % c["m"] == c["r"])).alias("c"),
+    ).select("session_id", "c.seq", F.lit("user").alias("role"), "c.text")
+    return base.unionByName(extra)
 
 
 def sql_session_events() -> str:

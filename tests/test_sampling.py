@@ -42,8 +42,8 @@ def test_split_exact_disjoint_complete(spark, fraction, n):
 def test_split_zero_and_empty_side(spark):
     df = sampling.train_eval_split(_rows(spark, 10, 2), 0.0)
     assert df.filter("split = 'train'").count() == 10
-    with pytest.raises(ValueError):
-        sampling.train_eval_split(_rows(spark, 1, 1), 0.5)
+    with pytest.raises(Exception, match="leaves a part empty"):
+        sampling.train_eval_split(_rows(spark, 1, 1), 0.5).collect()
 
 
 def test_limit_samples(spark):
