@@ -24,6 +24,43 @@ def _c(c: Column | str) -> Column:
 # --------------------------------------------------------------------------- E1
 
 
+# Most messages in one output row. Longer sessions are cut into parts of
+# consecutive messages, so no task collects an unbounded list.
+PART_SIZE = 1 << 16
+
+
+def chunked_lists(
+    df: DataFrame,
+    key: str,
+    order: str,
+    entry: Column,
+    part_size: int = PART_SIZE,
+    out: str = "_l",
+) -> DataFrame:
+    """Ordered lists of ``entry`` per ``key``: ``(key, part, out)``.
+
+    A key with at most ``part_size`` rows has one list (``part`` 0). A longer
+    one (a hot session) is cut by ``order`` range into about count / part_size
+    parts, each grouped in its own task; its parts concatenated in ``part``
+    order are the whole list. Finding hot keys is a hash aggregate with
+    map-side combining; the hot-key table is broadcast when its checked size
+    allows (at most rows / part_size keys can be hot).
+    """
+    from prefspark.operators.ordinal import join_small
+
+    hot = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+        .filter(F.col("_c") > part_size)
+        .withColumn("_np", F.ceil(F.col("_c") / F.lit(part_size)))
+    )
+    tagged = join_small(df, hot, [key], how="left")
+    width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
+    part = F.when(F.col("_c").isNull(), F.lit(0)).otherwise(
+        F.floor((F.col(order) - F.col("_lo")).cast("double") / width)).cast("long")
+    return tagged.groupBy(key, part.alias("part")).agg(F.array_sort(F.collect_list(entry)).alias(out))
+
+
 def sessions_from_turns(
     turns: DataFrame,
     session: str = "conv_id",
@@ -31,12 +68,17 @@ def sessions_from_turns(
     role: str = "role",
     text: str = "text",
     out: str = "messages",
+    part_size: int = PART_SIZE,
 ) -> DataFrame:
-    """One row per session with its messages ordered by ``order``."""
+    """Messages of each session ordered by ``order``: ``(session, part, messages)``.
+
+    ``part`` is 0 unless the session has more than ``part_size`` messages
+    (see ``chunked_lists``).
+    """
     entry = F.struct(F.col(order).alias("k"), F.col(role).alias("role"), F.col(text).alias("content"))
-    ordered = F.array_sort(F.collect_list(entry))
-    return turns.groupBy(session).agg(
-        F.transform(ordered, lambda e: message(e["role"], e["content"])).alias(out)
+    lists = chunked_lists(turns, session, order, entry, part_size)
+    return lists.select(
+        session, "part", F.transform("_l", lambda e: message(e["role"], e["content"])).alias(out)
     )
 
 
@@ -256,9 +298,10 @@ def replay_sessions(
     default_system: str | None = None,
     saved: DataFrame | None = None,
     strip_input: bool = False,
+    part_size: int = PART_SIZE,
     **columns,
 ) -> DataFrame:
-    """Final state per session: ``(session_id, system_prompt, closed, messages)``.
+    """Final state per session: ``(session_id, part, system_prompt, closed, messages)``.
 
     Rules: blank user text is ignored; ``/quit`` ends the session (later
     events do not count); ``/clear`` empties the messages and keeps the system
@@ -266,18 +309,26 @@ def replay_sessions(
     name`` replaces the session when ``saved`` (``name, system_prompt,
     messages``) has ``name``; ``/save``, ``/history`` and unknown commands
     change nothing; any other user text, and every reply, is a message.
+    A session longer than ``part_size`` messages comes in several parts
+    (``chunked_lists``); ``replay_messages`` gives the same in long form.
     """
+    from prefspark.operators.ordinal import checked_small
+
     state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
-    entry = F.struct("seq", "role", "content")
-    lists = kept.groupBy("session_id").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
-    out = state.join(lists, "session_id", "left")
-    logged = F.transform(F.coalesce(F.col("_l"), F.array()), lambda e: message(e["role"], e["content"]))
-    return out.select(
-        "session_id",
-        "system_prompt",
-        "closed",
-        F.concat(F.col("base_messages"), logged).alias("messages"),
+    state, small = checked_small(state)
+    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size)
+    logged = F.transform("_l", lambda e: message(e["role"], e["content"]))
+    with_msgs = lists.join(F.broadcast(state) if small else state, "session_id", "inner")
+    first = F.col("part") == F.lit(0)
+    with_msgs = with_msgs.select(
+        "session_id", "part", "system_prompt", "closed",
+        F.when(first, F.concat(F.col("base_messages"), logged)).otherwise(logged).alias("messages"),
+    )
+    empty = state.join(lists.select("session_id"), "session_id", "left_anti").select(
+        "session_id", F.lit(0).cast("long").alias("part"), "system_prompt", "closed",
+        F.col("base_messages").alias("messages"),
     )
+    return with_msgs.unionByName(empty)
 
 
 def session_history(

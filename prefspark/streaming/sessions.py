@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from prefspark.functions.chat import message
-from prefspark.operators.sessions import classify_events
+from prefspark.operators.ordinal import checked_small
+from prefspark.operators.sessions import PART_SIZE, chunked_lists, classify_events
 from prefspark.types import MESSAGES
 
 OUTPUT_SCHEMA = (
@@ -100,11 +101,12 @@ def replay_sessions_stream(
     return ev.groupBy("session_id").applyInPandasWithState(fold, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
-def final_sessions(out: DataFrame) -> DataFrame:
+def final_sessions(out: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Final state per session from the stream's output table.
 
     Latest ``state`` row per session, and the messages of its last clear
-    epoch: ``(session_id, system_prompt, closed, messages)``.
+    epoch: ``(session_id, part, system_prompt, closed, messages)``, parts as
+    in the batch replay.
     """
     states = (
         out.filter(F.col("kind") == "state")
@@ -112,13 +114,18 @@ def final_sessions(out: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct("epoch", "system_prompt", "closed"), F.col("version")).alias("s"))
         .select("session_id", "s.epoch", "s.system_prompt", "s.closed")
     )
-    msgs = (
+    states, small = checked_small(states)
+    kept = (
         out.filter(F.col("kind") == "message")
         .select("session_id", "seq", "epoch", "role", "content")
-        .join(states.select("session_id", "epoch"), ["session_id", "epoch"], "inner")
-        .groupBy("session_id")
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "role", "content"))).alias("_l"))
+        .join(F.broadcast(states.select("session_id", "epoch")) if small else states.select("session_id", "epoch"),
+              ["session_id", "epoch"], "inner")
     )
-    joined = states.join(msgs, "session_id", "left")
-    listed = F.transform(F.coalesce(F.col("_l"), F.array()), lambda e: message(e["role"], e["content"]))
-    return joined.select("session_id", "system_prompt", "closed", listed.cast(MESSAGES).alias("messages"))
+    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size)
+    listed = F.transform("_l", lambda e: message(e["role"], e["content"])).cast(MESSAGES)
+    with_msgs = lists.join(F.broadcast(states) if small else states, "session_id", "inner").select(
+        "session_id", "part", "system_prompt", "closed", listed.alias("messages"))
+    empty = states.join(lists.select("session_id"), "session_id", "left_anti").select(
+        "session_id", F.lit(0).cast("long").alias("part"), "system_prompt", "closed",
+        F.array().cast(MESSAGES).alias("messages"))
+    return with_msgs.unionByName(empty)

@@ -131,3 +131,25 @@ def test_replay_has_no_python_and_no_window(spark):
     df = sessions.replay_sessions(_events(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Window" not in plan
+
+
+def test_long_sessions_come_in_bounded_parts(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(0, 200, 2)] + [(2, 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = sessions.sessions_from_turns(turns, part_size=16).orderBy("conv_id", "part").collect()
+    long = [r for r in out if r.conv_id == 1]
+    assert len(long) > 1 and all(len(r.messages) <= 32 for r in long)
+    assert [m.content for r in long for m in r.messages] == [f"m{t}" for t in range(0, 200, 2)]
+    assert [r.part for r in out if r.conv_id == 2] == [0]
+
+
+def test_replay_parts_concatenate_to_whole(spark):
+    rows = [(1, s, "user", f"u{s}") for s in range(1, 120)] + [(1, 50, "user", "/clear")] + EVENTS[:5]
+    rows = [r for r in rows if not (r[0] == 1 and r[1] in (1, 2, 3, 4, 5) and r[3].startswith("u"))]
+    ev = _events(spark, rows)
+    parts = sessions.replay_sessions(ev, part_size=8).orderBy("session_id", "part").collect()
+    merged = {}
+    for r in parts:
+        merged.setdefault(r.session_id, []).extend(m.content for m in r.messages)
+    whole = {k: [m["content"] for m in v[2]] for k, v in _expected(rows).items()}
+    assert merged == whole
