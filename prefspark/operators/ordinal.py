@@ -13,26 +13,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefspark.session import shared_dir
 
-# Largest histogram broadcast to every task; a bigger one is joined by shuffle.
+# Largest derived table broadcast to every task; a bigger one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _cols(cs: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def _row_bytes(df: DataFrame) -> F.Column:
+    """Rough serialized size of each row: string/binary lengths plus 8 bytes a field."""
+    parts = [F.lit(8 * len(df.schema.fields))]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.length(F.col(f.name)), F.lit(0)))
+        elif not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            parts.append(F.coalesce(F.length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
+def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                  max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise a derived table in the shared checkpoint folder and size it.
 
-    Returns the checkpointed table and whether it is small enough to broadcast.
-    The checkpoint also cuts its lineage, so tasks that lose it re-read it.
+    Returns the checkpointed table and whether it is small enough to
+    broadcast: at most ``max_rows`` rows and about ``max_bytes`` bytes. The
+    checkpoint also cuts its lineage, so a lost task re-reads it.
     """
     shared_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
-    return df, df.count() <= max_rows
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return df, n <= max_rows and (size or 0) <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

@@ -85,3 +85,28 @@ def test_ordinal_plan_has_no_single_partition_exchange_over_data(spark):
     data_exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
     assert data_exchanges
     assert not any("SinglePartition" in ln for ln in data_exchanges)
+
+
+def test_checked_small_sizes_by_rows_and_bytes(spark):
+    small = spark.range(10).withColumn("s", F.lit("x" * 10))
+    _, fits = ordinal.checked_small(small)
+    assert fits
+    _, fits = ordinal.checked_small(small, max_rows=5)
+    assert not fits
+    _, fits = ordinal.checked_small(small, max_bytes=100)
+    assert not fits
+
+
+def test_big_histogram_falls_back_to_shuffle_join(spark):
+    df = _rows(spark, 200, 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ordinal.exact_ordinal(df, [("b", F.col("row_id") % 50)], ["row_id"], max_rows=10)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        pos = {r.row_id: r.ordinal for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(pos.values()) == list(range(1, 201))
+    assert pos[50] == 1 and pos[100] == 2
