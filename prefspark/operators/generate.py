@@ -80,6 +80,9 @@ def batch_generate(
 # --------------------------------------------------------------------------- G2
 
 
+HOT_CANDIDATES = 1 << 16
+
+
 def select_candidates(
     df: DataFrame,
     temperature: float = 0.7,
@@ -88,22 +91,45 @@ def select_candidates(
     group: str = "prompt_id",
     cand: str = "cand_id",
     score: str = "score",
+    hot_rows: int = HOT_CANDIDATES,
 ) -> DataFrame:
     """Sampling limits over n-best scored candidates of each prompt.
 
     In sampling order: keep the ``top_k`` best scores (ties by ``cand_id``;
     null or <= 0 keeps all); ``prob`` is the softmax of score / temperature
     over those; the nucleus keeps a candidate while the mass ranked before it
-    is below ``top_p``; ``kept_prob`` renormalises over what stays. The
-    ``row_number <= k`` filter sits right on the ranking window, so Spark cuts
-    each prompt to k rows on the map side before the shuffle.
+    is below ``top_p``; ``kept_prob`` renormalises over what stays.
+
+    With ``top_k`` the ``row_number <= k`` filter sits right on the ranking
+    window, so Spark cuts each prompt to k rows on the map side before the
+    shuffle. Without it, prompts with more than ``hot_rows`` candidates are
+    ranked in score-range buckets (``_select_hot``) instead of one sort.
     """
     if temperature <= 0:
         raise ValueError("temperature must be positive")
+    limited = top_k is not None and top_k > 0
+    if limited:
+        return _select_windowed(df, temperature, top_k, top_p, group, cand, score)
+    from prefspark.operators.ordinal import checked_small
+
+    stats = df.groupBy(group).agg(
+        F.count(F.lit(1)).alias("_c"), F.min(score).alias("_smin"), F.max(score).alias("_smax"))
+    hot, small = checked_small(stats.filter(F.col("_c") > hot_rows))
+    hot_b = F.broadcast(hot) if small else hot
+    normal = df.join(hot_b.select(group), group, "left_anti")
+    out = _select_windowed(normal, temperature, None, top_p, group, cand, score)
+    if hot.isEmpty():
+        return out
+    hot_rows_df = df.join(hot_b, group, "inner")
+    return out.unionByName(
+        _select_hot(hot_rows_df, df.columns, temperature, top_p, group, cand, score, hot_rows))
+
+
+def _select_windowed(df, temperature, top_k, top_p, group, cand, score) -> DataFrame:
     by = Window.partitionBy(group)
     ranked_w = by.orderBy(F.col(score).desc(), F.col(cand))
     x = df.withColumn("rank", F.row_number().over(ranked_w))
-    if top_k is not None and top_k > 0:
+    if top_k is not None:
         x = x.filter(F.col("rank") <= F.lit(top_k))
     x = x.withColumn("_z", F.col(score) / F.lit(float(temperature)))
     x = x.withColumn("_e", F.exp(F.col("_z") - F.max("_z").over(by)))
@@ -114,3 +140,40 @@ def select_candidates(
         x = x.filter(F.col("_before") < F.lit(float(top_p)))
     x = x.withColumn("kept_prob", F.col("prob") / F.sum("prob").over(by))
     return x.drop("_z", "_e", "_before")
+
+
+def _select_hot(df, columns, temperature, top_p, group, cand, score, hot_rows) -> DataFrame:
+    """Rank and running mass for prompts with very many candidates, exactly.
+
+    Candidates are cut into descending score ranges (about count / hot_rows
+    buckets). Softmax terms come from hash aggregates; a histogram per
+    (prompt, bucket), one row per bucket, gives each bucket's rank and mass
+    offsets; rows are then ranked and summed inside their bucket only.
+    """
+    from prefspark.operators.ordinal import join_small
+
+    t = F.lit(float(temperature))
+    zmax = df.groupBy(group).agg((F.max(score) / t).alias("_zmax"))
+    x = join_small(df, zmax, [group])
+    x = x.withColumn("_e", F.exp(F.col(score) / t - F.col("_zmax")))
+    denom = x.groupBy(group).agg(F.sum("_e").alias("_den"))
+    x = join_small(x, denom, [group]).withColumn("prob", F.col("_e") / F.col("_den"))
+    nb = F.ceil(F.col("_c") / F.lit(hot_rows))
+    span = F.col("_smax") - F.col("_smin")
+    bucket = F.when(span <= 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_smax") - F.col(score)) / span * nb), nb - 1)).cast("long")
+    x = x.withColumn("_b", bucket)
+    hist = x.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("prob").alias("_m"))
+    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_roff"),
+                       F.coalesce(F.sum("_m").over(before), F.lit(0.0)).alias("_moff"))
+    x = join_small(x, hist, [group, "_b"])
+    inner = Window.partitionBy(group, "_b").orderBy(F.col(score).desc(), F.col(cand))
+    x = x.withColumn("rank", F.col("_roff") + F.row_number().over(inner))
+    run = F.sum("prob").over(inner.rowsBetween(Window.unboundedPreceding, 0))
+    x = x.withColumn("_before", F.col("_moff") + run - F.col("prob"))
+    if top_p < 1.0:
+        x = x.filter(F.col("_before") < F.lit(float(top_p)))
+    kept = x.groupBy(group).agg(F.sum("prob").alias("_kept"))
+    x = join_small(x, kept, [group]).withColumn("kept_prob", F.col("prob") / F.col("_kept"))
+    return x.select(*columns, "rank", "prob", "kept_prob")

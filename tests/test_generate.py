@@ -64,3 +64,21 @@ def test_select_candidates(spark):
         assert abs(r.kept_prob - 1.0) < 1e-12
     with pytest.raises(ValueError):
         generate.select_candidates(df, temperature=0)
+
+
+@pytest.mark.parametrize("top_p", [1.0, 0.9, 0.5])
+def test_select_candidates_hot_prompts_equal_plain(spark, top_p):
+    import random
+    rnd = random.Random(5)
+    rows = [(1, c, float(rnd.randint(0, 40)) / 4) for c in range(300)]
+    rows += [(2, c, float(rnd.randint(0, 10))) for c in range(7)] + [(3, 0, 1.0)]
+    rows += [(4, c, 2.0) for c in range(20)]
+    df = spark.createDataFrame(rows, "prompt_id long, cand_id long, score double")
+    plain = generate.select_candidates(df, 0.7, None, top_p).collect()
+    hot = generate.select_candidates(df, 0.7, None, top_p, hot_rows=10).collect()
+    key = lambda r: (r.prompt_id, r.cand_id)
+    plain, hot = sorted(plain, key=key), sorted(hot, key=key)
+    assert [key(r) for r in plain] == [key(r) for r in hot]
+    assert [r.rank for r in plain] == [r.rank for r in hot]
+    for a, b in zip(plain, hot):
+        assert abs(a.prob - b.prob) < 1e-12 and abs(a.kept_prob - b.kept_prob) < 1e-9
