@@ -29,7 +29,7 @@ from prefspark.operators.sessions import PART_SIZE, chunked_lists, classify_even
 from prefspark.types import MESSAGES
 
 OUTPUT_SCHEMA = (
-    "session_id long, kind string, version long, seq long, epoch long, role string, content string, "
+    "session_id long, kind string, version long, seq long, pos long, epoch long, role string, content string, "
     "system_prompt string, closed boolean, late long"
 )
 STATE_SCHEMA = "version long, last_seq long, epoch long, sys_set boolean, system_prompt string, closed boolean, late long"
@@ -49,8 +49,8 @@ def _fold(default_system: str | None):
             version, last_seq, epoch, sys_set, sys_prompt, closed, late = 0, None, 0, False, None, False, 0
         events = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
         out = []
-        for seq, kind, role, text, arg in zip(events["seq"], events["kind"], events["role"], events["text"],
-                                              events["arg"]):
+        for ev in events.itertuples(index=False):
+            seq, kind = ev.seq, ev.kind
             if closed:
                 continue
             if last_seq is not None and seq <= last_seq:
@@ -62,13 +62,20 @@ def _fold(default_system: str | None):
             elif kind == "clear":
                 epoch += 1
             elif kind == "system":
-                sys_set, sys_prompt = True, (arg if isinstance(arg, str) and arg else None)
+                sys_set, sys_prompt = True, (ev.arg if isinstance(ev.arg, str) and ev.arg else None)
+            elif kind == "load" and ev.load_found:
+                epoch += 1
+                sys_set, sys_prompt = True, ev.load_system
+                loaded = ev.load_messages if ev.load_messages is not None else []
+                for pos, m in enumerate(loaded):
+                    out.append((sid, "message", version + 1, last_seq, pos, epoch, m["role"], m["content"],
+                                None, None, None))
             elif kind == "message":
-                out.append((sid, "message", version + 1, last_seq, epoch, role, text, None, None, None))
+                out.append((sid, "message", version + 1, last_seq, 0, epoch, ev.role, ev.text, None, None, None))
         version += 1
         shown = sys_prompt if sys_set else default_system
         shown = shown if shown else None
-        out.append((sid, "state", version, last_seq, epoch, None, None, shown, closed, late))
+        out.append((sid, "state", version, last_seq, 0, epoch, None, None, shown, closed, late))
         state.update((version, last_seq, epoch, sys_set, sys_prompt, closed, late))
         yield pd.DataFrame(out, columns=_OUT_COLS)
 
@@ -78,16 +85,30 @@ def _fold(default_system: str | None):
 def replay_sessions_stream(
     events: DataFrame,
     default_system: str | None = None,
+    saved: DataFrame | None = None,
     strip_input: bool = False,
     idle_timeout: str | None = None,
     **columns,
 ) -> DataFrame:
     """Streaming replay: rows of kind ``message`` (accepted messages) and ``state``.
 
+    ``saved`` (``name, system_prompt, messages``, a static table) serves
+    ``/load``: only load events are joined with it (stream-static join).
     ``idle_timeout`` (e.g. ``"1 day"``) drops the state of a session idle that
     long (processing time); without it state is kept for every session.
     """
     ev = classify_events(events, strip_input=strip_input, **columns)
+    no_load = [F.lit(False).alias("load_found"), F.lit(None).cast("string").alias("load_system"),
+               F.lit(None).cast(MESSAGES).alias("load_messages")]
+    if saved is None:
+        ev = ev.select("*", *no_load)
+    else:
+        target = saved.select(F.col("name").alias("arg"), F.lit(True).alias("load_found"),
+                              F.col("system_prompt").alias("load_system"),
+                              F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"))
+        loads = ev.filter(F.col("kind") == "load").join(target, "arg", "left").select(
+            *ev.columns, F.coalesce("load_found", F.lit(False)).alias("load_found"), "load_system", "load_messages")
+        ev = ev.filter(F.col("kind") != "load").select("*", *no_load).unionByName(loads)
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout
     fold = _fold(default_system)
     if idle_timeout:
@@ -117,11 +138,11 @@ def final_sessions(out: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     states, small = checked_small(states)
     kept = (
         out.filter(F.col("kind") == "message")
-        .select("session_id", "seq", "epoch", "role", "content")
+        .select("session_id", "seq", "pos", "epoch", "role", "content")
         .join(F.broadcast(states.select("session_id", "epoch")) if small else states.select("session_id", "epoch"),
               ["session_id", "epoch"], "inner")
     )
-    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size)
+    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "pos", "role", "content"), part_size)
     listed = F.transform("_l", lambda e: message(e["role"], e["content"])).cast(MESSAGES)
     with_msgs = lists.join(F.broadcast(states) if small else states, "session_id", "inner").select(
         "session_id", "part", "system_prompt", "closed", listed.alias("messages"))

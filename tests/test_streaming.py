@@ -71,3 +71,19 @@ def test_prompt_stream_maps_messages(spark, scratch):
     got = spark.table("prompt_stream_out")
     assert got.count() == fx.conversation_messages(spark, SF_SMALL).count()
     assert "prompt" in got.columns
+
+
+def test_stream_replay_with_load_equals_batch(spark, scratch):
+    import test_sessions as ts
+
+    events = spark.createDataFrame(ts.EVENTS, SESSION_EVENT)
+    saved = ts._saved(spark)
+    src = scratch("load-events")
+    events.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(SESSION_EVENT).parquet(src)
+    out_path, ckpt = scratch("load-out"), scratch("load-ckpt")
+    q = (replay_sessions_stream(stream, saved=saved).writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = _as_dict(final_sessions(spark.read.parquet(out_path)))
+    assert got == _as_dict(sessions.replay_sessions(events, saved=saved))
