@@ -126,13 +126,19 @@ def turn_contexts(
     role: str = "role",
     text: str = "text",
     reply_role: str = "assistant",
+    max_context: int | None = None,
 ) -> DataFrame:
     """Every reply with the history it was generated from (all earlier turns).
 
     The context is, by definition, the whole earlier session, so the output
     grows with the square of a session's length, as the model input does.
+    ``max_context`` keeps only the last that many turns (a model context
+    window); the output is then linear in session length.
     """
-    w = Window.partitionBy(session).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    start = Window.unboundedPreceding if max_context is None else -int(max_context)
+    if max_context is not None and max_context < 1:
+        raise ValueError("max_context must be positive")
+    w = Window.partitionBy(session).orderBy(order).rowsBetween(start, -1)
     ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
     return (
         turns.select(session, order, role, text, ctx.alias("context"))

@@ -116,6 +116,8 @@ def test_turn_contexts(spark):
     rows = sessions.turn_contexts(turns).orderBy("turn").collect()
     assert [[m.content for m in r.context] for r in rows] == [["a"], ["a", "b", "c"]]
     assert [r.reply for r in rows] == ["b", "d"]
+    rows = sessions.turn_contexts(turns, max_context=2).orderBy("turn").collect()
+    assert [[m.content for m in r.context] for r in rows] == [["a"], ["b", "c"]]
 
 
 def test_session_json_roundtrip_keeps_null(spark):
