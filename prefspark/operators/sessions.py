@@ -36,6 +36,7 @@ def chunked_lists(
     entry: Column,
     part_size: int = PART_SIZE,
     out: str = "_l",
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Ordered lists of ``entry`` per ``key``: ``(key, part, out)``.
 
@@ -44,16 +45,16 @@ def chunked_lists(
     parts, each grouped in its own task; its parts concatenated in ``part``
     order are the whole list. Finding hot keys is a hash aggregate with
     map-side combining; the hot-key table is broadcast when its checked size
-    allows (at most rows / part_size keys can be hot).
+    allows (at most rows / part_size keys can be hot). ``spans`` (``key, _c,
+    _lo, _hi``: an upper bound on the count and the order range per key)
+    replaces that aggregate when the caller already has it.
     """
     from prefspark.operators.ordinal import join_small
 
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .filter(F.col("_c") > part_size)
-        .withColumn("_np", F.ceil(F.col("_c") / F.lit(part_size)))
-    )
+    if spans is None:
+        spans = df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    hot = spans.filter(F.col("_c") > part_size).withColumn("_np", F.ceil(F.col("_c") / F.lit(part_size)))
     tagged = join_small(df, hot, [key], how="left")
     width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
     part = F.when(F.col("_c").isNull(), F.lit(0)).otherwise(
@@ -240,7 +241,8 @@ def _replay_frames(
     else:
         loads = None
 
-    state = ev.groupBy("session_id").agg(F.count(F.lit(1)).alias("_events"))
+    state = ev.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("_events"), F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
     state = state.join(quits, "session_id", "left").join(cstate, "session_id", "left")
     if loads is not None:
         state = state.join(loads, "session_id", "left")
@@ -268,6 +270,9 @@ def _replay_frames(
         "quit_seq",
         reset.alias("reset_seq"),
         F.when(from_load, F.col("load_messages")).otherwise(F.array().cast(MESSAGES)).alias("base_messages"),
+        F.col("_events").alias("_c"),
+        "_lo",
+        "_hi",
     )
     bounds = state.select("session_id", "quit_seq", "reset_seq")
     kept = (
@@ -280,6 +285,9 @@ def _replay_frames(
     return state.drop("quit_seq"), kept
 
 
+_SPANS = ("_c", "_lo", "_hi")
+
+
 def replay_messages(
     events: DataFrame,
     default_system: str | None = None,
@@ -322,7 +330,9 @@ def replay_sessions(
 
     state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
     state, small = checked_small(state)
-    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size)
+    spans = state.select("session_id", *_SPANS)
+    state = state.drop(*_SPANS)
+    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size, spans=spans)
     logged = F.transform("_l", lambda e: message(e["role"], e["content"]))
     with_msgs = lists.join(F.broadcast(state) if small else state, "session_id", "inner")
     first = F.col("part") == F.lit(0)
