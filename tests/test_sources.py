@@ -103,3 +103,13 @@ def test_write_prepared_and_metrics(spark, scratch):
     writers.write_metrics(writers.metrics_frame(spark, "r1", "train", {"loss": 0.5}), m)
     writers.write_metrics(writers.metrics_frame(spark, "r1", "train", {"loss": 0.4}), m)
     assert spark.read.parquet(m).count() == 2
+
+
+def test_json_messages_mixed_list_and_string_rows(spark, scratch):
+    path = scratch("mixed") + ".jsonl"
+    lines = [json.dumps({"id": 1, "messages": MSG}), json.dumps({"id": 2, "messages": json.dumps(MSG)}),
+             json.dumps({"id": 3, "messages": []})]
+    spark.createDataFrame([(ln,) for ln in lines], "v string").coalesce(1).write.text(path)
+    df = readers.read_prompts(spark, path, schema="id BIGINT, messages STRING", row_id=False)
+    got = {r.id: [m.asDict() for m in r.prompt] for r in prompts.prepare_prompts(df, "messages").collect()}
+    assert got == {1: MSG[:1], 2: MSG[:1], 3: []}
