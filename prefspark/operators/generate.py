@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from prefspark.functions.chat import message, render_messages
 from prefspark.functions.text import is_blank, py_strip
 from prefspark.operators.sessions import build_messages
+from prefspark.session import ship_code
 
 # --------------------------------------------------------------------------- G0
 
@@ -61,6 +62,7 @@ def batch_generate(
     ``make_generator()`` returns ``generate(rendered: pd.Series, seeds:
     pd.Series) -> pd.Series`` of responses; it is built once per Python worker.
     """
+    ship_code(df.sparkSession)
     req = batch_requests(df, prompt, system_prompt, default_system, **template)
     req = req.select(row_id, prompt, "rendered", (F.lit(seed) + F.col(row_id)).cast("long").alias("_seed"))
     key = id(make_generator)

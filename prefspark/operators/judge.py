@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from prefspark.functions.chat import first_user_content, user_messages
 from prefspark.functions.scoring import yes_probability
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE
+from prefspark.session import ship_code
 
 # --------------------------------------------------------------------------- F1
 
@@ -111,6 +112,7 @@ def truncate_input(
         budget = token_budget(max_length, prefix, suffix)
         return df.withColumn(out or col, truncate_expr(F.col(col), budget, prefix, suffix))
     budget = token_budget(max_length, prefix, suffix, lambda s: len(tokenizer(s)))
+    ship_code(df.sparkSession)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _pieces(s: pd.Series) -> pd.Series:
@@ -157,6 +159,7 @@ def score_pairs(
     ``logit_yes`` and ``logit_no``; it is called once per Python worker.
     Adds ``score_a``, ``score_b`` and ``winner``.
     """
+    ship_code(df.sparkSession)
     budget = token_budget(max_length, prefix, suffix)
     q = query_expr(F.col(prompt), df.schema[prompt].dataType)
     staged = df.select(

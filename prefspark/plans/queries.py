@@ -16,6 +16,7 @@ from prefspark.functions.chat import CHATML_END, CHATML_START
 from prefspark.functions.text import PY_SPACE
 from prefspark.operators import generate, judge, objective, ordinal, prompts, sampling, sessions
 from prefspark.plans import fixtures as fx
+from prefspark.plans import models
 from prefspark.plans.fixtures import SQL_SEP, msg_text, sql_msg_text, sql_str
 from prefspark.session import scratch_path
 from prefspark.sources import readers
@@ -296,6 +297,16 @@ def q_replay_sessions(spark, d):
     return _replay_out(sessions.replay_sessions(fx.session_events(spark, d)))
 
 
+@register("replay_messages", f"""
+with ev0 as ({fx.sql_session_events()}),
+{fx.SQL_CLASSIFY}
+select session_id, seq, 0::bigint as pos, role, text as content from msgs
+""")
+def q_replay_messages(spark, d):
+    out = sessions.replay_messages(fx.session_events(spark, d))
+    return out.select("session_id", "seq", big("pos").alias("pos"), "role", "content")
+
+
 @register("session_history", f"""
 with ev1 as ({fx.sql_session_events()}),
 bound as (select session_id, max(seq) // 2 as at_seq from ev1 group by session_id),
@@ -434,6 +445,23 @@ def q_pick_winner(spark, d):
                      big("winner").alias("winner"))
 
 
+_SQL_TRUNC_B = _SQL_TRUNC.replace("completion_a", "completion_b")
+_SQL_LEN_SCORE = "1.0 / (1.0 + exp(length({t}) / 100.0))"
+
+
+@register("score_pairs", f"""
+with {fx.SQL_PAIRS},
+t as (select pair_id, {_SQL_TRUNC} as ta, {_SQL_TRUNC_B} as tb from pairs),
+s as (select pair_id, {_SQL_LEN_SCORE.format(t='ta')} as score_a, {_SQL_LEN_SCORE.format(t='tb')} as score_b from t)
+select pair_id, round(score_a, 6) as score_a, round(score_b, 6) as score_b, ({_SQL_WINNER})::bigint as winner from s
+""")
+def q_score_pairs(spark, d):
+    p = fx.completion_pairs(spark, d).select("pair_id", "prompt", "completion_a", "completion_b")
+    out = judge.score_pairs(p, models.length_scorer, fx.JUDGE_INSTRUCTION, TRUNCATE_LENGTH, JUDGE_PREFIX, JUDGE_SUFFIX)
+    return out.select("pair_id", r6("score_a").alias("score_a"), r6("score_b").alias("score_b"),
+                      big("winner").alias("winner"))
+
+
 def _rubric_pairs(spark, d) -> DataFrame:
     """Completion pairs with rubric-dressed sides, both scored by the rubric."""
     p = fx.completion_pairs(spark, d)
@@ -527,26 +555,53 @@ def q_batch_requests(spark, d):
     return df.select("row_id", "prompt", "rendered")
 
 
-@register("select_candidates", """
+def _sql_candidates(temperature: float, top_k: int | None, top_p: float) -> str:
+    limit = f"where rank <= {top_k}" if top_k else ""
+    return f"""
 with c as (select conv_id as prompt_id, turn as cand_id, length(text) / 300.0 as score from conversations),
 r as (select *, row_number() over (partition by prompt_id order by score desc, cand_id) as rank from c),
-k as (select * from r where rank <= 3),
-p as (select *, exp(score / 0.7 - max(score / 0.7) over (partition by prompt_id)) as e from k),
+k as (select * from r {limit}),
+p as (select *, exp(score / {temperature} - max(score / {temperature}) over (partition by prompt_id)) as e from k),
 q as (select *, e / sum(e) over (partition by prompt_id) as prob from p),
 s as (select *, sum(prob) over (partition by prompt_id order by rank rows between unbounded preceding and current row)
                 - prob as before from q),
-t as (select * from s where before < 0.9)
+t as (select * from s where before < {top_p})
 select prompt_id, cand_id, rank::bigint as rank, round(prob, 6) as prob,
        round(prob / sum(prob) over (partition by prompt_id), 6) as kept_prob from t
-""")
-def q_select_candidates(spark, d):
-    c = fx.table(spark, d, "conversations").select(
+"""
+
+
+def _candidates(spark, d) -> DataFrame:
+    return fx.table(spark, d, "conversations").select(
         F.col("conv_id").alias("prompt_id"), F.col("turn").alias("cand_id"), (F.length("text") / F.lit(300.0)).alias("score"))
-    df = generate.select_candidates(c, temperature=0.7, top_k=3, top_p=0.9)
+
+
+def _candidates_out(df: DataFrame) -> DataFrame:
     return df.select("prompt_id", "cand_id", big("rank").alias("rank"), r6("prob").alias("prob"),
                      r6("kept_prob").alias("kept_prob"))
 
 
+@register("select_candidates", _sql_candidates(0.7, 3, 0.9))
+def q_select_candidates(spark, d):
+    return _candidates_out(generate.select_candidates(_candidates(spark, d), temperature=0.7, top_k=3, top_p=0.9))
+
+
+@register("select_candidates_nucleus", _sql_candidates(0.9, None, 0.9))
+def q_select_candidates_nucleus(spark, d):
+    return _candidates_out(generate.select_candidates(_candidates(spark, d), temperature=0.9, top_k=None, top_p=0.9))
+
+
+@register("batch_generate", f"""
+with {fx.SQL_LINES}
+select row_id::bigint as row_id, prompt, length({_SQL_REQUEST})::varchar || ':' || (7 + row_id)::varchar as response
+from clean
+""")
+def q_batch_generate(spark, d):
+    lines = generate.clean_lines(fx.prompt_line_rows(spark, d))
+    out = generate.batch_generate(lines, models.echo_generator, "prompt", "row_id", None, fx.DEFAULT_SYSTEM, seed=7)
+    return out.select("row_id", "prompt", "response")
+
+
 # =========================================================================== H
 
 

@@ -51,3 +51,39 @@ def local_session(app: str = "prefspark", partitions: int = 8) -> SparkSession:
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
     return spark
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make ``prefspark`` importable in Python workers of this session.
+
+    An installed package needs nothing. A source checkout is zipped once into
+    the shared folder (local file systems only; on a cluster, install the
+    package on the executors) and added with ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_prefspark_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    if "site-packages" in pkg or "dist-packages" in pkg:
+        sc._prefspark_shipped = True
+        return
+    base = shared_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local:
+        sc._prefspark_shipped = True
+        return
+    target = os.path.join(local, "prefspark-code", uuid.uuid4().hex, "prefspark.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w") as z:
+        for d, _, files in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    sc._prefspark_shipped = True

@@ -26,6 +26,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from prefspark.functions.chat import message
 from prefspark.operators.ordinal import checked_small
 from prefspark.operators.sessions import PART_SIZE, chunked_lists, classify_events
+from prefspark.session import ship_code
 from prefspark.types import MESSAGES
 
 OUTPUT_SCHEMA = (
@@ -97,6 +98,7 @@ def replay_sessions_stream(
     ``idle_timeout`` (e.g. ``"1 day"``) drops the state of a session idle that
     long (processing time); without it state is kept for every session.
     """
+    ship_code(events.sparkSession)
     ev = classify_events(events, strip_input=strip_input, **columns)
     no_load = [F.lit(False).alias("load_found"), F.lit(None).cast("string").alias("load_system"),
                F.lit(None).cast(MESSAGES).alias("load_messages")]
