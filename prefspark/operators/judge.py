@@ -285,6 +285,7 @@ def pair_completions(
 
 def winner_expr(a: Column, b: Column) -> Column:
     """0 when a >= b, else 1, with Python's NaN rule (any NaN: 1); null fails."""
+    a, b = a.cast("double"), b.cast("double")
     return (
         F.when(a.isNull() | b.isNull(), F.raise_error(F.lit("null score")))
         .when(F.isnan(a) | F.isnan(b), F.lit(1))

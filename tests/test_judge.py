@@ -21,6 +21,8 @@ def test_judge_query_forms(spark):
     df = spark.createDataFrame(list(enumerate(cases)), f"id long, prompt {MESSAGES.simpleString()}")
     got = [r.query for r in judge.judge_query(df).orderBy("id").collect()]
     assert got == [folds.judge_query(c) for c in cases]
+    last = [r.query for r in judge.judge_query(df, turn="last").orderBy("id").collect()]
+    assert last[0] == "u2" and last[1] == "s" and last[2] == "[]"
     s = spark.createDataFrame([(0, "plain")], "id long, prompt string")
     assert judge.judge_query(s).first().query == "plain"
 
@@ -54,6 +56,8 @@ def test_pick_winner_python_rules(spark):
     rows = [(1.0, 1.0), (2.0, 1.0), (1.0, 2.0), (nan, 1.0), (1.0, nan), (nan, nan)]
     df = spark.createDataFrame(rows, "score_a double, score_b double")
     assert [r.winner for r in judge.pick_winner(df).collect()] == [folds.winner(a, b) for a, b in rows]
+    ints = spark.createDataFrame([(1, 0), (0, 1), (1, 1)], "score_a int, score_b int")
+    assert [r.winner for r in judge.pick_winner(ints).collect()] == [0, 1, 0]
     with pytest.raises(Exception, match="null score"):
         judge.pick_winner(spark.createDataFrame([(None, 1.0)], "score_a double, score_b double")).collect()
 
