@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import message, render_messages
+from prefspark.operators.segments import PART_SIZE, hot_parts
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE, is_blank, py_strip, truthy
 from prefspark.types import MESSAGES, SESSION
 
@@ -24,11 +25,6 @@ def _c(c: Column | str) -> Column:
 # --------------------------------------------------------------------------- E1
 
 
-# Most messages in one output row. Longer sessions are cut into parts of
-# consecutive messages, so no task collects an unbounded list.
-PART_SIZE = 1 << 16
-
-
 def chunked_lists(
     df: DataFrame,
     key: str,
@@ -40,26 +36,12 @@ def chunked_lists(
 ) -> DataFrame:
     """Ordered lists of ``entry`` per ``key``: ``(key, part, out)``.
 
-    A key with at most ``part_size`` rows has one list (``part`` 0). A longer
-    one (a hot session) is cut by ``order`` range into about count / part_size
-    parts, each grouped in its own task; its parts concatenated in ``part``
-    order are the whole list. Finding hot keys is a hash aggregate with
-    map-side combining; the hot-key table is broadcast when its checked size
-    allows (at most rows / part_size keys can be hot). ``spans`` (``key, _c,
-    _lo, _hi``: an upper bound on the count and the order range per key)
-    replaces that aggregate when the caller already has it.
+    A key with at most ``part_size`` rows has one list (``part`` 0); a hot
+    one comes in parts grouped by separate tasks (``segments.hot_parts``),
+    whose lists concatenated in ``part`` order are the whole list.
     """
-    from prefspark.operators.ordinal import join_small
-
-    if spans is None:
-        spans = df.groupBy(key).agg(
-            F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    hot = spans.filter(F.col("_c") > part_size).withColumn("_np", F.ceil(F.col("_c") / F.lit(part_size)))
-    tagged = join_small(df, hot, [key], how="left")
-    width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
-    part = F.when(F.col("_c").isNull(), F.lit(0)).otherwise(
-        F.floor((F.col(order) - F.col("_lo")).cast("double") / width)).cast("long")
-    return tagged.groupBy(key, part.alias("part")).agg(F.array_sort(F.collect_list(entry)).alias(out))
+    parts = hot_parts(df, key, order, part_size, spans)
+    return parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias(out))
 
 
 def sessions_from_turns(

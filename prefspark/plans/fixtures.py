@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from prefspark.functions.chat import message
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE
 from prefspark.operators.ordinal import with_row_id
+from prefspark.operators.segments import shift_within
 from prefspark.operators.sessions import sessions_from_turns
 
 SEP = "\x1f"
@@ -76,13 +77,13 @@ def completion_pairs(spark, d) -> DataFrame:
     """Each assistant turn paired with the next assistant turn of its conversation.
 
     ``pair_id`` is the row id of the first turn; ``prompt`` the turn before it.
+    Lag and lead run per conversation part (``shift_within``), so a very long
+    conversation is not sorted in one task.
     """
     rows = conversation_rows(spark, d)
-    conv = Window.partitionBy("conv_id").orderBy("turn")
-    rows = rows.withColumn("prompt", F.lag("text").over(conv))
+    rows = shift_within(rows, "conv_id", "turn", ["text"], 1, ["prompt"])
     asst = rows.filter(F.col("role") == "assistant")
-    nxt = Window.partitionBy("conv_id").orderBy("turn")
-    asst = asst.withColumn("completion_b", F.lead("text").over(nxt)).withColumn("turn_b", F.lead("turn").over(nxt))
+    asst = shift_within(asst, "conv_id", "turn", ["text", "turn"], -1, ["completion_b", "turn_b"])
     return asst.filter(F.col("completion_b").isNotNull()).select(
         F.col("row_id").alias("pair_id"), "conv_id", "turn", "turn_b", "prompt",
         F.col("text").alias("completion_a"), "completion_b",
