@@ -9,7 +9,7 @@ row's position is its bucket offset plus its rank inside the bucket.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -142,3 +142,38 @@ def with_row_id(df: DataFrame, out: str = "row_id", max_rows: int = BROADCAST_RO
     joined = join_small(base, offs, ["_f", "_b"], max_rows=max_rows)
     rid = F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1)
     return joined.withColumn(out, rid).drop("_f", "_b", "_m", "_m0", "_off", "_tot")
+
+
+def hash_first(
+    df: DataFrame,
+    key: Column,
+    tie: Sequence[Column | str],
+    count: Callable[[Column], Column],
+    out: str = "first",
+    digits: int = 4,
+    check: Callable[[Column, Column], Column] | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Flag the first ``count(n)`` rows in (hash key, tie) order, without ranking all rows.
+
+    The bucket histogram settles every bucket that lies wholly before or after
+    the cut; only the one bucket the cut falls in is shuffled and ranked
+    (about n / 16**digits rows). ``count`` maps the total n (a column) to the
+    number wanted; ``check(n, k)`` may return a column that raises on bad sizes.
+    """
+    keyed = df.select("*", key.alias("_h")).withColumn("_hb", F.substring("_h", 1, digits))
+    hist = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_n"))
+    offs = _offsets(hist, [], ["_hb"])
+    k = count(F.col("_tot"))
+    where = (F.when(F.col("_off") + F.col("_n") <= k, F.lit(1))
+             .when(F.col("_off") >= k, F.lit(0))
+             .otherwise(F.lit(-1)))
+    guard = check(F.col("_tot"), k) if check is not None else F.lit(None)
+    offs = offs.select("_hb", where.alias("_where"), (k - F.col("_off")).alias("_need"), guard.alias("_guard"))
+    x = join_small(keyed, offs, ["_hb"], max_rows=max_rows)
+    x = x.withColumn("_where", F.coalesce(F.col("_guard").cast("int"), F.col("_where")))
+    settled = x.filter(F.col("_where") >= 0).withColumn(out, F.col("_where") == 1)
+    rank = F.row_number().over(Window.partitionBy("_hb").orderBy(F.col("_h"), *_cols(tie)))
+    cut = x.filter(F.col("_where") < 0).withColumn(out, rank <= F.col("_need"))
+    helpers = ["_h", "_hb", "_where", "_need", "_guard"]
+    return settled.unionByName(cut).drop(*helpers)

@@ -11,7 +11,7 @@ import math  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.operators.ordinal import hash_ordinal
+from prefspark.operators.ordinal import hash_first, hash_ordinal
 
 
 def seed_key(*parts: Column | str | int) -> Column:
@@ -47,21 +47,25 @@ def train_eval_split(
     """Add ``split`` = ``eval`` for exactly ceil(fraction * n) rows, else ``train``.
 
     Fraction 0 (or less) keeps every row in ``train``. Either part empty
-    fails the job, as a train/test split of the whole table would. n comes
-    from the ordinal's histogram: no extra pass over the data.
+    fails the job, as a train/test split of the whole table would. The eval
+    rows are the first ceil(fraction * n) by md5("split:seed:row_id"); n and
+    the cut come from the hash-bucket histogram (``hash_first``), so only the
+    bucket the cut falls in is shuffled.
     """
     if fraction <= 0:
         return df.withColumn(out, F.lit("train"))
     if fraction >= 1:
         raise ValueError("fraction must be below 1")
-    ranked = hash_ordinal(df, seed_key("split", seed, F.col(row_id)), tie=[row_id], out="_pos", total="_n")
-    n_eval = F.ceil(F.lit(float(fraction)) * F.col("_n"))
-    check = F.when((n_eval < 1) | (n_eval >= F.col("_n")),
-                   F.raise_error(F.concat(F.lit("split by %r leaves a part empty of rows: " % fraction),
-                                          F.col("_n").cast("string"))))
-    split = F.coalesce(check.cast("string"),
-                       F.when(F.col("_pos") <= n_eval, F.lit("eval")).otherwise(F.lit("train")))
-    return ranked.withColumn(out, split).drop("_pos", "_n")
+    f = float(fraction)
+
+    def bad(n, k):
+        msg = F.concat(F.lit(f"split by {fraction!r} leaves a part empty of rows: "), n.cast("string"))
+        return F.when((k < 1) | (k >= n), F.raise_error(msg))
+
+    marked = hash_first(df, seed_key("split", seed, F.col(row_id)), [row_id],
+                        lambda n: F.ceil(F.lit(f) * n), out="_eval", check=bad)
+    split = F.when(F.col("_eval"), F.lit("eval")).otherwise(F.lit("train"))
+    return marked.withColumn(out, split).drop("_eval")
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
