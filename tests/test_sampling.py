@@ -110,3 +110,13 @@ def test_big_histogram_falls_back_to_shuffle_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert sorted(pos.values()) == list(range(1, 201))
     assert pos[50] == 1 and pos[100] == 2
+
+
+@pytest.mark.parametrize("k,digits", [(0, 4), (1, 4), (37, 1), (150, 2), (400, 4)])
+def test_hash_first_equals_full_ranking(spark, k, digits):
+    df = _rows(spark, 400, 4)
+    key = sampling.seed_key(9, F.col("row_id"))
+    flags = {r.row_id: r.first for r in ordinal.hash_first(df, key, ["row_id"], lambda n: F.lit(k), digits=digits).collect()}
+    pos = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, key, ["row_id"]).collect()}
+    assert len(flags) == 400
+    assert flags == {i: pos[i] <= k for i in pos}
