@@ -40,18 +40,25 @@ def _row_bytes(df: DataFrame) -> F.Column:
     return total.cast("long")
 
 
-def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                  max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Materialise a derived table in the shared checkpoint folder and size it.
+def checked_table(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Materialise a derived table in the shared checkpoint folder: (table, rows, ~bytes).
 
-    Returns the checkpointed table and whether it is small enough to
-    broadcast: at most ``max_rows`` rows and about ``max_bytes`` bytes. The
-    checkpoint also cuts its lineage, so a lost task re-reads it.
+    The checkpoint also cuts its lineage, so a lost task re-reads it.
     """
     shared_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
-    return df, n <= max_rows and (size or 0) <= max_bytes
+    return df, int(n), int(size or 0)
+
+
+def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                  max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Checkpointed table and whether it is small enough to broadcast.
+
+    Small means at most ``max_rows`` rows and about ``max_bytes`` bytes.
+    """
+    df, n, size = checked_table(df)
+    return df, n <= max_rows and size <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.operators.ordinal import checked_small, join_small
+from prefspark.operators.ordinal import BROADCAST_BYTES, BROADCAST_ROWS, checked_small, checked_table
 
 PART_SIZE = 1 << 16
 
@@ -27,7 +27,18 @@ def hot_parts(
     part_size: int = PART_SIZE,
     spans: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` plus ``part`` (0 unless the group is hot) and ``_hot``.
+    """``df`` plus ``part`` (0 unless the group is hot) and ``_hot``."""
+    return split_hot(df, key, order, part_size, spans)[0]
+
+
+def split_hot(
+    df: DataFrame,
+    key: str,
+    order: str,
+    part_size: int = PART_SIZE,
+    spans: DataFrame | None = None,
+) -> tuple[DataFrame, bool]:
+    """``hot_parts`` and whether any group is hot (if none, no join is added).
 
     ``spans`` (``key, _c, _lo, _hi``: an upper bound on the row count and the
     order range per group) replaces the aggregate when the caller has it.
@@ -37,11 +48,16 @@ def hot_parts(
             F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
     hot = spans.filter(F.col("_c") > part_size).select(
         key, "_lo", "_hi", F.ceil(F.col("_c") / F.lit(part_size)).alias("_np"))
-    tagged = join_small(df, hot, [key], how="left")
+    hot, n_hot, size = checked_table(hot)
+    if n_hot == 0:
+        return df.withColumn("part", F.lit(0).cast("long")).withColumn("_hot", F.lit(False)), False
+    small = n_hot <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    tagged = df.join(F.broadcast(hot) if small else hot, [key], "left")
     width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
     part = F.when(F.col("_np").isNull(), F.lit(0)).otherwise(
         F.floor((F.col(order) - F.col("_lo")).cast("double") / width)).cast("long")
-    return tagged.withColumn("part", part).withColumn("_hot", F.col("_np").isNotNull()).drop("_lo", "_hi", "_np")
+    tagged = tagged.withColumn("part", part).withColumn("_hot", F.col("_np").isNotNull())
+    return tagged.drop("_lo", "_hi", "_np"), True
 
 
 def shift_within(
@@ -62,8 +78,10 @@ def shift_within(
     if offset not in (1, -1):
         raise ValueError("offset must be 1 (lag) or -1 (lead)")
     names = list(names or [f"{'prev' if offset == 1 else 'next'}_{c}" for c in cols])
-    x = hot_parts(df, group, order, part_size)
+    x, any_hot = split_hot(df, group, order, part_size)
     w = Window.partitionBy(group, "part").orderBy(F.col(order) if offset == 1 else F.col(order).desc())
+    if not any_hot:
+        return x.select(*df.columns, *[F.lag(c).over(w).alias(n) for c, n in zip(cols, names)])
     edge_row = F.row_number().over(w) == 1
     vals = F.struct(*[F.col(c) for c in cols])
     pick = F.max_by if offset == 1 else F.min_by
