@@ -1,0 +1,72 @@
+"""Random inputs, many cases per Spark job, checked against the Python folds."""
+
+import random
+
+from prefspark.operators import generate, judge, prompts, sessions
+from prefspark.types import MESSAGES
+
+import folds
+
+SPACES = ["", " ", "\t", "　", "\xa0", " ", "\n", "\x1f", "​"]
+TEXTS = ["hi", "/clear", "/CLEAR", "/Clear now", "/system", "/system be kind", "/system  two  ", "/quit",
+         "/QUIT please", "/save f", "/history", "/load x", "/unknown", " /clear", "   ", "", "　",
+         "ok then", "/", "/system　wide", "/system\tx\ty"]
+ROLES = ["user"] * 6 + ["assistant"] * 3 + ["system", "tool"]
+
+
+def _pad(rnd, t):
+    return rnd.choice(SPACES) + t + rnd.choice(SPACES)
+
+
+def test_replay_random_sessions(spark):
+    rnd = random.Random(11)
+    rows = []
+    for sid in range(300):
+        seqs = rnd.sample(range(1, 60), rnd.randint(0, 14))
+        for seq in seqs:
+            rows.append((sid, seq, rnd.choice(ROLES), _pad(rnd, rnd.choice(TEXTS)) if rnd.random() < 0.3
+                         else rnd.choice(TEXTS)))
+    df = spark.createDataFrame(rows, "session_id long, seq long, role string, text string")
+    for default in (None, "dflt"):
+        got = {r.session_id: (r.system_prompt, r.closed, [(m.role, m.content) for m in r.messages])
+               for r in sessions.replay_sessions(df, default_system=default).collect()}
+        by = {}
+        for sid, seq, role, text in rows:
+            by.setdefault(sid, []).append((seq, role, text))
+        exp = {}
+        for sid, ev in by.items():
+            sp, closed, msgs = folds.replay(ev, default)
+            exp[sid] = (sp, closed, [(m["role"], m["content"]) for m in msgs])
+        assert got == exp
+
+
+def test_clean_lines_random(spark):
+    rnd = random.Random(5)
+    lines = ["".join(rnd.choice(SPACES + ["a", "b c", "é", "​"]) for _ in range(rnd.randint(0, 6)))
+             for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(lines)), "row_id long, value string")
+    got = [r.prompt for r in generate.clean_lines(df).orderBy("row_id").collect()]
+    assert got == [s.strip() for s in lines if s.strip()]
+
+
+def _rand_messages(rnd):
+    return [{"role": rnd.choice(["user", "assistant", "system", None]), "content": rnd.choice(["a", "b", None, ""])}
+            for _ in range(rnd.randint(0, 5))]
+
+
+def test_messages_and_judge_query_random(spark):
+    rnd = random.Random(7)
+    cases = [_rand_messages(rnd) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(cases)), f"id long, messages {MESSAGES.simpleString()}")
+    out = prompts.messages_to_prompt(df).orderBy("id").collect()
+    assert [[m.asDict() for m in r.prompt] for r in out] == [folds.messages_to_prompt(c) for c in cases]
+    q = judge.judge_query(df, "messages").orderBy("id").collect()
+    assert [r.query for r in q] == [folds.judge_query(c) for c in cases]
+
+
+def test_winner_random(spark):
+    rnd = random.Random(3)
+    vals = [float("nan"), 0.0, 1.0, -1.0, 0.5]
+    rows = [(rnd.choice(vals), rnd.choice(vals)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "score_a double, score_b double")
+    assert [r.winner for r in judge.pick_winner(df).collect()] == [folds.winner(a, b) for a, b in rows]
