@@ -88,15 +88,19 @@ def replay_sessions_stream(
     default_system: str | None = None,
     saved: DataFrame | None = None,
     strip_input: bool = False,
-    idle_timeout: str | None = None,
+    idle_timeout_ms: int | None = None,
     **columns,
 ) -> DataFrame:
     """Streaming replay: rows of kind ``message`` (accepted messages) and ``state``.
 
     ``saved`` (``name, system_prompt, messages``, a static table) serves
     ``/load``: only load events are joined with it (stream-static join).
-    ``idle_timeout`` (e.g. ``"1 day"``) drops the state of a session idle that
-    long (processing time); without it state is kept for every session.
+    ``idle_timeout_ms`` drops the state of a session idle that many
+    milliseconds (processing time); without it state is kept for every
+    session. Timeouts need a continuously running query (a ``processingTime``
+    trigger): Spark keeps running timeout batches, so ``availableNow`` would
+    not end. For many sessions use the RocksDB state store provider
+    (``spark.sql.streaming.stateStore.providerClass``); the fold runs unchanged.
     """
     ship_code(events.sparkSession)
     ev = classify_events(events, strip_input=strip_input, **columns)
@@ -111,14 +115,14 @@ def replay_sessions_stream(
         loads = ev.filter(F.col("kind") == "load").join(target, "arg", "left").select(
             *ev.columns, F.coalesce("load_found", F.lit(False)).alias("load_found"), "load_system", "load_messages")
         ev = ev.filter(F.col("kind") != "load").select("*", *no_load).unionByName(loads)
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
     fold = _fold(default_system)
-    if idle_timeout:
+    if idle_timeout_ms:
         inner = fold
 
         def fold(key, batches, state):  # noqa: F811
             if not state.hasTimedOut:
-                state.setTimeoutDuration(idle_timeout)
+                state.setTimeoutDuration(int(idle_timeout_ms))
             yield from inner(key, batches, state)
 
     return ev.groupBy("session_id").applyInPandasWithState(fold, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)

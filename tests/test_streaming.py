@@ -87,3 +87,46 @@ def test_stream_replay_with_load_equals_batch(spark, scratch):
     q.awaitTermination(600)
     got = _as_dict(final_sessions(spark.read.parquet(out_path)))
     assert got == _as_dict(sessions.replay_sessions(events, saved=saved))
+
+
+def _replay_to(spark, scratch, events, name, trigger, **kw):
+    src = scratch(f"{name}-events")
+    events.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(SESSION_EVENT).parquet(src)
+    out_path, ckpt = scratch(f"{name}-out"), scratch(f"{name}-ckpt")
+    w = (replay_sessions_stream(stream, **kw).writeStream.format("parquet")
+         .option("path", out_path).option("checkpointLocation", ckpt))
+    if trigger == "availableNow":
+        q = w.trigger(availableNow=True).start()
+        assert q.awaitTermination(300)
+    else:
+        import time
+
+        q = w.trigger(processingTime="1 second").start()
+        deadline = time.time() + 120
+        try:
+            while time.time() < deadline:
+                done = [p for p in q.recentProgress if p["numInputRows"] > 0]
+                if done and q.lastProgress["batchId"] > done[-1]["batchId"]:
+                    break
+                time.sleep(1)
+        finally:
+            q.stop()
+    return spark.read.parquet(out_path)
+
+
+def test_stream_replay_on_rocksdb(spark, scratch):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        events = fx.session_events(spark, SF_SMALL)
+        out = _replay_to(spark, scratch, events, "rocks", "availableNow")
+        assert _as_dict(final_sessions(out)) == _as_dict(sessions.replay_sessions(events))
+    finally:
+        spark.conf.unset(key)
+
+
+def test_stream_replay_with_idle_timeout(spark, scratch):
+    events = fx.session_events(spark, SF_SMALL)
+    out = _replay_to(spark, scratch, events, "idle", "processingTime", idle_timeout_ms=3_600_000)
+    assert _as_dict(final_sessions(out)) == _as_dict(sessions.replay_sessions(events))
