@@ -6,8 +6,6 @@ and in any engine that has md5. Positions are exact (see ``ordinal``).
 
 from __future__ import annotations
 
-import math  # noqa: F401
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +30,6 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, row_id: str = "row_id", out: s
     return hash_ordinal(df, seed_key(seed, F.col(row_id)), tie=[row_id], out=out)
 
 
-def eval_size(fraction: float, n: int) -> int:
-    """Rows in the eval part: ceil(fraction * n)."""
-    return int(math.ceil(fraction * n))
-
-
 def train_eval_split(
     df: DataFrame,
     fraction: float = 0.1,

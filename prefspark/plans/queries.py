@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import CHATML_END, CHATML_START
-from prefspark.functions.text import PY_SPACE
 from prefspark.operators import generate, judge, objective, ordinal, prompts, sampling, sessions
 from prefspark.plans import fixtures as fx
 from prefspark.plans import models

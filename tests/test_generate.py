@@ -1,6 +1,5 @@
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from prefspark.operators import generate
 

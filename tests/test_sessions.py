@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from prefspark.operators import sessions
 from prefspark.types import MESSAGES
