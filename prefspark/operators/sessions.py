@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import message, render_messages
-from prefspark.operators.segments import PART_SIZE, hot_parts
+from prefspark.operators.segments import PART_SIZE, hot_parts, split_hot
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE, is_blank, py_strip, truthy
 from prefspark.types import MESSAGES, SESSION
 
@@ -110,24 +110,64 @@ def turn_contexts(
     text: str = "text",
     reply_role: str = "assistant",
     max_context: int | None = None,
+    part_size: int = PART_SIZE,
 ) -> DataFrame:
     """Every reply with the history it was generated from (all earlier turns).
 
     The context is, by definition, the whole earlier session, so the output
     grows with the square of a session's length, as the model input does.
     ``max_context`` keeps only the last that many turns (a model context
-    window); the output is then linear in session length.
+    window); the output is then linear, and sessions longer than
+    ``part_size`` are windowed in parts (``_bounded_contexts_hot``).
     """
-    start = Window.unboundedPreceding if max_context is None else -int(max_context)
     if max_context is not None and max_context < 1:
         raise ValueError("max_context must be positive")
-    w = Window.partitionBy(session).orderBy(order).rowsBetween(start, -1)
+    start = Window.unboundedPreceding if max_context is None else -int(max_context)
+    cols = [session, order, "context", F.col(text).alias("reply")]
+    if max_context is None:
+        w = Window.partitionBy(session).orderBy(order).rowsBetween(start, -1)
+        ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
+        return (turns.select(session, order, role, text, ctx.alias("context"))
+                .filter(F.col(role) == reply_role).select(*cols))
+    x, any_hot = split_hot(turns.select(session, order, role, text), session, order, part_size)
+    w = Window.partitionBy(session, "part").orderBy(order).rowsBetween(start, -1)
     ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
-    return (
-        turns.select(session, order, role, text, ctx.alias("context"))
-        .filter(F.col(role) == reply_role)
-        .select(session, order, "context", F.col(text).alias("reply"))
-    )
+    normal = x.filter(~F.col("_hot")) if any_hot else x
+    out = (normal.select(session, order, role, text, ctx.alias("context"))
+           .filter(F.col(role) == reply_role).select(*cols))
+    if not any_hot:
+        return out
+    hot = _bounded_contexts_hot(x.filter(F.col("_hot")), session, order, role, text, reply_role, int(max_context))
+    return out.unionByName(hot.select(*cols))
+
+
+def _bounded_contexts_hot(x, session, order, role, text, reply_role, n) -> DataFrame:
+    """Contexts of the last ``n`` turns for hot sessions, window per part plus a halo.
+
+    Positions are exact (part offsets from per-part counts, a small table).
+    The ``n`` rows before a part's first position are copied into that part
+    as a halo, so the bounded window of every reply sees the same rows as a
+    window over the whole session; halo rows give no output of their own.
+    """
+    from prefspark.operators.ordinal import join_small
+
+    counts = x.groupBy(session, "part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(session).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(session, "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    in_part = Window.partitionBy(session, "part").orderBy(order)
+    rows = join_small(x, counts, [session, "part"]).withColumn(
+        "_pos", F.col("_start") + F.row_number().over(in_part)).withColumn("_halo", F.lit(False))
+    starts = counts.groupBy(session).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_start").alias("s"), F.col("part").alias("p")))).alias("_starts"))
+    need = F.filter("_starts", lambda e: (e["s"] >= F.col("_pos")) & (e["s"] < F.col("_pos") + F.lit(n)))
+    halo = join_small(rows.drop("_start"), starts, [session]).select(
+        session, order, role, text, "_pos", F.explode(need).alias("_t"))
+    halo = halo.select(session, F.col("_t.p").alias("part"), order, role, text, "_pos", F.lit(True).alias("_halo"))
+    both = rows.select(session, "part", order, role, text, "_pos", "_halo").unionByName(halo)
+    w = Window.partitionBy(session, "part").orderBy("_pos").rowsBetween(-n, -1)
+    ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
+    return (both.select("*", ctx.alias("context"))
+            .filter(~F.col("_halo") & (F.col(role) == reply_role)))
 
 
 # --------------------------------------------------------------------------- E5, E8

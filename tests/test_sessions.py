@@ -154,3 +154,17 @@ def test_replay_parts_concatenate_to_whole(spark):
         merged.setdefault(r.session_id, []).extend(m.content for m in r.messages)
     whole = {k: [m["content"] for m in v[2]] for k, v in _expected(rows).items()}
     assert merged == whole
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_bounded_contexts_over_hot_sessions(spark, n):
+    import random
+    rnd = random.Random(n)
+    rows = [(1, t * 2 + rnd.randint(0, 1), rnd.choice(["user", "assistant"]), f"a{t}") for t in range(150)]
+    rows += [(2, t, "assistant" if t % 2 else "user", f"b{t}") for t in range(6)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sessions.turn_contexts(turns, max_context=n, part_size=10)
+    ref = sessions.turn_contexts(turns, max_context=n, part_size=10_000)
+    as_list = lambda df: sorted(((r.conv_id, r.turn, [m.content for m in r.context], r.reply) for r in df.collect()))
+    assert as_list(got) == as_list(ref)
+    assert len(as_list(got)) == sum(1 for r in rows if r[2] == "assistant")
