@@ -40,6 +40,8 @@ def split_hot(
 ) -> tuple[DataFrame, bool]:
     """``hot_parts`` and whether any group is hot (if none, no join is added).
 
+    Rows with a null order go to part 0.
+
     ``spans`` (``key, _c, _lo, _hi``: an upper bound on the row count and the
     order range per group) replaces the aggregate when the caller has it.
     """
@@ -54,7 +56,7 @@ def split_hot(
     small = n_hot <= BROADCAST_ROWS and size <= BROADCAST_BYTES
     tagged = df.join(F.broadcast(hot) if small else hot, [key], "left")
     width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
-    part = F.when(F.col("_np").isNull(), F.lit(0)).otherwise(
+    part = F.when(F.col("_np").isNull() | F.col(order).isNull(), F.lit(0)).otherwise(
         F.floor((F.col(order) - F.col("_lo")).cast("double") / width)).cast("long")
     tagged = tagged.withColumn("part", part).withColumn("_hot", F.col("_np").isNotNull())
     return tagged.drop("_lo", "_hi", "_np"), True

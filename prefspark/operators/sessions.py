@@ -227,8 +227,8 @@ def _replay_frames(
     saved: DataFrame | None,
     strip_input: bool,
     columns: dict,
-) -> tuple[DataFrame, DataFrame]:
-    """Per-session state and the kept message events.
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Per-session state (checkpointed), the kept message events, and whether state is small.
 
     Only control events (``/quit``, ``/clear``, ``/system``, ``/load``, system
     rows) are aggregated with string values; they are few. Over all events
@@ -296,15 +296,18 @@ def _replay_frames(
         "_lo",
         "_hi",
     )
+    from prefspark.operators.ordinal import checked_small
+
+    state, small = checked_small(state)
     bounds = state.select("session_id", "quit_seq", "reset_seq")
     kept = (
         ev.filter(F.col("kind") == "message")
-        .join(bounds, "session_id", "inner")
+        .join(F.broadcast(bounds) if small else bounds, "session_id", "inner")
         .filter(F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq")))
         .filter(F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
         .select("session_id", "seq", "role", F.col("text").alias("content"))
     )
-    return state.drop("quit_seq"), kept
+    return state.drop("quit_seq"), kept, small
 
 
 _SPANS = ("_c", "_lo", "_hi")
@@ -322,7 +325,7 @@ def replay_messages(
     Loaded base messages (from ``/load``) come first with the load's ``seq``
     and ``pos`` 0..; logged messages have ``pos`` = 0. Order by (seq, pos).
     """
-    state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
+    state, kept, _ = _replay_frames(events, default_system, saved, strip_input, columns)
     base = state.select(
         "session_id", F.col("reset_seq").alias("seq"), F.posexplode("base_messages").alias("pos", "m")
     ).select("session_id", "seq", "pos", "m.role", F.col("m.content").alias("content"))
@@ -348,25 +351,32 @@ def replay_sessions(
     A session longer than ``part_size`` messages comes in several parts
     (``chunked_lists``); ``replay_messages`` gives the same in long form.
     """
-    from prefspark.operators.ordinal import checked_small
-
-    state, kept = _replay_frames(events, default_system, saved, strip_input, columns)
-    state, small = checked_small(state)
+    state, kept, small = _replay_frames(events, default_system, saved, strip_input, columns)
     spans = state.select("session_id", *_SPANS)
     state = state.drop(*_SPANS)
-    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "role", "content"), part_size, spans=spans)
+    lists = _lists_with_markers(kept, state, part_size, spans)
     logged = F.transform("_l", lambda e: message(e["role"], e["content"]))
-    with_msgs = lists.join(F.broadcast(state) if small else state, "session_id", "inner")
     first = F.col("part") == F.lit(0)
-    with_msgs = with_msgs.select(
+    return lists.join(F.broadcast(state) if small else state, "session_id", "inner").select(
         "session_id", "part", "system_prompt", "closed",
         F.when(first, F.concat(F.col("base_messages"), logged)).otherwise(logged).alias("messages"),
     )
-    empty = state.join(lists.select("session_id"), "session_id", "left_anti").select(
-        "session_id", F.lit(0).cast("long").alias("part"), "system_prompt", "closed",
-        F.col("base_messages").alias("messages"),
-    )
-    return with_msgs.unionByName(empty)
+
+
+def _lists_with_markers(kept: DataFrame, state: DataFrame, part_size: int,
+                        spans: DataFrame | None = None) -> DataFrame:
+    """Message lists per (session, part); every session of ``state`` has part 0.
+
+    One marker row per session (null seq, no entry) joins the messages in
+    the same aggregate, so sessions without messages need no second pass.
+    """
+    cols = ["session_id", "seq", "role", "content"]
+    marks = state.select("session_id", F.lit(None).cast("long").alias("seq"),
+                         F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("content"),
+                         F.lit(True).alias("_mark"))
+    rows = kept.select(*cols, F.lit(False).alias("_mark")).unionByName(marks)
+    entry = F.when(F.col("_mark"), F.lit(None)).otherwise(F.struct("seq", "role", "content"))
+    return chunked_lists(rows, "session_id", "seq", entry, part_size, spans=spans)
 
 
 def session_history(

@@ -148,11 +148,12 @@ def final_sessions(out: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
         .join(F.broadcast(states.select("session_id", "epoch")) if small else states.select("session_id", "epoch"),
               ["session_id", "epoch"], "inner")
     )
-    lists = chunked_lists(kept, "session_id", "seq", F.struct("seq", "pos", "role", "content"), part_size)
+    marks = states.select("session_id", F.lit(None).cast("long").alias("seq"), F.lit(None).cast("long").alias("pos"),
+                          F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("content"),
+                          F.lit(True).alias("_mark"))
+    rows = kept.select("session_id", "seq", "pos", "role", "content", F.lit(False).alias("_mark")).unionByName(marks)
+    entry = F.when(F.col("_mark"), F.lit(None)).otherwise(F.struct("seq", "pos", "role", "content"))
+    lists = chunked_lists(rows, "session_id", "seq", entry, part_size)
     listed = F.transform("_l", lambda e: message(e["role"], e["content"])).cast(MESSAGES)
-    with_msgs = lists.join(F.broadcast(states) if small else states, "session_id", "inner").select(
+    return lists.join(F.broadcast(states) if small else states, "session_id", "inner").select(
         "session_id", "part", "system_prompt", "closed", listed.alias("messages"))
-    empty = states.join(lists.select("session_id"), "session_id", "left_anti").select(
-        "session_id", F.lit(0).cast("long").alias("part"), "system_prompt", "closed",
-        F.array().cast(MESSAGES).alias("messages"))
-    return with_msgs.unionByName(empty)
