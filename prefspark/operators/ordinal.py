@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 
 from prefspark.session import shared_dir
 
+# Most rows one hash bucket may hold before the histogram is rebuilt one hex
+# digit finer (16x more buckets), so a bucket's rank window stays bounded.
+MAX_BUCKET_ROWS = 4_000_000
+
 # Largest derived table broadcast to every task; a bigger one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
@@ -103,6 +107,17 @@ def exact_ordinal(
     return joined.drop("_off", "_tot", *names)
 
 
+def _hash_offsets(keyed: DataFrame, groups: list[str], digits: int, max_bucket: int) -> tuple[DataFrame, int]:
+    """Checkpointed bucket histogram with offsets, refined until no bucket is too big."""
+    while True:
+        hist = keyed.groupBy(*groups, F.substring("_h", 1, digits).alias("_hb")).agg(F.count(F.lit(1)).alias("_n"))
+        offs, n_rows, _ = checked_table(_offsets(hist, groups, ["_hb"]))
+        biggest = offs.agg(F.max("_n")).first()[0] or 0
+        if biggest <= max_bucket or digits >= 32:
+            return offs, digits
+        digits += 1
+
+
 def hash_ordinal(
     df: DataFrame,
     key: Column,
@@ -111,22 +126,30 @@ def hash_ordinal(
     partition_by: Sequence[str] = (),
     digits: int = 4,
     total: str | None = None,
+    max_bucket: int = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Exact ordinal by a hex hash key: buckets are its first ``digits`` hex digits.
 
-    16**digits buckets (65,536 by default) keep a bucket near n / 65,536 rows,
-    so raise ``digits`` by one for every 16x more rows past ~10^11.
+    16**digits buckets (65,536 by default); when a bucket would hold more than
+    ``max_bucket`` rows the histogram is rebuilt one digit finer, so the rank
+    window of a bucket stays bounded at any size.
     """
+    groups = list(partition_by)
     keyed = df.withColumn("_h", key)
-    ordered = exact_ordinal(
-        keyed,
-        [("_hb", F.substring("_h", 1, digits))],
-        [F.col("_h"), *_cols(tie)],
-        out=out,
-        partition_by=partition_by,
-        total=total,
-    )
-    return ordered.drop("_h")
+    offs, digits = _hash_offsets(keyed, groups, digits, max_bucket)
+    keyed = keyed.withColumn("_hb", F.substring("_h", 1, digits))
+    small = _fits(offs)
+    joined = keyed.join(F.broadcast(offs.drop("_n")) if small else offs.drop("_n"), groups + ["_hb"], "inner")
+    rank = F.row_number().over(Window.partitionBy(*groups, "_hb").orderBy(F.col("_h"), *_cols(tie)))
+    joined = joined.withColumn(out, F.col("_off") + rank)
+    if total:
+        joined = joined.withColumnRenamed("_tot", total)
+    return joined.drop("_off", "_tot", "_h", "_hb")
+
+
+def _fits(df: DataFrame) -> bool:
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
 def with_row_id(df: DataFrame, out: str = "row_id", max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -160,6 +183,7 @@ def hash_first(
     digits: int = 4,
     check: Callable[[Column, Column], Column] | None = None,
     max_rows: int = BROADCAST_ROWS,
+    max_bucket: int = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Flag the first ``count(n)`` rows in (hash key, tie) order, without ranking all rows.
 
@@ -168,9 +192,9 @@ def hash_first(
     (about n / 16**digits rows). ``count`` maps the total n (a column) to the
     number wanted; ``check(n, k)`` may return a column that raises on bad sizes.
     """
-    keyed = df.select("*", key.alias("_h")).withColumn("_hb", F.substring("_h", 1, digits))
-    hist = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_n"))
-    offs = _offsets(hist, [], ["_hb"])
+    keyed = df.select("*", key.alias("_h"))
+    offs, digits = _hash_offsets(keyed, [], digits, max_bucket)
+    keyed = keyed.withColumn("_hb", F.substring("_h", 1, digits))
     k = count(F.col("_tot"))
     where = (F.when(F.col("_off") + F.col("_n") <= k, F.lit(1))
              .when(F.col("_off") >= k, F.lit(0))

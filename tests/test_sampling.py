@@ -120,3 +120,13 @@ def test_hash_first_equals_full_ranking(spark, k, digits):
     pos = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, key, ["row_id"]).collect()}
     assert len(flags) == 400
     assert flags == {i: pos[i] <= k for i in pos}
+
+
+def test_hash_buckets_refine_when_too_big(spark):
+    df = _rows(spark, 400, 4)
+    key = sampling.seed_key(1, F.col("row_id"))
+    fine = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, key, ["row_id"], digits=1, max_bucket=3).collect()}
+    plain = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, key, ["row_id"]).collect()}
+    assert fine == plain and sorted(fine.values()) == list(range(1, 401))
+    flags = ordinal.hash_first(df, key, ["row_id"], lambda n: F.lit(100), digits=1, max_bucket=3).collect()
+    assert {r.row_id for r in flags if r.first} == {i for i, p in plain.items() if p <= 100}
