@@ -51,6 +51,9 @@ def checked_table(df: DataFrame) -> tuple[DataFrame, int, int]:
     """
     shared_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
+    # A checkpoint keeps the plan's attribute ids; fresh aliases keep joins back
+    # to the table it came from unambiguous.
+    df = df.select(*[F.col(c).alias(c) for c in df.columns])
     n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
     return df, int(n), int(size or 0)
 

@@ -42,3 +42,20 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() >= 1
     assert "win_rate_a" in df.columns
+
+
+CONF_KEYS = ["session_history", "replay_sessions", "replay_messages", "seeded_shuffle", "train_eval_split",
+             "assign_batches", "select_candidates_nucleus", "pair_completions", "batch_prompt_lines"]
+
+
+@pytest.mark.parametrize("key", CONF_KEYS)
+def test_query_without_aqe_and_many_partitions(spark, duck, key):
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "200")
+    df = entry.queries()[key](other, SF_SMALL)
+    cols = sorted(df.columns)
+    got = Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    rel = duck.sql(entry.oracle_sql()[key])
+    exp = Counter(tuple(_norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall())
+    assert got == exp
