@@ -540,8 +540,8 @@ def q_batch_prompt_lines(spark, d):
     return generate.clean_lines(fx.prompt_line_rows(spark, d)).select("row_id", "prompt")
 
 
-_SQL_REQUEST = (f"{_sql_chatml(chr(39) + 'system' + chr(39), sql_str(fx.DEFAULT_SYSTEM))} || "
-                f"{_sql_chatml(chr(39) + 'user' + chr(39), 'prompt')} || '{CHATML_START}assistant' || chr(10)")
+_SQL_REQUEST = (f"{_sql_chatml(sql_str('system'), sql_str(fx.DEFAULT_SYSTEM))} || "
+                f"{_sql_chatml(sql_str('user'), 'prompt')} || '{CHATML_START}assistant' || chr(10)")
 
 
 @register("batch_requests", f"""
