@@ -19,6 +19,8 @@ from prefspark.plans import models
 from prefspark.plans.fixtures import SQL_SEP, msg_text, sql_msg_text, sql_str
 from prefspark.session import scratch_path
 from prefspark.sources import readers
+from prefspark.streaming import final_sessions, read_prompts_stream, replay_sessions_stream
+from prefspark.types import SESSION_EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,6 +138,15 @@ def q_read_json_prompts(spark, d):
     return _prompt_out(prompts.prepare_prompts(df, "messages"))
 
 
+@register("read_prompts_stream", _sql_prompt(""))
+def q_read_prompts_stream(spark, d):
+    src = scratch_path(spark, "stream-prompts")
+    fx.conversation_messages(spark, d).write.json(src)
+    schema = "conv_id BIGINT, messages ARRAY<STRUCT<role: STRING, content: STRING>>"
+    stream = read_prompts_stream(spark, src, schema, "json", dataset_format="messages")
+    return _prompt_out(_stream_to_table(spark, stream.select("conv_id", "prompt"), "prompts"))
+
+
 # =========================================================================== D
 
 
@@ -306,6 +317,41 @@ def q_replay_messages(spark, d):
     return out.select("session_id", "seq", big("pos").alias("pos"), "role", "content")
 
 
+# Seq ranges written one after another: each becomes one micro-batch, in order.
+STREAM_SEQ_CUTS = (4, 8, 12)
+STREAM_FILES = 4
+
+
+def _stream_to_table(spark, stream, name: str):
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("replay_sessions_stream", f"""
+with ev0 as ({fx.sql_session_events()}),
+{fx.SQL_CLASSIFY}
+select {_REPLAY_COLS} from replayed
+""")
+def q_replay_sessions_stream(spark, d):
+    events = fx.session_events(spark, d)
+    src = scratch_path(spark, "stream-events")
+    lo = None
+    for hi in (*STREAM_SEQ_CUTS, None):
+        part = events
+        if lo is not None:
+            part = part.filter(F.col("seq") >= lo)
+        if hi is not None:
+            part = part.filter(F.col("seq") < hi)
+        part.repartition(STREAM_FILES, "session_id").write.mode("append").parquet(src)
+        lo = hi
+    stream = spark.readStream.schema(SESSION_EVENT).option("maxFilesPerTrigger", STREAM_FILES).parquet(src)
+    out = _stream_to_table(spark, replay_sessions_stream(stream), "replay")
+    return _replay_out(final_sessions(out))
+
+
 @register("session_history", f"""
 with ev1 as ({fx.sql_session_events()}),
 bound as (select session_id, max(seq) // 2 as at_seq from ev1 group by session_id),

@@ -11,7 +11,9 @@ size does not grow with session length. ``final_sessions`` turns the output
 table into the same final state as the batch replay.
 
 One rule is the stream's own: an event whose ``seq`` is not above the last
-applied one for its session is late; it is counted and not applied.
+one applied in an earlier micro-batch of its session is late; it is counted
+and not applied. Inside a micro-batch, events with equal ``seq`` are applied
+in the order the batch replay resolves them (``TIE_ORDER``).
 """
 
 from __future__ import annotations
@@ -37,6 +39,11 @@ STATE_SCHEMA = "version long, last_seq long, epoch long, sys_set boolean, system
 
 _OUT_COLS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
 
+# Order of event kinds at equal seq, as the batch replay resolves ties: a quit
+# closes before anything at its seq, messages come before a clear or load at
+# their seq (and are dropped by it), a system prompt set at a load's seq wins.
+TIE_ORDER = {"quit": 0, "skip": 1, "noop": 1, "message": 1, "clear": 2, "load": 3, "system": 4}
+
 
 def _fold(default_system: str | None):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -48,16 +55,19 @@ def _fold(default_system: str | None):
             version, last_seq, epoch, sys_set, sys_prompt, closed, late = state.get
         else:
             version, last_seq, epoch, sys_set, sys_prompt, closed, late = 0, None, 0, False, None, False, 0
-        events = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
+        events = pd.concat(list(batches), ignore_index=True)
+        events["_tie"] = events["kind"].map(TIE_ORDER).fillna(1)
+        events = events.sort_values(["seq", "_tie"], kind="stable")
+        before = last_seq
         out = []
         for ev in events.itertuples(index=False):
             seq, kind = ev.seq, ev.kind
             if closed:
                 continue
-            if last_seq is not None and seq <= last_seq:
+            if before is not None and seq <= before:
                 late += 1
                 continue
-            last_seq = int(seq)
+            last_seq = int(seq) if last_seq is None else max(last_seq, int(seq))
             if kind == "quit":
                 closed = True
             elif kind == "clear":

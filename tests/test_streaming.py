@@ -130,3 +130,12 @@ def test_stream_replay_with_idle_timeout(spark, scratch):
     events = fx.session_events(spark, SF_SMALL)
     out = _replay_to(spark, scratch, events, "idle", "processingTime", idle_timeout_ms=3_600_000)
     assert _as_dict(final_sessions(out)) == _as_dict(sessions.replay_sessions(events))
+
+
+def test_stream_equal_seq_ties_match_batch(spark, scratch):
+    rows = [(1, 1, "user", "a"), (1, 2, "user", "b"), (1, 2, "user", "/clear"), (1, 3, "user", "c"),
+            (2, 1, "user", "x"), (2, 1, "user", "/quit"), (3, 1, "user", "/system s"), (3, 1, "user", "m")]
+    events = spark.createDataFrame(rows, SESSION_EVENT)
+    out = _replay_to(spark, scratch, events, "ties", "availableNow")
+    assert _as_dict(final_sessions(out)) == _as_dict(sessions.replay_sessions(events))
+    assert out.filter("kind = 'state'").agg(F.max("late")).first()[0] == 0
