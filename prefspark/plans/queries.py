@@ -322,6 +322,17 @@ STREAM_SEQ_CUTS = (4, 8, 12)
 STREAM_FILES = 4
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """Session for a stateful stream: state partitions sized to the cluster's cores.
+
+    A stateful query keeps the partition count it starts with, so it is set
+    from the default parallelism rather than the batch shuffle setting.
+    """
+    run = spark.newSession()
+    run.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    return run
+
+
 def _stream_to_table(spark, stream, name: str):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
@@ -347,8 +358,9 @@ def q_replay_sessions_stream(spark, d):
             part = part.filter(F.col("seq") < hi)
         part.repartition(STREAM_FILES, "session_id").write.mode("append").parquet(src)
         lo = hi
-    stream = spark.readStream.schema(SESSION_EVENT).option("maxFilesPerTrigger", STREAM_FILES).parquet(src)
-    out = _stream_to_table(spark, replay_sessions_stream(stream), "replay")
+    run = _stream_session(spark)
+    stream = run.readStream.schema(SESSION_EVENT).option("maxFilesPerTrigger", STREAM_FILES).parquet(src)
+    out = _stream_to_table(run, replay_sessions_stream(stream), "replay")
     return _replay_out(final_sessions(out))
 
 
