@@ -19,6 +19,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+# Single data files by suffix; the split name does not apply to them.
+FILE_READERS = {
+    ".jsonl": lambda r, p, ml: r.option("multiLine", ml).json(p),
+    ".json": lambda r, p, ml: r.option("multiLine", ml).json(p),
+    ".csv": lambda r, p, ml: r.options(header=True, multiLine=True, escape='"').csv(p),
+    ".parquet": lambda r, p, ml: r.parquet(p),
+}
+
+
 def read_prompts(
     spark: SparkSession,
     path: str,
@@ -39,15 +48,10 @@ def read_prompts(
     file-order position (``with_row_id``) to file sources.
     """
     if path_exists(spark, path):
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        if path.endswith(".json") or path.endswith(".jsonl"):
-            df = reader.option("multiLine", multiline_json).json(path)
-        elif path.endswith(".csv"):
-            df = reader.options(header=True, multiLine=True, escape='"').csv(path)
-        elif path.endswith(".parquet"):
-            df = reader.parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        suffix = next((x for x in FILE_READERS if path.endswith(x)), None)
+        if suffix is not None:
+            df = FILE_READERS[suffix](reader, path, multiline_json)
         else:
             df = reader.format(format or "parquet").load(f"{path.rstrip('/')}/{split}")
         return with_row_id(df) if row_id else df
