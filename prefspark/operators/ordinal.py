@@ -110,15 +110,25 @@ def exact_ordinal(
     return joined.drop("_off", "_tot", *names)
 
 
+MAX_REFINE = 4
+
+
 def _hash_offsets(keyed: DataFrame, groups: list[str], digits: int, max_bucket: int) -> tuple[DataFrame, int]:
-    """Checkpointed bucket histogram with offsets, refined until no bucket is too big."""
-    while True:
+    """Checkpointed bucket histogram with offsets, refined until no bucket is too big.
+
+    Refinement stops when a finer histogram no longer shrinks the biggest
+    bucket (one key value repeated, which no prefix can split) and after
+    ``MAX_REFINE`` extra digits, so it costs at most a few passes.
+    """
+    last = None
+    for step in range(MAX_REFINE + 1):
         hist = keyed.groupBy(*groups, F.substring("_h", 1, digits).alias("_hb")).agg(F.count(F.lit(1)).alias("_n"))
-        offs, n_rows, _ = checked_table(_offsets(hist, groups, ["_hb"]))
+        offs, _, _ = checked_table(_offsets(hist, groups, ["_hb"]))
         biggest = offs.agg(F.max("_n")).first()[0] or 0
-        if biggest <= max_bucket or digits >= 32:
+        if biggest <= max_bucket or biggest == last or digits >= 32 or step == MAX_REFINE:
             return offs, digits
-        digits += 1
+        last, digits = biggest, digits + 1
+    return offs, digits
 
 
 def hash_ordinal(

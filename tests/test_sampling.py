@@ -130,3 +130,10 @@ def test_hash_buckets_refine_when_too_big(spark):
     assert fine == plain and sorted(fine.values()) == list(range(1, 401))
     flags = ordinal.hash_first(df, key, ["row_id"], lambda n: F.lit(100), digits=1, max_bucket=3).collect()
     assert {r.row_id for r in flags if r.first} == {i for i, p in plain.items() if p <= 100}
+
+
+def test_refinement_stops_on_repeated_key(spark):
+    df = _rows(spark, 300, 3)
+    same = F.lit("0" * 32)
+    out = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, same, ["row_id"], digits=1, max_bucket=10).collect()}
+    assert out == {i: i for i in range(1, 301)}
