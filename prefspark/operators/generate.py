@@ -61,6 +61,9 @@ def batch_generate(
 
     ``make_generator()`` returns ``generate(rendered: pd.Series, seeds:
     pd.Series) -> pd.Series`` of responses; it is built once per Python worker.
+    Rows reach it in Arrow batches of ``spark.sql.execution.arrow.maxRecordsPerBatch``
+    (the model's batch size); a retried task regenerates the same text, since
+    each row's seed is ``seed + row_id``.
     """
     ship_code(df.sparkSession)
     req = batch_requests(df, prompt, system_prompt, default_system, **template)
