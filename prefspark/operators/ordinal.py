@@ -165,26 +165,46 @@ def _fits(df: DataFrame) -> bool:
     return n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def with_row_id(df: DataFrame, out: str = "row_id", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """File-order position 1..n of each row of a file-based DataFrame.
+def _has_row_index(df: DataFrame) -> bool:
+    try:
+        df.select(F.col("_metadata.row_index")).schema
+        return True
+    except Exception:  # noqa: BLE001 - not a Parquet scan
+        return False
+
 
-    Order is (file path, split start, row inside the split). Rows of one split
-    are read by one task in file order, so their ``monotonically_increasing_id``
-    values are consecutive: the rank inside a split is ``id - min(id)`` and no
-    row is shuffled. Only the histogram (one row per input split) moves; it is
-    broadcast when it has at most ``max_rows`` rows, else joined by shuffle.
+def with_row_id(df: DataFrame, out: str = "row_id", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """File-order position 1..n of each row of a file-based DataFrame; no row is shuffled.
+
+    Parquet: the position is the file's offset (running count over the files
+    in path order, from a per-file histogram) plus ``_metadata.row_index``,
+    which does not depend on how files are split or packed into tasks. Other
+    formats order by (file path, split start, row inside the split): rows of
+    one split are read by one task in order, so their
+    ``monotonically_increasing_id`` values are consecutive and the rank is
+    ``id - min(id)``. Only the histogram moves; it is broadcast when checked
+    small, else joined by shuffle. A row whose file or split is missing from
+    the histogram (input changed between jobs) fails the job.
     """
-    base = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_f"),
-        F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_m"),
-    )
-    hist = base.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    offs = _offsets(hist, [], ["_f", "_b"]).drop("_n")
-    joined = join_small(base, offs, ["_f", "_b"], max_rows=max_rows)
-    rid = F.col("_off") + (F.col("_m") - F.col("_m0")) + F.lit(1)
-    return joined.withColumn(out, rid).drop("_f", "_b", "_m", "_m0", "_off", "_tot")
+    if _has_row_index(df):
+        base = df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+        keys, hist = ["_f"], base.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))
+        within = F.col("_i")
+    else:
+        base = df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_f"),
+            F.col("_metadata.file_block_start").alias("_b"),
+            F.monotonically_increasing_id().alias("_m"),
+        )
+        keys = ["_f", "_b"]
+        hist = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+        within = F.col("_m") - F.col("_m0")
+    offs = _offsets(hist, [], keys).drop("_n", "_tot")
+    joined = join_small(base, offs, keys, how="left", max_rows=max_rows)
+    missing = F.raise_error(F.concat(F.lit("input changed while numbering rows: "), F.col("_f")))
+    rid = F.when(F.col("_off").isNull(), missing).otherwise(F.col("_off") + within + F.lit(1)).cast("long")
+    return joined.withColumn(out, rid).drop("_f", "_b", "_m", "_m0", "_i", "_off")
 
 
 def hash_first(
