@@ -16,7 +16,7 @@ patterns match what the plain ones match, but cannot go back over a long run of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.llm.common import materialize, text_of
@@ -29,12 +29,14 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"[\p{L}]{3,}+"
+#: Runs of three letters or more that are no part of an address, a host or a code.
+TERM = r"(?<![\p{L}0-9._%+@-])\p{L}{3,}+(?![0-9_%+@]|[.-][A-Za-z0-9])"
 REACH = 60
 SUPPORT = 3
 BITS = 3
 OCTET = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
-SPAN = "array<struct<kind:int,start:int,end:int>>"
+FOUND = "array<struct<kind:int,i:int,gap:int,value:string,left:string,left_cut:boolean,right:string,right_cut:boolean>>"
+SPAN = "struct<kind:int,start:int,end:int,value:string>"
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -76,50 +78,55 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """(kind, start, end, value) of every base span, by kind, then start."""
+def candidates(text: Column) -> Column:
+    """Every match of every pattern, with its place among the matches of its kind.
 
-    def of(k: int, kind: str) -> Column:
-        need = {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, F.lit(True))
-        good = F.filter(matches(text, PATTERNS[kind]), lambda m: valid(kind, m["value"]))
-        spans = F.transform(good, lambda m: F.struct(F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))
-        return F.when(need, spans).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>"))
-
-    return F.concat(*[of(k, kind) for k, kind in enumerate(KINDS)])
+    ``gap`` is the length of what lies between the match before and this one; ``left`` and
+    ``right`` are the nearest characters on both sides, ``cut`` where they begin or end inside
+    a longer gap. Nothing here goes over the text once per match.
+    """
 
+    def of(k: int, kind: str) -> Column:
+        need = {"email": text.contains("@"), "phone": text.contains("+"), "ip": text.contains(".")}.get(kind, F.lit(True))
+        found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+        gaps = F.split(text, PATTERNS[kind], -1)
+        zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("before"), found.alias("value"), F.slice(gaps, F.lit(2), F.size(found)).alias("after"))
 
-def _side(text: Column, spans: Column, start: Column, length: Column, left: bool) -> Column:
-    """Terms of a piece of text beside an entity, on its line, outside all base spans."""
-    piece = F.substring(text, start + 1, length)
-    size = F.length(piece)
-    cut = F.when(F.lit(left), F.length(F.substring_index(piece, "\n", -1))).otherwise(F.length(F.substring_index(piece, "\n", 1)))
-    lo, hi = (size - cut, size) if left else (F.lit(0), cut)
+        def one(x: Column, i: Column) -> Column:
+            return F.struct(
+                F.lit(k).alias("kind"), i.alias("i"), F.length(x["before"]).alias("gap"), x["value"].alias("value"),
+                F.right(x["before"], F.lit(REACH)).alias("left"), (F.length(x["before"]) > REACH).alias("left_cut"),
+                F.left(x["after"], F.lit(REACH)).alias("right"), (F.length(x["after"]) > REACH).alias("right_cut"),
+            )
 
-    def keep(m: Column) -> Column:
-        whole = ((m["start"] > 0) | (start == 0)) if left else ((m["end"] < size) | (start + size >= F.length(text)))
-        free = ~F.exists(spans, lambda s: (s["start"] < start + m["end"]) & (start + m["start"] < s["end"]))
-        return (m["start"] >= lo) & (m["end"] <= hi) & whole & free
+        return F.when(need & (F.size(found) > 0), F.transform(zipped, one)).otherwise(F.array().cast(FOUND))
 
-    return F.transform(F.filter(matches(piece, TERM), keep), lambda m: F.struct(F.lower(m["value"]).alias("term"), (start + m["start"]).alias("start"), (start + m["end"]).alias("end")))
+    return F.concat(*[of(k, kind) for k, kind in enumerate(KINDS)])
 
 
-def contexts(text: Column, spans: Column) -> Column:
-    """Per span: (entity, context, terms); a context is known by its entity and terms."""
+def _valid() -> Column:
+    """Whether a match of ``kind`` and ``value`` is one."""
+    out = F.lit(True)
+    for k, kind in enumerate(KINDS):
+        out = F.when(F.col("kind") == k, valid(kind, F.col("value"))).otherwise(out)
+    return out
 
-    def of(s: Column) -> Column:
-        begin = F.greatest(s["start"] - REACH, F.lit(0))
-        terms = F.concat(_side(text, spans, begin, s["start"] - begin, True), _side(text, spans, s["end"], F.lit(REACH), False))
-        value = F.when(s["kind"] == 0, F.lower(s["value"])).otherwise(digits(s["value"]))
-        entity = F.concat(s["kind"].cast("string"), F.lit(":"), value)
-        return F.struct(entity.alias("entity"), F.xxhash64(entity, F.transform(terms, lambda t: t["term"])).alias("context"), terms.alias("terms"))
 
-    return F.transform(spans, of)
+def _terms() -> Column:
+    """Terms on the line of a span, with their places in the text."""
+    left, right = F.substring_index("left", "\n", -1), F.substring_index("right", "\n", 1)
+    whole_left = ~F.col("left_cut") | F.col("left").contains("\n")
+    whole_right = ~F.col("right_cut") | F.col("right").contains("\n")
+    before = F.filter(matches(left, TERM), lambda m: whole_left | (m["start"] > 0))
+    after = F.filter(matches(right, TERM), lambda m: whole_right | (m["end"] < F.length(right)))
+    put = lambda m, at: F.struct(F.lower(m["value"]).alias("term"), (at + m["start"]).alias("start"), (at + m["end"]).alias("end"))
+    return F.concat(F.transform(before, lambda m: put(m, F.col("start") - F.length(left))), F.transform(after, lambda m: put(m, F.col("end"))))
 
 
-def revealing(found: DataFrame, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
+def revealing(spans: DataFrame, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
     """``(entity, term, n_te, n_t, n_e, n)`` of the pairs above the disclosure threshold."""
-    seen = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.context", F.array_distinct(F.transform("c.terms", lambda t: t["term"])).alias("terms"))
-    distinct = materialize(seen.groupBy("entity", "context").agg(F.first("terms").alias("terms")), "pii_contexts")
+    seen = spans.select("entity", F.array_distinct(F.transform("terms", lambda t: t["term"])).alias("terms"))
+    distinct = materialize(seen.groupBy("entity", F.xxhash64("terms").alias("context")).agg(F.first("terms").alias("terms")), "pii_contexts")
     n = distinct.agg(F.count("*").alias("n"))
     pairs = distinct.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     by_entity = distinct.groupBy("entity").agg(F.count("*").alias("n_e"))
@@ -130,44 +137,51 @@ def revealing(found: DataFrame, support: int = SUPPORT, bits: int = BITS) -> Dat
     return often.where((wide("n_te") * wide("n") >= wide("n_t") * wide("n_e") * (1 << bits)) & (F.col("n_te") * 2 >= F.col("n_t")))
 
 
+def _spans(docs: DataFrame, id_col: str, text_col: str, support: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows ``(row, id, key)`` and their spans ``(row, kind, start, end, value)``, terms included."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = materialize(rows.select("row", "id", F.xxhash64("text").alias("key"), candidates(F.col("text")).alias("found")), "pii_candidates")
+    each = rows.where(F.size("found") > 0).select("row", F.inline("found"))
+    so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(so_far).cast("int")).withColumn("start", F.col("end") - F.length("value"))
+    value = F.when(F.col("kind") == 0, F.lower("value")).otherwise(digits(F.col("value")))
+    entity = F.concat(F.col("kind").cast("string"), F.lit(":"), value)
+    base = materialize(each.where(_valid()).select("row", "kind", "start", "end", "value", entity.alias("entity"), _terms().alias("terms")), "pii_spans")
+    terms = base.select("row", "entity", F.inline("terms")).join(revealing(base, support, bits).select("entity", "term"), ["entity", "term"])
+    terms = terms.select("row", F.lit(len(KINDS)).alias("kind"), "start", "end", F.col("term").alias("value")).distinct()
+    return rows.select("row", "id", "key"), base.select("row", "kind", "start", "end", "value").unionByName(terms)
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, bits: int = BITS) -> DataFrame:
-    """``(id, key, base, terms)`` per input row: base spans with values, and revealing terms' spans.
+    """``(id, key, base, terms)`` per input row: base spans and revealing terms, with their values.
 
     ``key`` is a hash of the text. Null and empty texts have no spans; repeated rows repeat
     their result (a context they share counts once).
     """
-    text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("base", base_spans(text))
-    rows = rows.select("id", F.xxhash64("text").alias("key"), "base", F.when(F.size("base") > 0, contexts(text, F.col("base"))).alias("contexts"))
-    rows = materialize(rows, "pii_spans")
-    flagged = revealing(rows, support, bits).select("entity", "term")
-    terms = rows.where("contexts is not null").select("id", "key", F.explode("contexts").alias("c")).select("id", "key", "c.entity", F.explode("c.terms").alias("t"))
-    spans = terms.select("id", "key", "entity", F.col("t.term").alias("term"), "t.start", "t.end").join(flagged, ["entity", "term"])
-    spans = spans.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_set(F.struct(F.lit(len(KINDS)).alias("kind"), "start", "end"))).alias("terms"))
-    out = rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
-    return out.select("id", "key", "base", F.coalesce("terms", F.array().cast(SPAN)).alias("terms"))
-
-
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with every span generalised in ``text_col``; overlapping spans become one."""
-    cols = docs.columns
-    found = find(docs, id_col, text_col, **how).where(F.size("base") > 0)
-    plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    order = F.array_sort(F.transform(F.concat(plain, F.col("terms")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
-    found = found.select(F.col("id").alias("_p_id"), F.col("key").alias("_p_key"), order.alias("_p_spans")).dropDuplicates(["_p_id", "_p_key"])
-    key = F.xxhash64(text_of(text_col))
-    rows = docs.join(found, F.col(id_col).eqNullSafe(F.col("_p_id")) & (key == F.col("_p_key")), "left")
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in [*KINDS, "term"]])
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rows, spans = _spans(docs, id_col, text_col, support, bits)
+    lists = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end", "value"))).alias("all"))
+    every = F.coalesce("all", F.array().cast(f"array<{SPAN}>"))
+    term = len(KINDS)
+    return rows.join(lists, "row", "left").select("id", "key", F.filter(every, lambda s: s["kind"] < term).alias("base"), F.filter(every, lambda s: s["kind"] == term).alias("terms"))
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.get(names, s["kind"]))).alias("out"))
 
-    folded = F.aggregate("_p_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.col("_p_spans").isNotNull(), folded).otherwise(text)).select(*cols)
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, bits: int = BITS) -> DataFrame:
+    """``docs`` with every span generalised in ``text_col``; overlapping spans become one."""
+    rows, spans = _spans(docs, id_col, text_col, support, bits)
+    by = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("reached", F.coalesce(F.max("end").over(by), F.lit(0))).where("end > reached")
+    # A span inside one before it is gone; one that only overlaps it lengthens it.
+    cuts = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "reached"))).alias("_p_cuts"))
+    cuts = rows.join(cuts, "row").select(F.col("id").alias("_p_id"), F.col("key").alias("_p_key"), "_p_cuts").dropDuplicates(["_p_id", "_p_key"])
+    text = F.col(text_col)
+    out = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("_p_id")) & (F.xxhash64(text_of(text_col)) == F.col("_p_key")), "left")
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in [*KINDS, "term"]])
+    chars = F.split(text, "")
+    piece = lambda a, n: F.array_join(F.slice("_p_chars", a + 1, n), "")
+    kept = F.transform("_p_cuts", lambda s: F.when(s["start"] >= s["reached"], F.concat(piece(s["reached"], s["start"] - s["reached"]), F.get(names, s["kind"]))).otherwise(""))
+    rest = piece(F.element_at("_p_cuts", -1)["end"], F.size("_p_chars"))
+    out = out.withColumn("_p_chars", F.when(F.col("_p_cuts").isNotNull(), chars))
+    return out.withColumn(text_col, F.when(F.col("_p_cuts").isNotNull(), F.concat(F.array_join(kept, ""), rest)).otherwise(text)).select(*docs.columns)
 
 
 def listed(spans: Column) -> Column:
@@ -178,7 +192,6 @@ def listed(spans: Column) -> Column:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find(docs)
-    plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     n = [number(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select(F.col("id").alias("doc_id"), *n, F.sha2(listed(plain).cast("binary"), 256).alias("base_sha256"), listed(F.concat(plain, "terms")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *n, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.concat("base", "terms")).alias("spans"))
