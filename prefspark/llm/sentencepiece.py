@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.llm.common import materialize, strings, text_of
@@ -119,6 +119,11 @@ def unit_counts(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> D
     return rows.groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def _listed(values: list, kind: str) -> Column:
+    """A constant array; given as one string, which is folded once, not as thousands of literals."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     """``(unit, ids)`` of every row of the distinct ``found(unit)`` by the lattice.
 
@@ -137,7 +142,7 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     piece = F.when(F.col("unit") == OWN_MARK, F.lit(0)).otherwise(F.coalesce("piece_id", F.lit(0)))
     edge = F.shiftleft(F.col("start") + F.col("len") - 1, 24) + F.shiftleft(F.col("start") - 1, 16) + piece
     lattice = edges.select("unit", edge.alias("e")).groupBy("unit").agg(F.array_sort(F.collect_list("e")).alias("edges"))
-    scores = F.lit(vocab.scores)
+    scores = _listed(vocab.scores, "double")
     start_of = lambda e: F.shiftright(e, 16).bitwiseAND(F.lit(255))
     piece_of = lambda e: e.bitwiseAND(F.lit(0xFFFF))
     first = F.struct(F.array(F.lit(0.0)).alias("score"), F.array(F.lit(0)).alias("edge"))
@@ -160,7 +165,7 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     path = best.select("unit", F.aggregate(F.sequence(F.lit(1), F.length("unit")), back, walk, lambda acc: acc["path"]).alias("path"))
     code = lambda e: F.hex(F.encode(F.substring("unit", start_of(e) + 1, F.lit(1)), "UTF-8"))
-    by_byte = lambda e: F.transform(F.sequence(F.lit(1), F.length(code(e)), F.lit(2)), lambda i: F.get(F.lit(vocab.bytes), F.conv(F.substring(code(e), i, F.lit(2)), 16, 10).cast("int")))
+    by_byte = lambda e: F.transform(F.sequence(F.lit(1), F.length(code(e)), F.lit(2)), lambda i: F.get(_listed(vocab.bytes, "int"), F.conv(F.substring(code(e), i, F.lit(2)), 16, 10).cast("int")))
     plain = F.transform("path", piece_of)
     mixed = F.flatten(F.transform("path", lambda e: F.when(piece_of(e) > 0, F.array(piece_of(e))).otherwise(by_byte(e))))
     ids = F.when(F.array_contains(plain, 0), mixed).otherwise(plain)
