@@ -7,6 +7,7 @@ and its seed comes from its ``row_id``, so a retried task gives the same text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefspark.operators.judge import worker_model
 from prefspark.functions.chat import message, render_messages
 from prefspark.functions.text import is_blank, py_strip
 from prefspark.operators.sessions import build_messages
@@ -44,9 +46,6 @@ def batch_requests(
     return staged.withColumn("rendered", render_messages(F.col("messages"), add_generation_prompt, **template))
 
 
-_GENERATORS: dict[int, Callable] = {}
-
-
 def batch_generate(
     df: DataFrame,
     make_generator: Callable[[], Callable[[pd.Series, pd.Series], pd.Series]],
@@ -68,13 +67,11 @@ def batch_generate(
     ship_code(df.sparkSession)
     req = batch_requests(df, prompt, system_prompt, default_system, **template)
     req = req.select(row_id, prompt, "rendered", (F.lit(seed) + F.col(row_id)).cast("long").alias("_seed"))
-    key = id(make_generator)
+    key = uuid.uuid4().hex
     schema = T.StructType([req.schema[row_id], req.schema[prompt], T.StructField("response", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gen = _GENERATORS.get(key)
-        if gen is None:
-            gen = _GENERATORS[key] = make_generator()
+        gen = worker_model(key, make_generator)
         for pdf in batches:
             resp = pd.Series(gen(pdf["rendered"], pdf["_seed"])).reset_index(drop=True)
             yield pd.DataFrame({row_id: pdf[row_id].values, prompt: pdf[prompt].values, "response": resp})

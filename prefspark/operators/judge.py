@@ -7,6 +7,7 @@ through ``mapInPandas``, so judging adds no shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -131,15 +132,18 @@ def judge_score(df: DataFrame, logit_yes: str = "logit_yes", logit_no: str = "lo
 
 # --------------------------------------------------------------------------- F5
 
-_MODELS: dict[int, Callable[[pd.Series], pd.DataFrame]] = {}
+_MODEL: dict[str, Callable] = {}
 
 
-def _worker_model(key: int, make: Callable[[], Callable[[pd.Series], pd.DataFrame]]):
-    """Build the model once per Python worker process and reuse it."""
-    model = _MODELS.get(key)
-    if model is None:
-        model = _MODELS[key] = make()
-    return model
+def worker_model(key: str, make: Callable[[], Callable]) -> Callable:
+    """The model of one call, built once per Python worker.
+
+    ``key`` is unique to the call, and a worker keeps the model of the latest call only.
+    """
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = make()
+    return _MODEL[key]
 
 
 def score_pairs(
@@ -152,42 +156,37 @@ def score_pairs(
     prompt: str = "prompt",
     a: str = "completion_a",
     b: str = "completion_b",
+    tokenizer: Callable[[str], list[str]] | None = None,
 ) -> DataFrame:
     """Score both completions of every pair with a user model and pick the winner.
 
     ``make_scorer()`` returns ``score(texts: pd.Series) -> pd.DataFrame`` with
     ``logit_yes`` and ``logit_no``; it is called once per Python worker.
-    Adds ``score_a``, ``score_b`` and ``winner``.
+    ``tokenizer`` sets what ``max_length`` counts (see ``truncate_input``).
+    Adds ``score_a``, ``score_b`` and ``winner``. Only the two judge inputs go to
+    Python and four numbers come back; the other columns stay in the JVM.
     """
     ship_code(df.sparkSession)
-    budget = token_budget(max_length, prefix, suffix)
     q = query_expr(F.col(prompt), df.schema[prompt].dataType)
-    staged = df.select(
-        "*",
-        truncate_expr(judge_input_expr(instruction, q, F.col(a)), budget, prefix, suffix).alias("_in_a"),
-        truncate_expr(judge_input_expr(instruction, q, F.col(b)), budget, prefix, suffix).alias("_in_b"),
-    )
-    key = id(make_scorer)
-    logit_fields = [
-        T.StructField(n, T.DoubleType()) for n in ("_ya", "_na", "_yb", "_nb")
-    ]
-    out_schema = T.StructType(staged.schema.fields + logit_fields)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _worker_model(key, make_scorer)
-        for pdf in batches:
-            sa = model(pdf["_in_a"]).reset_index(drop=True)
-            sb = model(pdf["_in_b"]).reset_index(drop=True)
-            pdf = pdf.reset_index(drop=True)
-            pdf["_ya"], pdf["_na"] = sa["logit_yes"].astype("float64"), sa["logit_no"].astype("float64")
-            pdf["_yb"], pdf["_nb"] = sb["logit_yes"].astype("float64"), sb["logit_no"].astype("float64")
-            yield pdf
-
-    scored = staged.mapInPandas(run, out_schema)
-    scored = scored.withColumn("score_a", yes_probability(F.col("_ya"), F.col("_na"))).withColumn(
-        "score_b", yes_probability(F.col("_yb"), F.col("_nb"))
-    )
-    return pick_winner(scored.drop("_in_a", "_in_b", "_ya", "_na", "_yb", "_nb"))
+    staged = df.select("*", judge_input_expr(instruction, q, F.col(a)).alias("_in_a"),
+                       judge_input_expr(instruction, q, F.col(b)).alias("_in_b"))
+    for c in ("_in_a", "_in_b"):
+        staged = truncate_input(staged, c, max_length, prefix, suffix, tokenizer=tokenizer)
+    key = uuid.uuid4().hex
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        model = worker_model(key, make_scorer)
+        for texts_a, texts_b in batches:
+            sides = [model(t).reset_index(drop=True).astype("float64") for t in (texts_a, texts_b)]
+            yield pd.DataFrame({f"{n}{side}": s[f"logit_{word}"] for side, s in zip("ab", sides)
+                                for n, word in (("y", "yes"), ("n", "no"))})
+
+    logits = F.pandas_udf(run, "ya double, na double, yb double, nb double")("_in_a", "_in_b")
+    scored = staged.withColumn("_logits", logits).withColumns({
+        "score_a": yes_probability(F.col("_logits.ya"), F.col("_logits.na")),
+        "score_b": yes_probability(F.col("_logits.yb"), F.col("_logits.nb")),
+    })
+    return pick_winner(scored.drop("_in_a", "_in_b", "_logits"))
 
 
 # --------------------------------------------------------------------------- F6
@@ -331,7 +330,8 @@ def win_report(
         F.count(F.lit(1)).alias("n_pairs"),
         F.sum(F.when(F.col(winner) == 0, 1).otherwise(0)).cast("long").alias("wins_a"),
         F.avg(F.when(F.col(winner) == 0, 1.0).otherwise(0.0)).alias("win_rate_a"),
-        F.avg(F.when(F.col(score_a) == F.col(score_b), 1.0).otherwise(0.0)).alias("tie_rate"),
+        # Spark holds NaN = NaN; a pair without scores is no tie.
+        F.avg(F.when((F.col(score_a) == F.col(score_b)) & ~F.isnan(score_a), 1.0).otherwise(0.0)).alias("tie_rate"),
         F.avg(score_a).alias("mean_score_a"),
         F.avg(score_b).alias("mean_score_b"),
     ]

@@ -73,5 +73,5 @@ def loss_report(
         F.count(F.lit(1)).alias("n"),
         F.avg("loss").alias("mean_loss"),
         F.avg("margin").alias("mean_margin"),
-        F.avg(F.when(F.col("z") > 0, 1.0).otherwise(0.0)).alias("accuracy"),
+        F.avg(F.when((F.col("z") > 0) & ~F.isnan("z"), 1.0).otherwise(0.0)).alias("accuracy"),
     )

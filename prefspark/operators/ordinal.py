@@ -9,6 +9,8 @@ row's position is its bucket offset plus its rank inside the bucket.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,7 +73,14 @@ def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                max_rows: int = BROADCAST_ROWS) -> DataFrame:
     small, fits = checked_small(small, max_rows)
-    return big.join(F.broadcast(small) if fits else small, on, how)
+    return null_safe_join(big, F.broadcast(small) if fits else small, on, how)
+
+
+def null_safe_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of one name; a null key meets a null key. Keeps the left keys."""
+    right = small.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return big.join(right, same, how).drop(*[f"_on_{c}" for c in on])
 
 
 def _offsets(hist: DataFrame, groups: list[str], buckets: list[str]) -> DataFrame:
@@ -152,7 +161,8 @@ def hash_ordinal(
     offs, digits = _hash_offsets(keyed, groups, digits, max_bucket)
     keyed = keyed.withColumn("_hb", F.substring("_h", 1, digits))
     small = _fits(offs)
-    joined = keyed.join(F.broadcast(offs.drop("_n")) if small else offs.drop("_n"), groups + ["_hb"], "inner")
+    offs = offs.drop("_n")
+    joined = null_safe_join(keyed, F.broadcast(offs) if small else offs, groups + ["_hb"])
     rank = F.row_number().over(Window.partitionBy(*groups, "_hb").orderBy(F.col("_h"), *_cols(tie)))
     joined = joined.withColumn(out, F.col("_off") + rank)
     if total:

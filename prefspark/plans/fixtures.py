@@ -21,7 +21,7 @@ SQL_SEP = "chr(31)"
 
 # Fixed values used by the derived inputs and queries.
 DEFAULT_SYSTEM = "You are a helpful assistant."
-JUDGE_INSTRUCTION = "Given a user query, evaluate if the assistant response adequately answers the query"
+JUDGE_INSTRUCTION = "Does the answer below help the person who asked?"
 RUBRIC_PREFIXES = ["Certainly! ", "As an AI, ", "It's important to note ", "I don't know, ", ""]
 LIST_TAIL = "\n1. First point\n- a dash line"
 CLOSER_TAIL = " Hope this helps!"
@@ -190,16 +190,19 @@ lp as (select pair_id, -length(completion_a) / 100.0 as policy_chosen, -length(c
 
 
 def instruction_rows(spark, d) -> DataFrame:
+    """Every document's text, and rows of their own (negative ids) with a null, empty or blank input."""
     docs = table(spark, d, "documents")
     k = F.col("doc_id") % 5
-    inp = F.when(k == 0, F.lit(None).cast("string")).when(k == 1, F.lit("")).when(k == 2, F.lit(" ")).otherwise(F.col("text"))
-    return docs.select("doc_id", F.concat(F.lit("Summarise, language "), F.col("lang")).alias("instruction"), inp.alias("input"))
+    edge = F.when(k == 1, F.lit("")).when(k == 2, F.lit(" "))
+    instruction = F.concat(F.lit("Summarise, language "), F.col("lang")).alias("instruction")
+    whole = docs.select("doc_id", instruction, F.col("text").alias("input"))
+    return whole.unionByName(docs.filter(k < 3).select((-F.col("doc_id") - 1).alias("doc_id"), instruction, edge.alias("input")))
 
 
 SQL_INSTRUCTIONS = """
-ins as (select doc_id, 'Summarise, language ' || lang as instruction,
-  case when doc_id % 5 = 0 then null when doc_id % 5 = 1 then '' when doc_id % 5 = 2 then ' ' else text end as input
-  from documents)
+ins as (select doc_id, 'Summarise, language ' || lang as instruction, text as input from documents
+  union all select -doc_id - 1, 'Summarise, language ' || lang, case doc_id % 5 when 1 then '' when 2 then ' ' end
+  from documents where doc_id % 5 < 3)
 """
 
 SQL_DOC_ROWS = "select *, row_number() over (order by doc_id) as row_id from documents"
@@ -212,17 +215,17 @@ BLANK_LINE = "  \t"
 
 
 def prompt_line_rows(spark, d) -> DataFrame:
-    """User turns as prompt-file lines: padded on even turns, blank for conv_id % 7 = 0."""
+    """User turns as prompt-file lines, padded on even turns, and blank lines (negative ids)."""
     rows = conversation_rows(spark, d).filter(F.col("role") == "user")
     padded = F.when(F.col("turn") % 2 == 0, F.concat(F.lit(PAD_LEFT), F.col("text"), F.lit(PAD_RIGHT))).otherwise(F.col("text"))
-    value = F.when(F.col("conv_id") % 7 == 0, F.lit(BLANK_LINE)).otherwise(padded)
-    return rows.select("row_id", value.alias("value"))
+    blank = rows.filter(F.col("conv_id") % 7 == 0).select((-F.col("row_id")).alias("row_id"), F.lit(BLANK_LINE).alias("value"))
+    return rows.select("row_id", padded.alias("value")).unionByName(blank)
 
 
 SQL_LINES = f"""
-lines as (select row_id, case when conv_id % 7 = 0 then {sql_str(BLANK_LINE)}
-  when turn % 2 = 0 then {sql_str(PAD_LEFT)} || text || {sql_str(PAD_RIGHT)} else text end as value
-  from ({SQL_CONV_ROWS}) where role = 'user'),
+lines as (select row_id, case when turn % 2 = 0 then {sql_str(PAD_LEFT)} || text || {sql_str(PAD_RIGHT)} else text end as value
+  from ({SQL_CONV_ROWS}) where role = 'user'
+  union all select -row_id, {sql_str(BLANK_LINE)} from ({SQL_CONV_ROWS}) where role = 'user' and conv_id % 7 = 0),
 clean as (select row_id, regexp_replace(value, '^{PY_SPACE}+|{PY_SPACE}+\\z', '', 'g') as prompt
   from lines where not regexp_matches(value, '^{PY_SPACE}*\\z'))
 """

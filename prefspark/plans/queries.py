@@ -502,19 +502,20 @@ def q_pick_winner(spark, d):
                      big("winner").alias("winner"))
 
 
-_SQL_TRUNC_B = _SQL_TRUNC.replace("completion_a", "completion_b")
+_SQL_WHOLE = _SQL_TRUNC.replace(f", 1, {_BUDGET})", f", 1, {judge.token_budget(8192, JUDGE_PREFIX, JUDGE_SUFFIX)})")
+_SQL_WHOLE_B = _SQL_WHOLE.replace("completion_a", "completion_b")
 _SQL_LEN_SCORE = "1.0 / (1.0 + exp(length({t}) / 100.0))"
 
 
 @register("score_pairs", f"""
 with {fx.SQL_PAIRS},
-t as (select pair_id, {_SQL_TRUNC} as ta, {_SQL_TRUNC_B} as tb from pairs),
+t as (select pair_id, {_SQL_WHOLE} as ta, {_SQL_WHOLE_B} as tb from pairs),
 s as (select pair_id, {_SQL_LEN_SCORE.format(t='ta')} as score_a, {_SQL_LEN_SCORE.format(t='tb')} as score_b from t)
 select pair_id, round(score_a, 6) as score_a, round(score_b, 6) as score_b, ({_SQL_WINNER})::bigint as winner from s
 """)
 def q_score_pairs(spark, d):
     p = fx.completion_pairs(spark, d).select("pair_id", "prompt", "completion_a", "completion_b")
-    out = judge.score_pairs(p, models.length_scorer, fx.JUDGE_INSTRUCTION, TRUNCATE_LENGTH, JUDGE_PREFIX, JUDGE_SUFFIX)
+    out = judge.score_pairs(p, models.length_scorer, fx.JUDGE_INSTRUCTION, prefix=JUDGE_PREFIX, suffix=JUDGE_SUFFIX)
     return out.select("pair_id", r6("score_a").alias("score_a"), r6("score_b").alias("score_b"),
                       big("winner").alias("winner"))
 

@@ -19,13 +19,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-# Single data files by suffix; the split name does not apply to them.
-FILE_READERS = {
-    ".jsonl": lambda r, p, ml: r.option("multiLine", ml).json(p),
-    ".json": lambda r, p, ml: r.option("multiLine", ml).json(p),
-    ".csv": lambda r, p, ml: r.options(header=True, multiLine=True, escape='"').csv(p),
-    ".parquet": lambda r, p, ml: r.parquet(p),
-}
+def _read_file(spark: SparkSession, path: str, kind: str, schema, multiline: bool | None) -> DataFrame:
+    """One data file or a folder of them; a malformed record fails the read.
+
+    A JSON file that opens with ``[`` is one array of records and is read whole;
+    JSON lines and Parquet are split among tasks. CSV fields may hold line ends,
+    so a CSV file is read by one task.
+    """
+    reader = (spark.read if schema is None else spark.read.schema(schema)).option("mode", "FAILFAST")
+    if kind == "json" and multiline is None:
+        first = spark.read.text(path).where(F.trim("value") != "").select(F.substring(F.trim("value"), 1, 1)).first()
+        multiline = first is not None and first[0] == "["
+    if kind == "json":
+        return reader.option("multiLine", multiline).json(path)
+    if kind == "csv":
+        return reader.options(header=True, multiLine=True, escape='"').csv(path)
+    return reader.format(kind).load(path)
+
+
+def _kind(name: str) -> str | None:
+    suffix = name.rpartition(".")[2].lower()
+    return {"jsonl": "json", "json": "json", "csv": "csv", "parquet": "parquet"}.get(suffix)
+
+
+def _folder_kind(spark: SparkSession, path: str) -> str:
+    """Format of the data files of a folder, by their names; Parquet if these do not tell."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return next((k for s in fs.listStatus(p) if (k := _kind(s.getPath().getName()))), "parquet")
 
 
 def read_prompts(
@@ -34,7 +56,7 @@ def read_prompts(
     split: str = "train",
     config: str | None = None,
     schema: T.StructType | str | None = None,
-    multiline_json: bool = False,
+    multiline_json: bool | None = None,
     format: str | None = None,
     row_id: bool = True,
 ) -> DataFrame:
@@ -43,23 +65,25 @@ def read_prompts(
     An existing path ending in ``.json``/``.jsonl``, ``.csv`` or ``.parquet``
     is read as that format (the split is ignored, as for a single data file);
     any other existing path is a dataset folder and its ``split`` subfolder
-    is loaded. A path that does not exist is a catalog table, filtered on its
+    (or ``split=...``, as ``write_prepared`` makes it) is loaded, in the format of its files. A path that does not exist is a catalog table, filtered on its
     ``config`` and ``split`` columns when it has them. ``row_id`` adds the
     file-order position (``with_row_id``) to file sources.
     """
     if path_exists(spark, path):
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        suffix = next((x for x in FILE_READERS if path.endswith(x)), None)
-        if suffix is not None:
-            df = FILE_READERS[suffix](reader, path, multiline_json)
-        else:
-            df = reader.format(format or "parquet").load(f"{path.rstrip('/')}/{split}")
+        kind, at = _kind(path), path
+        if kind is None:
+            base = path.rstrip("/")
+            at = next((p for p in (f"{base}/{split}", f"{base}/split={split}") if path_exists(spark, p)), f"{base}/{split}")
+            kind = format or _folder_kind(spark, at)
+        df = _read_file(spark, at, kind, schema, multiline_json)
         return with_row_id(df) if row_id else df
     df = spark.table(path)
     if config is not None and "config" in df.columns:
         df = df.filter(F.col("config") == config)
     if "split" in df.columns:
         df = df.filter(F.col("split") == split)
+    elif split != "train":
+        raise ValueError(f"table {path} has no split column to take {split!r} from")
     return df
 
 
@@ -74,13 +98,16 @@ def read_prompt_lines(spark: SparkSession, path: str, out: str = "prompt") -> Da
     return clean_lines(lines, "value", out).select("row_id", out)
 
 
-def read_sessions(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Saved session files (one JSON document each): ``(name, system_prompt, messages)``.
+def read_sessions(spark: SparkSession, path: str, strict: bool = True, lines: bool | None = None) -> DataFrame:
+    """Saved sessions: ``(name, system_prompt, messages)``.
 
-    ``name`` is the file path, as ``/load`` names a file. Keys other than
-    ``system_prompt`` and ``messages`` are ignored.
+    ``lines``: one document per line, as ``write_sessions`` makes them (so a folder with its
+    ``_SUCCESS`` marker is taken for); else one document per file. ``name`` is the document's own
+    or the file path, as ``/load`` names a file. Other keys are ignored.
     """
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("name"), F.col("value").alias("json")
+    if lines is None:
+        lines = path_exists(spark, f"{path.rstrip('/')}/_SUCCESS") and spark.read.text(path).where(F.trim("value") != "").where(~F.trim("value").endswith("}")).isEmpty()
+    raw = spark.read.text(path, wholetext=not lines).where(F.trim("value") != "").select(
+        F.coalesce(F.get_json_object("value", "$.name"), F.col("_metadata.file_path")).alias("name"), F.col("value").alias("json")
     )
     return session_from_json(raw, "json", strict=strict).select("name", "system_prompt", "messages")

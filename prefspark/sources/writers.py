@@ -24,12 +24,15 @@ def write_responses(df: DataFrame, path: str, row_id: str = "row_id", mode: str
     The global sort is a range-partitioned shuffle: each task writes one
     ordered slice, and part file names follow slice order.
     """
-    df.orderBy(row_id).select("prompt", "response").write.mode(mode).json(path)
+    df.orderBy(row_id).select("prompt", "response").write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def write_sessions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON document per line: system prompt (null kept) and messages."""
-    session_to_json(df).select("json").write.mode(mode).text(path)
+    """One JSON document per line: name (if there is one), system prompt (null kept), messages."""
+    doc = F.col("json")
+    if "name" in df.columns:
+        doc = F.when(F.col("name").isNull(), doc).otherwise(F.concat(F.expr("left(to_json(struct(name)), length(to_json(struct(name))) - 1)"), F.lit(","), F.expr("substring(json, 2)")))
+    session_to_json(df).select(doc.alias("json")).write.mode(mode).text(path)
 
 
 def write_prepared(df: DataFrame, path: str, split: str = "split", mode: str = "overwrite") -> None:

@@ -7,8 +7,6 @@ import pytest
 from prefspark.operators import judge
 from prefspark.types import MESSAGES
 
-import folds
-
 
 def test_judge_query_forms(spark):
     cases = [
@@ -19,7 +17,7 @@ def test_judge_query_forms(spark):
     ]
     df = spark.createDataFrame(list(enumerate(cases)), f"id long, prompt {MESSAGES.simpleString()}")
     got = [r.query for r in judge.judge_query(df).orderBy("id").collect()]
-    assert got == [folds.judge_query(c) for c in cases]
+    assert got == ["u1", "s", "[]", ""]
     last = [r.query for r in judge.judge_query(df, turn="last").orderBy("id").collect()]
     assert last[0] == "u2" and last[1] == "s" and last[2] == "[]"
     s = spark.createDataFrame([(0, "plain")], "id long, prompt string")
@@ -54,7 +52,7 @@ def test_pick_winner_python_rules(spark):
     nan = float("nan")
     rows = [(1.0, 1.0), (2.0, 1.0), (1.0, 2.0), (nan, 1.0), (1.0, nan), (nan, nan)]
     df = spark.createDataFrame(rows, "score_a double, score_b double")
-    assert [r.winner for r in judge.pick_winner(df).collect()] == [folds.winner(a, b) for a, b in rows]
+    assert [r.winner for r in judge.pick_winner(df).collect()] == [0, 0, 1, 1, 1, 1]
     ints = spark.createDataFrame([(1, 0), (0, 1), (1, 1)], "score_a int, score_b int")
     assert [r.winner for r in judge.pick_winner(ints).collect()] == [0, 1, 0]
     with pytest.raises(Exception, match="null score"):
@@ -104,3 +102,37 @@ def test_score_pairs_with_stub_model(spark):
     out = judge.score_pairs(df, _stub_scorer, "judge", max_length=64).orderBy("pair_id").collect()
     assert [r.winner for r in out] == [0, 1]
     assert all(0 < r.score_a < 1 for r in out)
+
+
+def _pairs(spark):
+    return spark.createDataFrame([(1, "q", "one", "two")] * 8, "pair_id long, prompt string, completion_a string, completion_b string")
+
+
+def test_each_call_uses_its_own_model(spark):
+    import math
+
+    import pandas as pd
+
+    def scorer(x):
+        return lambda: lambda s: pd.DataFrame({"logit_yes": [float(x)] * len(s), "logit_no": [0.0] * len(s)})
+
+    for x in range(4):
+        rows = judge.score_pairs(_pairs(spark).coalesce(1), scorer(x), "ok?").collect()
+        assert all(abs(r.score_a - 1 / (1 + math.exp(-x))) < 1e-9 for r in rows)
+
+
+def test_scoring_counts_tokens_of_the_given_tokenizer(spark):
+    import pandas as pd
+
+    def make():
+        return lambda s: pd.DataFrame({"logit_yes": s.str.len().astype(float), "logit_no": [0.0] * len(s)})
+
+    short = judge.score_pairs(_pairs(spark), make, "ok?", max_length=3, tokenizer=list).first()
+    whole = judge.score_pairs(_pairs(spark), make, "ok?", max_length=10_000, tokenizer=list).first()
+    assert short.score_a < whole.score_a and short.score_a == short.score_b
+
+
+def test_pairs_without_scores_are_no_ties(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, 0.5, 0.5), (1, nan, nan), (0, 0.9, 0.1), (1, nan, 0.3)], "winner long, score_a double, score_b double")
+    assert judge.win_report(df).first().tie_rate == 0.25

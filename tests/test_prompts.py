@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from prefspark.operators import prompts
 from prefspark.types import MESSAGES
 
-import folds
-
 CASES = [
     [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}, {"role": "user", "content": "more"}],
     [{"role": "system", "content": "s"}, {"role": "assistant", "content": "a"}, {"role": "assistant", "content": "b"}],
@@ -17,6 +15,16 @@ CASES = [
     [{"role": "assistant", "content": "first"}, {"role": "user", "content": "later user"}],
 ]
 
+# The prompts of CASES: the user messages, or all but the last message where no user speaks.
+PROMPTS = [
+    [{"role": "user", "content": "hi"}, {"role": "user", "content": "more"}],
+    [{"role": "system", "content": "s"}, {"role": "assistant", "content": "a"}],
+    [],
+    [],
+    [{"role": None, "content": "no role"}],
+    [{"role": "user", "content": "later user"}],
+]
+
 
 def _msgs(spark, rows):
     return spark.createDataFrame([(i, m) for i, m in enumerate(rows)], f"id long, messages {MESSAGES.simpleString()}")
@@ -29,7 +37,7 @@ def _plain(rows):
 def test_messages_to_prompt_matches_fold(spark):
     out = prompts.messages_to_prompt(_msgs(spark, CASES)).orderBy("id").collect()
     got = [[m.asDict() for m in r.prompt] for r in out]
-    assert got == [folds.messages_to_prompt(c) for c in _plain(CASES)]
+    assert got == PROMPTS
 
 
 def test_messages_null_strict_raises_and_lenient_gives_empty(spark):
@@ -43,7 +51,7 @@ def test_decode_json_messages(spark):
     texts = [json.dumps(c) for c in _plain(CASES)] + ["[]"]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, messages string")
     got = [[m.asDict() for m in r.prompt] for r in prompts.messages_to_prompt(df).orderBy("id").collect()]
-    assert got == [folds.messages_to_prompt(t) for t in texts]
+    assert got == [*PROMPTS, []]
 
 
 def test_decode_malformed_json(spark):
@@ -57,7 +65,7 @@ def test_instruction_to_prompt(spark):
     rows = [(0, "Do", None), (1, "Do", ""), (2, "Do", "   "), (3, "Do", "text")]
     df = spark.createDataFrame(rows, "id long, instruction string, input string")
     got = [[m.asDict() for m in r.prompt] for r in prompts.instruction_to_prompt(df).orderBy("id").collect()]
-    assert got == [folds.instruction_prompt(i, x) for _, i, x in rows]
+    assert got == [[{"role": "user", "content": c}] for c in ("Do", "Do", "Do\n\n   ", "Do\n\ntext")]
 
 
 def test_instruction_absent_input_column(spark):

@@ -137,3 +137,13 @@ def test_refinement_stops_on_repeated_key(spark):
     same = F.lit("0" * 32)
     out = {r.row_id: r.ordinal for r in ordinal.hash_ordinal(df, same, ["row_id"], digits=1, max_bucket=10).collect()}
     assert out == {i: i for i in range(1, 301)}
+
+
+def test_rows_of_a_null_group_are_numbered_too(spark):
+    from pyspark.sql import functions as F
+
+    from prefspark.operators import ordinal
+
+    df = spark.createDataFrame([(None, 1), ("a", 2), (None, 3)], "g string, v long")
+    rows = ordinal.hash_ordinal(df, F.md5(F.col("v").cast("string")), out="n", partition_by=["g"]).collect()
+    assert sorted((r.g or "", r.n) for r in rows) == [("", 1), ("", 2), ("a", 1)]

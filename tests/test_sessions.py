@@ -3,8 +3,6 @@ import pytest
 from prefspark.operators import sessions
 from prefspark.types import MESSAGES
 
-import folds
-
 # Edge-case event log: (session, seq, role, text).
 EVENTS = [
     (1, 1, "user", "hello"), (1, 2, "assistant", "hi"), (1, 3, "user", "/clear"), (1, 4, "user", "again"),
@@ -32,11 +30,23 @@ def _saved(spark):
     return spark.createDataFrame(rows, f"name string, system_prompt string, messages {MESSAGES.simpleString()}")
 
 
-def _expected(rows, default=None, saved=None):
-    by = {}
-    for sid, seq, role, text in rows:
-        by.setdefault(sid, []).append((seq, role, text))
-    return {sid: folds.replay(ev, default, saved) for sid, ev in by.items()}
+def _said(*texts):
+    """Messages written ``role: content``; a text without a role is the user's."""
+    return [{"role": r, "content": c} for r, c in (t if isinstance(t, tuple) else ("user", t) for t in texts)]
+
+
+OLD = [("user", "old"), ("assistant", "old reply")]
+#: What EVENTS leave, with SAVED and no default system prompt.
+LEFT = {
+    1: (None, False, _said("again", ("assistant", "ok"))), 2: ("be brief", False, _said("q", ("assistant", "a"))), 3: (None, False, _said("m")),
+    4: (None, True, _said("one")), 5: (None, False, _said(" /clear")), 6: ("sys text", False, _said("u")), 7: (None, True, []),
+    8: ("two  words  ", False, []), 9: ("from file", False, _said(*OLD, "next")), 10: ("s2", False, _said(*OLD)),
+}
+#: After the first two events of every session, without saved sessions.
+EARLY = {
+    1: (None, False, _said("hello", ("assistant", "hi"))), 2: ("be brief", False, []), 3: (None, False, []), 4: (None, True, _said("one")), 5: (None, False, []),
+    6: ("sys text", False, _said("u")), 7: (None, True, []), 8: ("two  words  ", False, []), 9: (None, False, _said("next")), 10: (None, False, []),
+}
 
 
 def _got(df):
@@ -46,12 +56,13 @@ def _got(df):
 @pytest.mark.parametrize("default", [None, "default sys"])
 def test_replay_matches_fold(spark, default):
     got = _got(sessions.replay_sessions(_events(spark), default_system=default, saved=_saved(spark)))
-    assert got == _expected(EVENTS, default, SAVED)
+    unset = (1, 4, 5, 7)  # 3 unsets the default by its bare /system
+    assert got == {k: (default if k in unset else s, closed, m) for k, (s, closed, m) in LEFT.items()}
 
 
 def test_replay_without_saved_ignores_load(spark):
     got = _got(sessions.replay_sessions(_events(spark)))
-    assert got == _expected(EVENTS, None, None)
+    assert got == LEFT | {9: (None, False, _said("next")), 10: ("s2", False, [])}
 
 
 def test_replay_long_form_matches_arrays(spark):
@@ -60,7 +71,7 @@ def test_replay_long_form_matches_arrays(spark):
     by = {}
     for r in rows:
         by.setdefault(r.session_id, []).append({"role": r.role, "content": r.content})
-    exp = {k: v[2] for k, v in _expected(EVENTS, None, SAVED).items() if v[2]}
+    exp = {k: v[2] for k, v in LEFT.items() if v[2]}
     assert by == exp
 
 
@@ -75,12 +86,10 @@ def test_strip_input_option(spark):
 def test_session_history_bound(spark):
     ev = _events(spark)
     got = _got(sessions.session_history(ev, 2))
-    cut = [e for e in EVENTS if e[1] <= 2]
-    assert got == _expected(cut)
+    assert got == EARLY
     bound = spark.createDataFrame([(1, 3), (4, 1)], "session_id long, at_seq long")
     got = _got(sessions.session_history(ev, bound))
-    cut = [e for e in EVENTS if (e[0] == 1 and e[1] <= 3) or (e[0] == 4 and e[1] <= 1)]
-    assert got == _expected(cut)
+    assert got == {1: (None, False, []), 4: (None, False, _said("one"))}
 
 
 def test_sessions_from_turns_order(spark):

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from prefspark.operators import prompts, sessions
@@ -112,3 +114,35 @@ def test_json_messages_mixed_list_and_string_rows(spark, scratch):
     df = readers.read_prompts(spark, path, schema="id BIGINT, messages STRING", row_id=False)
     got = {r.id: [m.asDict() for m in r.prompt] for r in prompts.prepare_prompts(df, "messages").collect()}
     assert got == {1: MSG[:1], 2: MSG[:1], 3: []}
+
+
+def test_sessions_keep_their_number_and_names(spark, scratch):
+    path = scratch("many")
+    df = spark.createDataFrame([(f"s{i}", None if i % 2 else "S", MSG) for i in range(6)], "name string, system_prompt string, messages array<struct<role:string,content:string>>")
+    writers.write_sessions(df.repartition(2), path)
+    back = readers.read_sessions(spark, path).collect()
+    assert sorted((r.name, r.system_prompt, [m.asDict() for m in r.messages]) for r in back if r.system_prompt) == [(f"s{i}", "S", MSG) for i in (0, 2, 4)]
+    assert len(back) == 6
+
+
+def test_prepared_splits_are_read_by_name(spark, scratch):
+    base = scratch("prep")
+    writers.write_prepared(spark.createDataFrame([("a", "train"), ("b", "eval")], "prompt string, split string"), base)
+    assert readers.read_prompts(spark, base).first().prompt == "a"
+    assert readers.read_prompts(spark, base, split="eval").first().prompt == "b"
+
+
+def test_malformed_lines_fail_and_arrays_are_recognised(spark, scratch):
+    path = scratch("bad") + ".jsonl"
+    spark.createDataFrame([('{"prompt": "a"}',), ('{"prompt": ',)], "v string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        readers.read_prompts(spark, path, schema="prompt string", row_id=False).collect()
+    path = scratch("array") + ".json"
+    spark.createDataFrame([('[\n {"prompt": "a"},\n {"prompt": "b"}\n]',)], "v string").coalesce(1).write.text(path)
+    assert sorted(r.prompt for r in readers.read_prompts(spark, path, row_id=False).collect()) == ["a", "b"]
+
+
+def test_responses_keep_null_keys(spark, scratch):
+    path = scratch("resp")
+    writers.write_responses(spark.createDataFrame([(1, "p", None)], "row_id long, prompt string, response string"), path)
+    assert json.loads(spark.read.text(path).first().value) == {"prompt": "p", "response": None}
