@@ -34,10 +34,8 @@ def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as piece ids, and whether decoding returns the text."""
-    vocab = sentencepiece.Vocabulary()
-    out = sentencepiece.decode(sentencepiece.encode(docs, vocab), vocab)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("round_trip"))
+    out = sentencepiece.encode(docs, check=True)
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

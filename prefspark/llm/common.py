@@ -64,7 +64,7 @@ _POWERS: list[np.ndarray] = []
 CHUNK = 1 << 18
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, CHUNK)
         _POWERS[:] = [np.cumprod(np.array([1] + [k] * size, np.uint64)) for k in (_K, pow(_K, -1, 1 << 64))]
@@ -94,7 +94,7 @@ def word_hashes(raw: bytes) -> np.ndarray:
         piece = raw[at:end]
         starts, ends = word_spans(piece)
         if len(starts):
-            power, inverse = _powers(len(piece))
+            power, inverse = powers(len(piece))
             run = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum(_BYTES[np.frombuffer(piece, np.uint8)] * power[: len(piece)], out=run[1:])
             out.append(mix((run[ends] - run[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))

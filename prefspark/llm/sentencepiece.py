@@ -20,15 +20,15 @@ a U+2581 of the text itself goes as bytes, so that decoding returns every text e
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import materialize, strings, text_of
+from prefspark.llm.common import materialize, mix, powers, strings, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -36,8 +36,12 @@ OWN_MARK = "\n" + MARK  # the unit that stands for a U+2581 of the text
 RUN = 60
 TABLE_UNITS = 8_000_000
 WORD = re.compile(f" {{0,{RUN}}}[^ \\n{MARK}]{{1,{RUN}}}| {{1,{RUN}}}|\\n|{MARK}")
+BEFORE_SPACES = re.compile("[^ ](?= )")
+OWN = 0x110000  # stands for a U+2581 of the text; no character has this code
+LOT = 1 << 17
+FLUSH = 200_000
 FALLBACK_PENALTY = 10.0
-PREFIX = 3
+PREFIX = 4
 #: Units gathered in one task; they are held in memory while their edges come in.
 TASK_UNITS = 50_000
 NO_SORT = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -80,40 +84,148 @@ class Vocabulary:
         return spark.createDataFrame(pd.DataFrame(self.pieces, columns=["piece", "piece_id"]), "piece string, piece_id int")
 
     def prefixes(self, spark: SparkSession) -> DataFrame:
-        """``(head, most)``: the longest piece that starts with some ``PREFIX`` characters."""
-        most: dict[str, int] = {}
+        """``(head, lens)``: the lengths of the pieces that start with some ``PREFIX`` characters."""
+        lens: dict[str, set[int]] = {}
         for p, _ in self.pieces:
             if len(p) >= PREFIX:
-                most[p[:PREFIX]] = max(most.get(p[:PREFIX], 0), len(p))
-        return spark.createDataFrame(pd.DataFrame({"head": list(most), "most": list(most.values())}), "head string, most int")
+                lens.setdefault(p[:PREFIX], set()).add(len(p))
+        return spark.createDataFrame([(head, sorted(own)) for head, own in lens.items()], "head string, lens array<int>")
 
 
 def words(text: str) -> list[str]:
+    """The plain definition of words; ``Cutter`` cuts alike on arrays."""
     return WORD.findall(" " + text) if text else []
 
 
-def units(word: str, inner: frozenset[str]) -> list[str]:
-    if word == MARK:
-        return [OWN_MARK]
-    x = word.replace(" ", MARK)
-    cut = [i for i in range(1, len(x)) if x[i - 1 : i + 1] not in inner]
-    return [x[i:j] for i, j in zip([0, *cut], [*cut, len(x)])]
+class Lot(NamedTuple):
+    """Some texts (or pieces of long ones) cut into units together."""
+
+    joined: str  # spaces written as U+2581
+    starts: np.ndarray  # of units, in joined
+    ends: np.ndarray
+    keys: np.ndarray  # 64-bit hashes of units
+    text: np.ndarray  # which text each unit is of
+
+    def spelled(self, at: np.ndarray) -> list[str]:
+        own = int(OWN_KEY)
+        return [OWN_MARK if k == own else self.joined[a:b] for a, b, k in zip(self.starts[at].tolist(), self.ends[at].tolist(), self.keys[at].tolist())]
+
+
+class Cutter:
+    """Cuts texts into units by array operations: nothing runs per word."""
+
+    def __init__(self, inner: frozenset[str]) -> None:
+        chars = sorted({ord(c) for pair in inner for c in pair})
+        #: Place of a character among those of the pairs; 0 for any other.
+        self.rank = np.zeros(0x110001, np.int32)
+        self.rank[chars] = np.arange(1, len(chars) + 1)
+        self.inner = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for x, y in inner:
+            self.inner[self.rank[ord(x)], self.rank[ord(y)]] = True
+
+    def lots(self, texts: Iterable[str]) -> Iterator[Lot]:
+        held: list[tuple[int, str]] = []
+        size = 0
+        for k, t in enumerate(texts):
+            for part in _parts(" " + t if t else ""):
+                held.append((k, part))
+                size += len(part)
+                if size >= LOT:
+                    yield self._lot(held)
+                    held, size = [], 0
+        if held:
+            yield self._lot(held)
+
+    def _lot(self, held: list[tuple[int, str]]) -> Lot:
+        joined = "".join(part for _, part in held)
+        x = codes(joined)
+        x[x == ord(MARK)] = OWN
+        space = x == 32
+        x[space] = ord(MARK)
+        begin = np.cumsum([0] + [len(part) for _, part in held])
+        # Runs of spaces, and of other characters, are cut every RUN characters.
+        kind = np.where(space, 1, 0)
+        edge = np.empty(len(x), bool)
+        edge[1:] = (kind[1:] != kind[:-1]) | (x[1:] == 10) | (x[:-1] == 10) | (x[1:] == OWN) | (x[:-1] == OWN)
+        edge[begin[:-1]] = True
+        place = np.arange(len(x))
+        since = place - np.maximum.accumulate(np.where(edge, place, 0))
+        r = self.rank[x]
+        cut = (since > 0) & (since % RUN == 0)
+        cut[1:] |= ~self.inner[r[:-1], r[1:]]
+        cut[begin[:-1]] = True
+        starts = np.nonzero(cut)[0]
+        ends = np.append(starts[1:], len(x))
+        which = np.searchsorted(begin, starts, "right") - 1
+        text = np.fromiter((k for k, _ in held), np.int64, len(held))[which]
+        return Lot(joined.replace(" ", MARK), starts, ends, unit_keys(x, starts, ends), text)
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text in parts of about ``LOT`` characters, cut where a run of spaces begins."""
+    at = 0
+    while len(text) - at > 2 * LOT:
+        m = BEFORE_SPACES.search(text, at + LOT)
+        if not m:
+            break
+        yield text[at : m.end()]
+        at = m.end()
+    if at < len(text):
+        yield text[at:]
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+
+
+def unit_keys(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs ``starts:ends`` of the character codes ``x``."""
+    power, inverse = powers(len(x))
+    run = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(mix(x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * power[: len(x)], out=run[1:])
+    return mix((run[ends] - run[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+OWN_KEY = unit_keys(np.array([OWN]), np.array([0]), np.array([1]))[0]
+
+
+def keys_of(units: list[str]) -> np.ndarray:
+    """The hashes of spelled units."""
+    ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    own = np.fromiter((u == OWN_MARK for u in units), bool, len(units))
+    return np.where(own, OWN_KEY, unit_keys(codes("".join(units)), starts, ends)) if units else np.empty(0, np.uint64)
 
 
 def unit_counts(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
     """``(unit, n)``: the distinct units of all texts and their frequencies."""
-    inner = vocab.inner
+    shared = docs.sparkSession.sparkContext.broadcast(Cutter(vocab.inner))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def merged(held: list[tuple[Lot, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+            """Counts of some lots: (lot, one place of each of its distinct units, how often)."""
+            keys = np.concatenate([lot.keys[at] for lot, at, _ in held])
+            of = np.repeat(np.arange(len(held)), [len(at) for _, at, _ in held])
+            _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+            n = np.bincount(back, np.concatenate([n for _, _, n in held]))
+            places = np.concatenate([at for _, at, _ in held])[first]
+            order = np.argsort(of[first], kind="stable")
+            found: list[str] = []
+            for k, (lot, _, _) in enumerate(held):
+                found += lot.spelled(places[order][of[first][order] == k])
+            return pd.DataFrame({"unit": strings(found), "n": n[order].astype(np.int64)})
+
+        held, size = [], 0
         for b in batches:
-            c: Counter = Counter()
-            for t in b["text"]:
-                c.update(words(t))
-            u: Counter = Counter()
-            for w, n in c.items():
-                for x in units(w, inner):
-                    u[x] += n
-            yield pd.DataFrame({"unit": strings(u), "n": np.array(list(u.values()), np.int64)})
+            for lot in shared.value.lots(b["text"]):
+                _, at, n = np.unique(lot.keys, return_index=True, return_counts=True)
+                held.append((lot, at, n))
+                size += len(at)
+                if size >= FLUSH:
+                    yield merged(held)
+                    held, size = [], 0
+        if held:
+            yield merged(held)
 
     rows = docs.select(text_of(text_col).alias("text")).mapInPandas(count, "unit string, n bigint")
     return rows.groupBy("unit").agg(F.sum("n").alias("n"))
@@ -132,30 +244,30 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     """
     spark = found.sparkSession
     starts = found.select("unit", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("start"))
-    # Substrings are as long as the longest piece with the same first characters.
+    # Short substrings, and longer ones of the lengths of pieces with the same first characters.
     head = F.substring("unit", F.col("start"), F.lit(PREFIX))
     starts = starts.select("unit", "start", head.alias("head")).join(F.broadcast(vocab.prefixes(spark)), "head", "left")
-    most = F.least(F.coalesce("most", F.lit(PREFIX - 1)), F.length("unit") - F.col("start") + 1)
-    subs = starts.select("unit", "start", F.explode(F.sequence(F.lit(1), most)).alias("len"))
+    lens = F.concat(F.sequence(F.lit(1), F.lit(PREFIX - 1)), F.coalesce("lens", F.array().cast("array<int>")))
+    subs = starts.select("unit", "start", F.explode(lens).alias("len")).where(F.col("start") + F.col("len") - 1 <= F.length("unit"))
     subs = subs.select("unit", "start", "len", F.substring("unit", F.col("start"), F.col("len")).alias("piece"))
     edges = subs.join(F.broadcast(vocab.table(spark)), "piece", "left").where("piece_id is not null or len = 1")
     piece = F.when(F.col("unit") == OWN_MARK, F.lit(0)).otherwise(F.coalesce("piece_id", F.lit(0)))
     edge = F.shiftleft(F.col("start") + F.col("len") - 1, 24) + F.shiftleft(F.col("start") - 1, 16) + piece
-    lattice = edges.select("unit", edge.alias("e")).groupBy("unit").agg(F.array_sort(F.collect_list("e")).alias("edges"))
+    lattice = edges.select("unit", edge.alias("e")).groupBy("unit").agg(F.sort_array(F.collect_list("e")).alias("edges"))
     scores = _listed(vocab.scores, "double")
     start_of = lambda e: F.shiftright(e, 16).bitwiseAND(F.lit(255))
     piece_of = lambda e: e.bitwiseAND(F.lit(0xFFFF))
-    first = F.struct(F.array(F.lit(0.0)).alias("score"), F.array(F.lit(0)).alias("edge"))
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("edge")))
 
     def step(best, e):
-        """score[k], edge[k]: the best path over the first k characters and its last edge."""
+        """best[k]: score and last edge of the best path over the first k characters."""
         end = F.shiftright(e, 24)
-        total = F.get(best["score"], start_of(e)) + F.get(scores, piece_of(e))
-        old = F.get(best["score"], end)
-        put = lambda a, x: F.concat(F.slice(a, F.lit(1), end), F.array(x))
-        return F.when(old.isNull() | (total > old), F.struct(put(best["score"], total).alias("score"), put(best["edge"], e).alias("edge"))).otherwise(best)
+        total = F.get(best, start_of(e))["score"] + F.get(scores, piece_of(e))
+        here = F.array(F.struct(total.alias("score"), e.alias("edge")))
+        # Edges come by end: the path to an end is there already, or is the next of the array.
+        return F.when(F.size(best) == end, F.concat(best, here)).when(total > F.get(best, end)["score"], F.concat(F.slice(best, F.lit(1), end), here)).otherwise(best)
 
-    best = lattice.select("unit", F.aggregate("edges", first, step, lambda best: best["edge"]).alias("last"))
+    best = lattice.select("unit", F.aggregate("edges", first, step, lambda best: F.transform(best, lambda x: x["edge"])).alias("last"))
     # Back from the end: each step takes the edge that ends where the one before starts.
     back = F.struct(F.length("unit").alias("at"), F.array().cast("array<int>").alias("path"))
 
@@ -172,6 +284,22 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     return path.select("unit", F.when(F.col("unit") == OWN_MARK, F.slice(ids, 2, 3)).otherwise(ids).alias("ids"))
 
 
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``begin : begin + size`` of every range, one after another."""
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _filled(ids: np.ndarray, sizes: np.ndarray, lack: np.ndarray, more: np.ndarray, more_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Put the ids of the lacking units in their places."""
+    full = sizes.copy()
+    full[lack] = more_sizes
+    begin = np.cumsum(full) - full
+    out = np.empty(full.sum(), np.int32)
+    out[_ranges(begin, sizes)] = ids
+    out[_ranges(begin[lack], more_sizes)] = more
+    return out, full
+
+
 class UnitTable:
     """Units by sorted 64-bit hash with their ids, packed."""
 
@@ -182,21 +310,25 @@ class UnitTable:
         begin = np.cumsum(sizes) - sizes
         self.keys, self.begin, self.sizes = keys[order], begin[order].astype(np.uint32), sizes[order].astype(np.uint16)
 
-    def look(self, found: list[str]) -> list[bytes | None]:
-        """Ids of units as little-endian int32; None for a unit not held."""
-        if not len(self.keys) or not found:
-            return [None] * len(found)
-        keys = np.fromiter(map(_key, found), np.uint64, len(found))
+    @staticmethod
+    def of(keys: np.ndarray, ids: list[np.ndarray]) -> "UnitTable | None":
+        sizes = np.fromiter(map(len, ids), np.uint16, len(ids))
+        return UnitTable([(keys.tobytes(), sizes.tobytes(), np.concatenate(ids).astype(np.uint16).tobytes())]) if ids else None
+
+    def ids_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units one after another, and how many each has (0: not held)."""
+        at = self.look(keys)
+        held = at >= 0
+        sizes, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        sizes[held], begin[held] = self.sizes[at[held]], self.begin[at[held]]
+        return self.ids[_ranges(begin, sizes)].astype(np.int32), sizes
+
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the hashes in the table; -1 for a unit not held."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        held = (self.keys[at] == keys).tolist()
-        lo, n = self.begin[at].tolist(), self.sizes[at].tolist()
-        return [self.ids[a : a + k].astype("<i4").tobytes() if h else None for a, k, h in zip(lo, n, held)]
-
-
-def _key(unit: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(unit.encode("utf-8", "replace"), 3)
+        return np.where(self.keys[at] == keys, at, -1)
 
 
 def pack_table(table: DataFrame) -> UnitTable:
@@ -205,7 +337,7 @@ def pack_table(table: DataFrame) -> UnitTable:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                keys = np.fromiter(map(_key, b["unit"]), np.uint64, len(b))
+                keys = keys_of(list(b["unit"]))
                 sizes = np.fromiter(map(len, b["ids"]), np.uint16, len(b))
                 ids = np.concatenate(list(b["ids"])).astype(np.uint16)
                 yield pd.DataFrame({"k": [keys.tobytes()], "n": [sizes.tobytes()], "ids": [ids.tobytes()]})
@@ -238,13 +370,15 @@ def unit_table(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", table
     return table.join(found.where(often), "unit", "left_semi"), table.join(found.where(~often), "unit", "left_semi")
 
 
-def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "text", table_units: int = TABLE_UNITS) -> DataFrame:
-    """``docs`` plus ``ids`` (array of int). A null or empty text has no ids; repeated rows repeat."""
+def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "text", table_units: int = TABLE_UNITS, check: bool = False) -> DataFrame:
+    """``docs`` plus ``ids`` (array of int). A null or empty text has no ids; repeated rows repeat.
+
+    With ``check`` also ``round_trip``: whether the ids, decoded in the same worker, give the text.
+    """
     spark = docs.sparkSession
     vocab = vocab or Vocabulary()
-    inner = vocab.inner
     hot, cold = unit_table(docs, vocab, text_col, table_units)
-    shared = spark.sparkContext.broadcast(pack_table(hot))
+    shared = spark.sparkContext.broadcast((Cutter(vocab.inner), pack_table(hot), vocab.spelling))
     text = text_of(text_col)
     rows = docs.withColumn("_s_key", F.xxhash64(text))
     if cold is None:
@@ -252,43 +386,47 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     else:
 
         def missing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            cutter, table, _ = shared.value
             for b in batches:
-                own = [{u for w in set(words(t)) for u in units(w, inner)} for t in b["text"]]
-                every = list(set().union(*own))
-                lack = {u for u, ids in zip(every, shared.value.look(every)) if ids is None}
-                out = [(k, u) for k, us in zip(b["key"].tolist(), own) for u in us if u in lack]
-                yield pd.DataFrame({"_s_key": np.array([k for k, _ in out], np.int64), "unit": strings(u for _, u in out)})
+                for lot in cutter.lots(b["text"]):
+                    lack = np.nonzero(table.look(lot.keys) < 0)[0]
+                    text_key = b["key"].to_numpy()[lot.text[lack]]
+                    yield pd.DataFrame({"_s_key": text_key, "unit": strings(lot.spelled(lack))}).drop_duplicates()
 
         lacking = rows.select(F.col("_s_key").alias("key"), text.alias("text")).mapInPandas(missing, "_s_key bigint, unit string").distinct()
         more = lacking.join(cold.select("unit", "ids"), "unit").groupBy("_s_key").agg(F.collect_list(F.struct("unit", "ids")).alias("_s_cold"))
         rows = rows.join(materialize(more, "cold_units"), "_s_key", "left")
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        cutter, table, spelling = shared.value
         for texts, colds in batches:
-            out: list[np.ndarray] = []
-            held: dict[str, bytes | None] = {}  # units
-            known: dict[str, bytes] = {}  # words whose units are all in the table
-            for t, extra in zip(texts, colds):
-                own = words(t)
-                new = {w: units(w, inner) for w in set(own) if w not in known}
-                lack = list({u for us in new.values() for u in us if u not in held})
-                held.update(zip(lack, shared.value.look(lack)))
-                more = {} if extra is None else {e["unit"]: np.asarray(e["ids"], "<i4").tobytes() for e in extra}
-                here = {}
-                for w, us in new.items():
-                    ids = [held[u] for u in us]
-                    if None in ids:
-                        here[w] = b"".join([more[u] if x is None else x for u, x in zip(us, ids)])
-                    else:
-                        known[w] = b"".join(ids)
-                out.append(np.frombuffer(b"".join([known[w] if w in known else here[w] for w in own]), "<i4"))
-                if len(known) > 1_000_000:
-                    known.clear()
-                    held.clear()
-            yield pd.Series(out, dtype=object)
-
-    ids = F.pandas_udf(run, "array<int>")(text, F.col("_s_cold"))
-    return rows.withColumn("ids", ids).select(*docs.columns, "ids")
+            extra = {e["unit"]: np.asarray(e["ids"], np.int32) for es in colds if es is not None for e in es}
+            more = UnitTable.of(keys_of(list(extra)), list(extra.values()))
+            out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+            for lot in cutter.lots(texts):
+                ids, sizes = table.ids_of(lot.keys)
+                if more is not None and (lack := np.nonzero(sizes == 0)[0]).size:
+                    ids, sizes = _filled(ids, sizes, lack, *more.ids_of(lot.keys[lack]))
+                if not sizes.all():
+                    raise ValueError("a unit of the text is in no table")
+                # Where the ids of each text of the lot begin and end.
+                edge = np.nonzero(np.diff(lot.text, prepend=-1, append=-1))[0]
+                at = np.concatenate(([0], np.cumsum(sizes)))[edge].tolist()
+                for k, a, z in zip(lot.text[edge[:-1]].tolist(), at, at[1:]):
+                    out[k] = np.concatenate((out[k], ids[a:z])) if len(out[k]) else ids[a:z]
+            both = {"ids": pd.Series(out, dtype=object)}
+            if check:
+                both["round_trip"] = [_spelled(ids, spelling) == t for ids, t in zip(out, texts)]
+            yield pd.DataFrame(both)
+
+    names = ["ids", "round_trip"] if check else ["ids"]
+    kind = "struct<ids:array<int>,round_trip:boolean>" if check else "struct<ids:array<int>>"
+    rows = rows.withColumn("_s_out", F.pandas_udf(run, kind)(text, F.col("_s_cold")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"_s_out.{n}") for n in names])
+
+
+def _spelled(ids: np.ndarray, spelling: list[bytes]) -> str:
+    return b"".join([spelling[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 
 
 def decode(rows: DataFrame, vocab: Vocabulary | None = None, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -298,13 +436,11 @@ def decode(rows: DataFrame, vocab: Vocabulary | None = None, ids_col: str = "ids
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         spelling = shared.value
         for b in batches:
-            yield pd.Series(["" if x is None else b"".join([spelling[i] for i in x.tolist()])[1:].decode("utf-8", "replace") for x in b], dtype=object)
+            yield pd.Series(["" if x is None else _spelled(x, spelling) for x in b], dtype=object)
 
     return rows.withColumn(out, F.pandas_udf(run, "string")(F.col(ids_col)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    vocab = Vocabulary()
-    out = decode(encode(docs, vocab), vocab)
-    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (F.col("decoded") == text_of()).alias("round_trip"))
+    return encode(docs, check=True).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
