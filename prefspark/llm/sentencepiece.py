@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -397,31 +398,31 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
         more = lacking.join(cold.select("unit", "ids"), "unit").groupBy("_s_key").agg(F.collect_list(F.struct("unit", "ids")).alias("_s_cold"))
         rows = rows.join(materialize(more, "cold_units"), "_s_key", "left")
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         cutter, table, spelling = shared.value
         for texts, colds in batches:
-            extra = {e["unit"]: np.asarray(e["ids"], np.int32) for es in colds if es is not None for e in es}
+            extra = {e["unit"]: np.asarray(e["ids"], np.int32) for es in colds.drop_null().to_pylist() for e in es}
             more = UnitTable.of(keys_of(list(extra)), list(extra.values()))
-            out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
-            for lot in cutter.lots(texts):
+            found = [np.empty(0, np.int32)]
+            n = np.zeros(len(texts), np.int64)
+            own = texts.to_pylist()
+            for lot in cutter.lots(own):
                 ids, sizes = table.ids_of(lot.keys)
                 if more is not None and (lack := np.nonzero(sizes == 0)[0]).size:
                     ids, sizes = _filled(ids, sizes, lack, *more.ids_of(lot.keys[lack]))
                 if not sizes.all():
                     raise ValueError("a unit of the text is in no table")
-                # Where the ids of each text of the lot begin and end.
-                edge = np.nonzero(np.diff(lot.text, prepend=-1, append=-1))[0]
-                at = np.concatenate(([0], np.cumsum(sizes)))[edge].tolist()
-                for k, a, z in zip(lot.text[edge[:-1]].tolist(), at, at[1:]):
-                    out[k] = np.concatenate((out[k], ids[a:z])) if len(out[k]) else ids[a:z]
-            both = {"ids": pd.Series(out, dtype=object)}
+                found.append(ids)
+                n += np.bincount(lot.text, sizes, len(n)).astype(np.int64)
+            ids, edge = np.concatenate(found), np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+            out = [pa.ListArray.from_arrays(pa.array(edge), pa.array(ids))]
             if check:
-                both["round_trip"] = [_spelled(ids, spelling) == t for ids, t in zip(out, texts)]
-            yield pd.DataFrame(both)
+                out.append(pa.array([_spelled(ids[a:z], spelling) == t for a, z, t in zip(edge, edge[1:], own)], pa.bool_()))
+            yield pa.StructArray.from_arrays(out, names)
 
     names = ["ids", "round_trip"] if check else ["ids"]
     kind = "struct<ids:array<int>,round_trip:boolean>" if check else "struct<ids:array<int>>"
-    rows = rows.withColumn("_s_out", F.pandas_udf(run, kind)(text, F.col("_s_cold")))
+    rows = rows.withColumn("_s_out", F.arrow_udf(run, kind)(text, F.col("_s_cold")))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"_s_out.{n}") for n in names])
 
 
