@@ -153,13 +153,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3, bucket: int = BUCKET) -
     return groups.mapInPandas(link, "a bigint, b bigint")
 
 
-def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """Every input row with its fingerprint (signed bigint ``fp``) and ``component_id``.
-
-    Texts without words have fingerprint zero and link like any other. A null id takes part
-    through its text, and is never a component id unless all ids of the component are null.
-    Repeated rows give repeated results. Columns: ``id, key, fp, component_id``.
-    """
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, max_bits: int = 3, bucket: int = BUCKET) -> DataFrame:
+    """``(id, key, fp, root, component_id)`` per row; root is a fingerprint that names the component."""
     rows = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     low = rows.groupBy("fp").agg(F.min("id").alias("low"))
     fps = low.select("fp")
@@ -168,16 +163,27 @@ def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     named = low.join(comp, low["fp"] == comp["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     named = materialize(named, "roots")
     best = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(named.join(best, "root").select("fp", "component_id"), "fp", "left").select("id", "key", "fp", "component_id")
+    return rows.join(named.join(best, "root").select("fp", "root", "component_id"), "fp", "left")
+
+
+def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, bucket: int = BUCKET) -> DataFrame:
+    """Every input row with its fingerprint (signed bigint ``fp``) and ``component_id``.
+
+    Texts without words have fingerprint zero and link like any other. A null id takes part
+    through its text, and is never a component id unless all ids of the component are null.
+    Repeated rows give repeated results. Columns: ``id, key, fp, component_id``.
+    """
+    return _rooted(docs, id_col, text_col, shingle, max_bits, bucket).select("id", "key", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: its smallest id (nulls last).
 
-    Rows repeated whole under that id leave one row.
+    Groups are told apart by their fingerprints, so null or repeated ids merge none. Rows
+    repeated whole under that id leave one row.
     """
-    near = simhash_near_dups(docs, id_col, text_col, **how)
-    best = near.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("w"))
+    near = _rooted(docs, id_col, text_col, **how)
+    best = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("w"))
     best = best.select(F.col("w.id").alias("_w_id"), F.col("w.key").alias("_w_key"))
     key = F.xxhash64(text_of(text_col))
     kept = docs.withColumn("_w_hash", key).join(best, F.col(id_col).eqNullSafe(F.col("_w_id")) & (F.col("_w_hash") == F.col("_w_key")), "left_semi")

@@ -70,3 +70,15 @@ def test_in_bucket_links_are_a_forest():
     members = np.array([i ^ 0xABCDEF for i in range(512)], np.uint64)
     child, root = S.bucket_links(members, 3)
     assert len(child) == len(members) - 1 and len(set(root.tolist())) == 1
+
+
+def test_one_row_stays_of_each_group_whatever_its_ids(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(6)]
+    prints = [fingerprint(t) for t in texts]
+    assert all((a ^ b).bit_count() > 3 for i, a in enumerate(prints) for b in prints[:i])
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[0]), (9, texts[4]), (None, texts[4]), (3, texts[4]), (7, texts[2]), (None, texts[5])]
+    kept = S.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (None, texts[5])]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted((i or 0, t) for i, t in want)
