@@ -1,12 +1,12 @@
 """Personal data by information-theoretic sanitisation (operator 4). DataFrame functions only.
 
 Protected entities are the base spans: email and IP addresses, card and phone numbers. The terms
-(runs of three letters or more) near an entity, on its line, are its context. Over the distinct
-contexts of the whole corpus, ``n(t, e)`` of ``N`` hold term t beside entity e. The pointwise
-mutual information log2(n(t,e) N / (n(t) n(e))) tells how strongly t reveals e. A term with at
-least ``SUPPORT`` contexts, ``BITS`` bits and half of its own contexts at e exceeds the
-disclosure threshold and becomes a span too, wherever it stands beside e. A context repeated by
-copies counts once. Comparisons are on whole numbers, so every engine agrees on them.
+(runs of three letters or more) of a document that holds an entity, wherever they stand, are seen
+with it. ``n(t, e)`` of ``N`` documents hold term t and entity e. The pointwise mutual information
+log2(n(t,e) N / (n(t) n(e))) tells how strongly t reveals e. A term with ``BITS`` bits, half of its
+own documents at e and at least ``SUPPORT`` distinct texts with e exceeds the disclosure threshold
+and becomes a span too, at all its places in every document that holds e. Copies count once for the
+support. Comparisons are on whole numbers, so every engine agrees on them.
 
 ``sanitise`` generalises: an entity becomes its kind, a revealing term ``[TERM]``.
 
@@ -31,29 +31,13 @@ PATTERNS = {
 }
 #: Runs of three letters or more that are no part of an address, a host or a code.
 TERM = r"(?<![\p{L}0-9._%+@-])\p{L}{3,}+(?![0-9_%+@]|[.-][A-Za-z0-9])"
-REACH = 60
 SUPPORT = 3
 BITS = 3
 OCTET = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
-FOUND = "array<struct<kind:int,i:int,gap:int,value:string,left:string,left_cut:boolean,right:string,right_cut:boolean>>"
+FOUND = "array<struct<kind:int,i:int,gap:int,value:string>>"
 SPAN = "struct<kind:int,start:int,end:int,value:string>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches in order as (start, end, value), in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
-
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, empty, step)["out"]).otherwise(empty["out"])
-
-
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -81,74 +65,94 @@ def valid(kind: str, value: Column) -> Column:
 def candidates(text: Column) -> Column:
     """Every match of every pattern, with its place among the matches of its kind.
 
-    ``gap`` is the length of what lies between the match before and this one; ``left`` and
-    ``right`` are the nearest characters on both sides, ``cut`` where they begin or end inside
-    a longer gap. Nothing here goes over the text once per match.
+    ``gap`` is the length of what lies between the match before and this one. Nothing here goes
+    over the text once per match.
     """
 
     def of(k: int, kind: str) -> Column:
         need = {"email": text.contains("@"), "phone": text.contains("+"), "ip": text.contains(".")}.get(kind, F.lit(True))
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         gaps = F.split(text, PATTERNS[kind], -1)
-        zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("before"), found.alias("value"), F.slice(gaps, F.lit(2), F.size(found)).alias("after"))
+        zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("before"), found.alias("value"))
 
         def one(x: Column, i: Column) -> Column:
-            return F.struct(
-                F.lit(k).alias("kind"), i.alias("i"), F.length(x["before"]).alias("gap"), x["value"].alias("value"),
-                F.right(x["before"], F.lit(REACH)).alias("left"), (F.length(x["before"]) > REACH).alias("left_cut"),
-                F.left(x["after"], F.lit(REACH)).alias("right"), (F.length(x["after"]) > REACH).alias("right_cut"),
-            )
+            return F.struct(F.lit(k).alias("kind"), i.alias("i"), F.length(x["before"]).alias("gap"), x["value"].alias("value"))
 
         return F.when(need & (F.size(found) > 0), F.transform(zipped, one)).otherwise(F.array().cast(FOUND))
 
     return F.concat(*[of(k, kind) for k, kind in enumerate(KINDS)])
 
 
-def _valid() -> Column:
-    """Whether a match of ``kind`` and ``value`` is one."""
+def _valid(match: Column) -> Column:
+    """Whether a match with its ``kind`` and ``value`` is one."""
     out = F.lit(True)
     for k, kind in enumerate(KINDS):
-        out = F.when(F.col("kind") == k, valid(kind, F.col("value"))).otherwise(out)
+        out = F.when(match["kind"] == k, valid(kind, match["value"])).otherwise(out)
     return out
 
 
-def _terms() -> Column:
-    """Terms on the line of a span, with their places in the text."""
-    left, right = F.substring_index("left", "\n", -1), F.substring_index("right", "\n", 1)
-    whole_left = ~F.col("left_cut") | F.col("left").contains("\n")
-    whole_right = ~F.col("right_cut") | F.col("right").contains("\n")
-    before = F.filter(matches(left, TERM), lambda m: whole_left | (m["start"] > 0))
-    after = F.filter(matches(right, TERM), lambda m: whole_right | (m["end"] < F.length(right)))
-    put = lambda m, at: F.struct(F.lower(m["value"]).alias("term"), (at + m["start"]).alias("start"), (at + m["end"]).alias("end"))
-    return F.concat(F.transform(before, lambda m: put(m, F.col("start") - F.length(left))), F.transform(after, lambda m: put(m, F.col("end"))))
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.transform(found, F.lower))
 
 
-def revealing(spans: DataFrame, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
-    """``(entity, term, n_te, n_t, n_e, n)`` of the pairs above the disclosure threshold."""
-    seen = spans.select("entity", F.array_distinct(F.transform("terms", lambda t: t["term"])).alias("terms"))
-    distinct = materialize(seen.groupBy("entity", F.xxhash64("terms").alias("context")).agg(F.first("terms").alias("terms")), "pii_contexts")
-    n = distinct.agg(F.count("*").alias("n"))
-    pairs = distinct.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    by_entity = distinct.groupBy("entity").agg(F.count("*").alias("n_e"))
-    by_term = pairs.groupBy("term").agg(F.sum("n_te").alias("n_t"))
-    total = n.first()["n"]
-    often = pairs.where(F.col("n_te") >= support).join(by_entity, "entity").join(by_term, "term").withColumn("n", F.lit(total).cast("bigint"))
-    wide = lambda c: F.col(c).cast("decimal(19,0)")
-    return often.where((wide("n_te") * wide("n") >= wide("n_t") * wide("n_e") * (1 << bits)) & (F.col("n_te") * 2 >= F.col("n_t")))
+def _places(texts: DataFrame) -> DataFrame:
+    """``(row, term, start, end)`` of every term of ``texts(row, text)``; linear in the text."""
+    found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    gaps = F.slice(F.split("text", TERM, -1), F.lit(1), F.size(found))
+    zipped = F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), F.lower(v).alias("term")))
+    each = texts.select("row", F.posexplode(zipped).alias("i", "m")).select("row", "i", "m.*")
+    so_far = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int"))
+    return each.select("row", "term", (F.col("end") - F.col("size")).alias("start"), "end")
+
+
+def revealing(entities: DataFrame, texts: DataFrame, every: DataFrame, n: int, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
+    """``(row, term)``: the terms above the disclosure threshold of an entity of their row.
+
+    ``entities(row, key, entity)`` are those of each row, ``texts(row, text)`` the rows that hold
+    one, and ``every(text)`` the ``n`` texts that terms are counted in. A pair above the
+    threshold has n_t <= 2 n_e, and neither count is above n / 2**bits: all others are left out
+    before pairs are made.
+    """
+    most = n >> bits
+    by_entity = entities.groupBy("entity", "key").agg(F.count("*").alias("c")).groupBy("entity").agg(F.sum("c").alias("n_e"), F.count("*").alias("held"))
+    by_entity = by_entity.where((F.col("held") >= support) & (F.col("n_e") <= most)).select("entity", "n_e")
+    near = materialize(entities.join(by_entity, "entity"), "pii_entities")
+    limit = min(most, 2 * (near.agg(F.max("n_e")).first()[0] or 0))
+    by_term = every.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    by_term = materialize(by_term.where(F.col("n_t") >= support), "pii_terms")
+    # Terms of more than one text in 64 are at most 64 times those of a mean text.
+    common = by_term.where((F.col("n_t") > limit) & (F.col("n_t") > n >> 6)).select("term")
+    own = texts.join(near.select("row").distinct(), "row", "left_semi").select("row", F.explode(terms_of(F.col("text"))).alias("term"))
+    own = own.join(F.broadcast(common), "term", "left_anti").join(by_term.where(F.col("n_t") <= limit), "term")
+    pairs = materialize(own.join(near, "row").where(F.col("n_t") <= 2 * F.col("n_e")), "pii_pairs")
+    counts = pairs.groupBy("entity", "term", "key").agg(F.count("*").alias("c"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    counts = counts.groupBy("entity", "term").agg(F.sum("c").alias("n_te"), F.count("*").alias("held"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    wide = lambda c: F.col(c).cast("decimal(18,0)")
+    above = (wide("n_te") * F.lit(n).cast("decimal(18,0)") >= wide("n_t") * wide("n_e") * F.lit(1 << bits)) & (F.col("n_te") * 2 >= F.col("n_t"))
+    flagged = counts.where((F.col("held") >= support) & above).select("entity", "term")
+    return pairs.join(flagged, ["entity", "term"]).select("row", "term").distinct()
 
 
 def _spans(docs: DataFrame, id_col: str, text_col: str, support: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """The rows ``(row, id, key)`` and their spans ``(row, kind, start, end, value)``, terms included."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = materialize(rows.select("row", "id", F.xxhash64("text").alias("key"), candidates(F.col("text")).alias("found")), "pii_candidates")
-    each = rows.where(F.size("found") > 0).select("row", F.inline("found"))
+    rows = rows.select("row", "id", F.xxhash64("text").alias("key"), "text", candidates(F.col("text")).alias("found"))
+    rows = materialize(rows.withColumn("text", F.when(F.exists("found", _valid), F.col("text"))), "pii_candidates")
+    texts = rows.where("text is not null").select("row", "text")
+    each = rows.where("text is not null").select("row", "key", F.inline("found"))
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     each = each.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(so_far).cast("int")).withColumn("start", F.col("end") - F.length("value"))
     value = F.when(F.col("kind") == 0, F.lower("value")).otherwise(digits(F.col("value")))
     entity = F.concat(F.col("kind").cast("string"), F.lit(":"), value)
-    base = materialize(each.where(_valid()).select("row", "kind", "start", "end", "value", entity.alias("entity"), _terms().alias("terms")), "pii_spans")
-    terms = base.select("row", "entity", F.inline("terms")).join(revealing(base, support, bits).select("entity", "term"), ["entity", "term"])
-    terms = terms.select("row", F.lit(len(KINDS)).alias("kind"), "start", "end", F.col("term").alias("value")).distinct()
+    each = each.where(_valid(F.struct("kind", "value")))
+    base = materialize(each.select("row", "key", "kind", "start", "end", "value", entity.alias("entity")), "pii_spans")
+    every = texts
+    hits = materialize(revealing(base.select("row", "key", "entity").distinct(), texts, every, every.count(), support, bits), "pii_hits")
+    terms = _places(texts.join(hits.select("row").distinct(), "row", "left_semi")).join(hits, ["row", "term"])
+    terms = terms.select("row", F.lit(len(KINDS)).alias("kind"), "start", "end", F.col("term").alias("value"))
     return rows.select("row", "id", "key"), base.select("row", "kind", "start", "end", "value").unionByName(terms)
 
 
@@ -156,7 +160,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     """``(id, key, base, terms)`` per input row: base spans and revealing terms, with their values.
 
     ``key`` is a hash of the text. Null and empty texts have no spans; repeated rows repeat
-    their result (a context they share counts once).
+    their result (and count once for the support of a term).
     """
     rows, spans = _spans(docs, id_col, text_col, support, bits)
     lists = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end", "value"))).alias("all"))

@@ -83,3 +83,17 @@ def test_sanitised_text(spark, corpus):
     assert (out[n + 1], out[n + 2], out[n + 3]) == (None, "", "clean 12 text")
     assert "[TERM]" in out[41] and "[EMAIL]" in out[41] and "Quillon" not in out[41]
     assert "Zaphod" in out[3]
+
+
+def test_a_revealing_term_is_marked_anywhere_in_a_document_with_the_entity(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    fill = lambda n: " ".join(word() for _ in range(n))
+    far = [f"Quillon {fill(60)}\n{fill(20)} me@secret.example.org {fill(3)}.\n\n{fill(30)} (quillon) {fill(2)}" for _ in range(6)]
+    other = [f"{fill(9)} zb{k}@ex.example.org {fill(9)}" for k in range(60)]
+    rows = {r["id"]: r for r in pii.find(frame(spark, far + other)).collect()}
+    for k, text in enumerate(far):
+        assert [(s["start"], s["end"], s["value"]) for s in rows[k]["terms"]] == [(m.start(), m.end(), "quillon") for m in re.finditer("(?i)quillon", text)]
+    assert all(rows[k]["terms"] == [] for k in range(6, 66))
+    out = pii.sanitise(frame(spark, far + other)).where("doc_id < 6").collect()
+    assert all(r["text"].count("[TERM]") == 2 and "uillon" not in r["text"] for r in out)
