@@ -2,7 +2,8 @@
 
 Protected entities are the base spans: email and IP addresses, card and phone numbers. The terms
 (runs of three letters or more) of a document that holds an entity, wherever they stand, are seen
-with it. ``n(t, e)`` of ``N`` documents hold term t and entity e. The pointwise mutual information
+with it. Of all ``N`` documents of the corpus, with entities or without, ``n(t)`` hold term t,
+``n(e)`` entity e and ``n(t, e)`` both. The pointwise mutual information
 log2(n(t,e) N / (n(t) n(e))) tells how strongly t reveals e. A term with ``BITS`` bits, half of its
 own documents at e and at least ``SUPPORT`` distinct texts with e exceeds the disclosure threshold
 and becomes a span too, at all its places in every document that holds e. Copies count once for the
@@ -149,8 +150,8 @@ def _spans(docs: DataFrame, id_col: str, text_col: str, support: int, bits: int)
     entity = F.concat(F.col("kind").cast("string"), F.lit(":"), value)
     each = each.where(_valid(F.struct("kind", "value")))
     base = materialize(each.select("row", "key", "kind", "start", "end", "value", entity.alias("entity")), "pii_spans")
-    every = texts
-    hits = materialize(revealing(base.select("row", "key", "entity").distinct(), texts, every, every.count(), support, bits), "pii_hits")
+    every = docs.select(text_of(text_col).alias("text"))
+    hits = materialize(revealing(base.select("row", "key", "entity").distinct(), texts, every, rows.count(), support, bits), "pii_hits")
     terms = _places(texts.join(hits.select("row").distinct(), "row", "left_semi")).join(hits, ["row", "term"])
     terms = terms.select("row", F.lit(len(KINDS)).alias("kind"), "start", "end", F.col("term").alias("value"))
     return rows.select("row", "id", "key"), base.select("row", "kind", "start", "end", "value").unionByName(terms)

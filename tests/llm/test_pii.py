@@ -97,3 +97,17 @@ def test_a_revealing_term_is_marked_anywhere_in_a_document_with_the_entity(spark
     assert all(rows[k]["terms"] == [] for k in range(6, 66))
     out = pii.sanitise(frame(spark, far + other)).where("doc_id < 6").collect()
     assert all(r["text"].count("[TERM]") == 2 and "uillon" not in r["text"] for r in out)
+
+
+def test_statistics_are_of_the_whole_corpus(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    held = [f"{word()} common Quillon {word()} me@secret.example.org {word()}" for _ in range(4)]
+    others = [f"{word()} {word()} zb{k}@ex.example.org {word()}" for k in range(40)]
+    plain = [f"{word()} common {word()} words" for _ in range(60)]
+    rows = {r["id"]: r for r in pii.find(frame(spark, held + others + plain)).collect()}
+    assert all([s["value"] for s in rows[k]["terms"]] == ["quillon"] for k in range(4))
+    # Few documents with entities, many without: N is that of the corpus, so the name still reveals.
+    few = held + [f"{word()} common {word()}" for _ in range(60)]
+    rows = {r["id"]: r for r in pii.find(frame(spark, few)).collect()}
+    assert all([s["value"] for s in rows[k]["terms"]] == ["quillon"] for k in range(4))
