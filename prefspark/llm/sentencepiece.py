@@ -6,12 +6,14 @@ by unit, and a higher-order ``aggregate`` folds them into the best path (Viterbi
 segmentation with the largest sum of piece scores, on ties the one whose last piece is longest.
 A character without a piece falls back to its UTF-8 bytes.
 
-A word is a run of spaces with what follows up to the next space or line feed, both cut at
-``RUN`` characters; a unit is a part of a word, cut where two neighbouring characters stand
-together in no piece. The model is checked to hold no piece that goes beyond a word, so the best
-path of a text is that of its units. Texts are looked up in the unit table: up to
-``TABLE_UNITS`` of the most frequent units travel to the workers as packed arrays (about 20
-bytes each, by 64-bit hash); the units beyond are joined to the documents that hold them.
+A word is a run of spaces with what follows up to the next space or line feed; a unit is a part
+of a word, cut where two neighbouring characters stand together in no piece, and nowhere else. The
+model is checked to hold no piece that goes beyond a word, so the best path of a text is that of
+its units. The lattice takes units up to ``RUN`` characters; the few longer ones (of any length)
+have the same fold in a worker, in time linear in their length. Texts are looked up in the unit
+table: up to ``TABLE_UNITS`` of the most frequent units (a long one counts once per ``RUN``
+characters) travel to the workers as packed arrays (about 20 bytes each, by 64-bit hash); the
+units beyond are joined to the documents that hold them.
 
 A text gets one space in front, and spaces are written as U+2581, as the vocabulary wants them;
 a U+2581 of the text itself goes as bytes, so that decoding returns every text exactly.
@@ -20,6 +22,7 @@ a U+2581 of the text itself goes as bytes, so that decoding returns every text e
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -36,7 +39,7 @@ MARK = "▁"
 OWN_MARK = "\n" + MARK  # the unit that stands for a U+2581 of the text
 RUN = 60
 TABLE_UNITS = 8_000_000
-WORD = re.compile(f" {{0,{RUN}}}[^ \\n{MARK}]{{1,{RUN}}}| {{1,{RUN}}}|\\n|{MARK}")
+WORD = re.compile(f" *[^ \\n{MARK}]+| +|\\n|{MARK}")
 BEFORE_SPACES = re.compile("[^ ](?= )")
 OWN = 0x110000  # stands for a U+2581 of the text; no character has this code
 LOT = 1 << 17
@@ -141,19 +144,11 @@ class Cutter:
         joined = "".join(part for _, part in held)
         x = codes(joined)
         x[x == ord(MARK)] = OWN
-        space = x == 32
-        x[space] = ord(MARK)
+        x[x == 32] = ord(MARK)
         begin = np.cumsum([0] + [len(part) for _, part in held])
-        # Runs of spaces, and of other characters, are cut every RUN characters.
-        kind = np.where(space, 1, 0)
-        edge = np.empty(len(x), bool)
-        edge[1:] = (kind[1:] != kind[:-1]) | (x[1:] == 10) | (x[:-1] == 10) | (x[1:] == OWN) | (x[:-1] == OWN)
-        edge[begin[:-1]] = True
-        place = np.arange(len(x))
-        since = place - np.maximum.accumulate(np.where(edge, place, 0))
         r = self.rank[x]
-        cut = (since > 0) & (since % RUN == 0)
-        cut[1:] |= ~self.inner[r[:-1], r[1:]]
+        cut = np.zeros(len(x), bool)
+        cut[1:] = ~self.inner[r[:-1], r[1:]]
         cut[begin[:-1]] = True
         starts = np.nonzero(cut)[0]
         ends = np.append(starts[1:], len(x))
@@ -238,7 +233,7 @@ def _listed(values: list, kind: str) -> Column:
 
 
 def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """``(unit, ids)`` of every row of the distinct ``found(unit)`` by the lattice.
+    """``(unit, ids)`` of every row of the distinct ``found(unit)``, ``RUN`` characters at most, by the lattice.
 
     An edge is one integer, end * 2**24 + start * 2**16 + piece (0: the bytes of a character),
     so that sorting a unit's edges brings them in the order of the fold.
@@ -285,6 +280,45 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     return path.select("unit", F.when(F.col("unit") == OWN_MARK, F.slice(ids, 2, 3)).otherwise(ids).alias("ids"))
 
 
+def long_path(unit: str, pieces: dict[str, int], longest: int, scores: list[float], by_byte: list[int]) -> list[int]:
+    """The ids of a unit by the fold of ``encode_units``, one end after another."""
+    score, start, piece = array("d", [0.0]), array("q", [0]), array("H", [0])
+    for end in range(1, len(unit) + 1):
+        top, at, of = float("-inf"), -1, 0
+        for k in range(max(0, end - longest), end):
+            i = pieces.get(unit[k:end])
+            if i is None:
+                if k + 1 < end:
+                    continue
+                i = 0
+            total = score[k] + scores[i]
+            if total > top:
+                top, at, of = total, k, i
+        score.append(top)
+        start.append(at)
+        piece.append(of)
+    out: list[int] = []
+    at = len(unit)
+    while at > 0:
+        k = start[at]
+        out += [piece[at]] if piece[at] else [by_byte[b] for b in reversed(unit[k:at].encode())]
+        at = k
+    return out[::-1]
+
+
+def encode_long_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``(unit, ids)`` of every row of the distinct ``found(unit)``, of any length."""
+    pieces = dict(vocab.pieces)
+    shared = found.sparkSession.sparkContext.broadcast((pieces, max(map(len, pieces)), vocab.scores, vocab.bytes))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for unit in b["unit"]:
+                yield pd.DataFrame({"unit": strings([unit]), "ids": [long_path(unit, *shared.value)]})
+
+    return found.select("unit").mapInPandas(run, "unit string, ids array<int>")
+
+
 def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places ``begin : begin + size`` of every range, one after another."""
     return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
@@ -306,14 +340,14 @@ class UnitTable:
 
     def __init__(self, rows: list[tuple[bytes, bytes, bytes]]) -> None:
         join = lambda k, kind: np.frombuffer(b"".join(r[k] for r in rows), kind)
-        keys, sizes, self.ids = join(0, np.uint64), join(1, np.uint16).astype(np.int64), join(2, np.uint16)
+        keys, sizes, self.ids = join(0, np.uint64), join(1, np.uint32).astype(np.int64), join(2, np.uint16)
         order = np.argsort(keys)
         begin = np.cumsum(sizes) - sizes
-        self.keys, self.begin, self.sizes = keys[order], begin[order].astype(np.uint32), sizes[order].astype(np.uint16)
+        self.keys, self.begin, self.sizes = keys[order], begin[order].astype(np.uint32), sizes[order].astype(np.uint32)
 
     @staticmethod
     def of(keys: np.ndarray, ids: list[np.ndarray]) -> "UnitTable | None":
-        sizes = np.fromiter(map(len, ids), np.uint16, len(ids))
+        sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
         return UnitTable([(keys.tobytes(), sizes.tobytes(), np.concatenate(ids).astype(np.uint16).tobytes())]) if ids else None
 
     def ids_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,7 +373,7 @@ def pack_table(table: DataFrame) -> UnitTable:
         for b in batches:
             if len(b):
                 keys = keys_of(list(b["unit"]))
-                sizes = np.fromiter(map(len, b["ids"]), np.uint16, len(b))
+                sizes = np.fromiter(map(len, b["ids"]), np.uint32, len(b))
                 ids = np.concatenate(list(b["ids"])).astype(np.uint16)
                 yield pd.DataFrame({"k": [keys.tobytes()], "n": [sizes.tobytes()], "ids": [ids.tobytes()]})
 
@@ -351,18 +385,23 @@ def unit_table(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", table
     """The encoded units of all texts: those that travel, and the rest (None if all fit)."""
     spark = docs.sparkSession
     found = materialize(unit_counts(docs, vocab, text_col), "units")
-    n_units = found.count()
+    long = F.length("unit") > RUN
+    room = F.ceil(F.length("unit") / RUN)
+    n_units, n_long, n_room = found.agg(F.count("*"), F.count_if(long), F.coalesce(F.sum(room), F.lit(0))).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_units // TASK_UNITS))
     before = spark.conf.get(NO_SORT)
     spark.conf.set(NO_SORT, str(4 * TASK_UNITS))
     try:
-        table = materialize(encode_units(found.repartition(parts, "unit"), vocab), "encoded_units")
+        table = encode_units(found.where(~long).repartition(parts, "unit"), vocab)
+        if n_long:
+            table = table.unionByName(encode_long_units(found.where(long).repartition(parts, "unit"), vocab))
+        table = materialize(table, "encoded_units")
     finally:
         spark.conf.set(NO_SORT, before)
-    if n_units <= table_units:
+    if n_room <= table_units:
         return table, None
     # Whole classes of frequency, most frequent first, as long as they fit.
-    classes = {r["c"]: r["k"] for r in found.groupBy(F.floor(F.log2("n")).alias("c")).agg(F.count("*").alias("k")).collect()}
+    classes = {r["c"]: r["k"] for r in found.groupBy(F.floor(F.log2("n")).alias("c")).agg(F.sum(room).alias("k")).collect()}
     least, held = 63, classes.get(63, 0)
     while least and held + classes.get(least - 1, 0) <= table_units:
         least -= 1

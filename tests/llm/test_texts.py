@@ -185,3 +185,39 @@ def test_sentencepiece_equals_brute_force_and_round_trips(spark):
         for r in sentencepiece.decode(sentencepiece.encode(df, vocab, table_units=travelling), vocab).collect():
             assert list(r["ids"]) == viterbi(texts[r["doc_id"]], vocab, pieces)
             assert r["decoded"] == texts[r["doc_id"]]
+
+
+def uncut(text, vocab, pieces):
+    """The best path over the whole text, cut nowhere."""
+    y = "".join("\0" if c == sentencepiece.MARK else sentencepiece.MARK if c == " " else c for c in " " + text)
+    own = [c == sentencepiece.MARK for c in " " + text]
+    longest = max(map(len, pieces))
+    best = [(0.0, 0, [])]
+    for e in range(1, len(y) + 1):
+        top = None
+        for s in range(max(0, e - longest), e):
+            i = None if any(own[s:e]) else pieces.get(y[s:e])
+            if i is None and e - s > 1:
+                continue
+            c = best[s][0] + (vocab.scores[0] if i is None else vocab.scores[i])
+            if top is None or c > top[0]:
+                top = (c, s, [vocab.bytes[k] for k in (sentencepiece.MARK if own[s] else y[s]).encode()] if i is None else [i])
+        best.append(top)
+    out, e = [], len(y)
+    while e:
+        out.append(best[e][2])
+        e = best[e][1]
+    return [i for ids in reversed(out) for i in ids]
+
+
+def test_long_runs_are_cut_only_where_no_piece_goes_on(spark):
+    rng = random.Random(21)
+    vocab = sentencepiece.Vocabulary()
+    pieces = dict(vocab.pieces)
+    run = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = ["https://www.example.org/" + "international/communication/" * 20, run("0123456789abcdef", 2_000), run("acgt", 70_000), run("ABCDefghijklmnop0123+/", 500), " " * 500 + "x", "日本語の文章は空白なしで続く" * 30, "ภาษาไทยไม่มีช่องว่าง" * 20, "information" * 40 + " " * 61 + "end", "a▁" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for travelling in (8_000_000, 20, 0):
+        for r in sentencepiece.encode(df, vocab, table_units=travelling, check=True).collect():
+            assert list(r["ids"]) == uncut(texts[r["doc_id"]], vocab, pieces), r["doc_id"]
+            assert r["round_trip"]
