@@ -30,17 +30,21 @@ def chunked_lists(
     key: str,
     order: str,
     entry: Column,
-    part_size: int = PART_SIZE,
+    part_size: int | None = None,
     out: str = "_l",
     spans: DataFrame | None = None,
 ) -> DataFrame:
     """Ordered lists of ``entry`` per ``key``: ``(key, part, out)``.
 
-    A key with at most ``part_size`` rows has one list (``part`` 0); a hot
-    one comes in parts grouped by separate tasks (``segments.hot_parts``),
-    whose lists concatenated in ``part`` order are the whole list.
+    Every key has one list (``part`` 0), of any length. With ``part_size`` a
+    key with more rows comes in parts grouped by separate tasks
+    (``segments.hot_parts``), whose lists concatenated in ``part`` order are
+    the whole list; operators on message lists do not take such parts.
     """
-    parts = hot_parts(df, key, order, part_size, spans)
+    if part_size is None:
+        parts = df.withColumn("part", F.lit(0).cast("long"))
+    else:
+        parts = hot_parts(df, key, order, part_size, spans)
     return parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias(out))
 
 
@@ -51,12 +55,12 @@ def sessions_from_turns(
     role: str = "role",
     text: str = "text",
     out: str = "messages",
-    part_size: int = PART_SIZE,
+    part_size: int | None = None,
 ) -> DataFrame:
     """Messages of each session ordered by ``order``: ``(session, part, messages)``.
 
-    ``part`` is 0 unless the session has more than ``part_size`` messages
-    (see ``chunked_lists``).
+    One row per session, ``part`` 0; only with ``part_size`` a session with
+    more messages comes in parts (see ``chunked_lists``).
     """
     entry = F.struct(F.col(order).alias("k"), F.col(role).alias("role"), F.col(text).alias("content"))
     lists = chunked_lists(turns, session, order, entry, part_size)
@@ -218,6 +222,18 @@ def classify_events(
     )
 
 
+def whole_saved(saved: DataFrame) -> DataFrame:
+    """Saved sessions ``(name, system_prompt, messages)``, their parts put together.
+
+    A table with a ``part`` column has one row per name and part.
+    """
+    if "part" not in saved.columns:
+        return saved
+    m = F.coalesce(F.col("messages"), F.array().cast(MESSAGES))
+    parts = saved.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("part", m.alias("m")))).alias("_p"), F.min_by("system_prompt", "part").alias("system_prompt"))
+    return parts.select("name", "system_prompt", F.flatten(F.transform("_p", lambda p: p["m"])).alias("messages"))
+
+
 CONTROL = ("quit", "clear", "system", "load")
 
 
@@ -248,7 +264,7 @@ def _replay_frames(
         F.max_by(F.when(is_sys, F.col("arg")), F.when(is_sys, F.col("seq"))).alias("sys_arg"),
     )
     if saved is not None:
-        loaded = saved.select(
+        loaded = whole_saved(saved).select(
             F.col("name").alias("arg"),
             F.col("system_prompt").alias("load_system"),
             F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"),
@@ -337,7 +353,7 @@ def replay_sessions(
     default_system: str | None = None,
     saved: DataFrame | None = None,
     strip_input: bool = False,
-    part_size: int = PART_SIZE,
+    part_size: int | None = None,
     **columns,
 ) -> DataFrame:
     """Final state per session: ``(session_id, part, system_prompt, closed, messages)``.
@@ -348,8 +364,9 @@ def replay_sessions(
     name`` replaces the session when ``saved`` (``name, system_prompt,
     messages``) has ``name``; ``/save``, ``/history`` and unknown commands
     change nothing; any other user text, and every reply, is a message.
-    A session longer than ``part_size`` messages comes in several parts
-    (``chunked_lists``); ``replay_messages`` gives the same in long form.
+    One row per session, of any length; ``replay_messages`` gives the same in
+    long form. Only with ``part_size`` a longer session comes in several parts
+    (``chunked_lists``). ``saved`` may come in such parts (see ``whole_saved``).
     """
     state, kept, small = _replay_frames(events, default_system, saved, strip_input, columns)
     spans = state.select("session_id", *_SPANS)
@@ -363,7 +380,7 @@ def replay_sessions(
     )
 
 
-def _lists_with_markers(kept: DataFrame, state: DataFrame, part_size: int,
+def _lists_with_markers(kept: DataFrame, state: DataFrame, part_size: int | None,
                         spans: DataFrame | None = None) -> DataFrame:
     """Message lists per (session, part); every session of ``state`` has part 0.
 

@@ -27,7 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from prefspark.functions.chat import message
 from prefspark.operators.ordinal import checked_small
-from prefspark.operators.sessions import PART_SIZE, chunked_lists, classify_events
+from prefspark.operators.sessions import chunked_lists, classify_events, whole_saved
 from prefspark.session import ship_code
 from prefspark.types import MESSAGES
 
@@ -119,7 +119,7 @@ def replay_sessions_stream(
     if saved is None:
         ev = ev.select("*", *no_load)
     else:
-        target = saved.select(F.col("name").alias("arg"), F.lit(True).alias("load_found"),
+        target = whole_saved(saved).select(F.col("name").alias("arg"), F.lit(True).alias("load_found"),
                               F.col("system_prompt").alias("load_system"),
                               F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"))
         loads = ev.filter(F.col("kind") == "load").join(target, "arg", "left").select(
@@ -138,7 +138,7 @@ def replay_sessions_stream(
     return ev.groupBy("session_id").applyInPandasWithState(fold, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
-def final_sessions(out: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
+def final_sessions(out: DataFrame, part_size: int | None = None) -> DataFrame:
     """Final state per session from the stream's output table.
 
     Latest ``state`` row per session, and the messages of its last clear

@@ -176,3 +176,21 @@ def test_bounded_contexts_over_hot_sessions(spark, n):
     as_list = lambda df: sorted(((r.conv_id, r.turn, [m.content for m in r.context], r.reply) for r in df.collect()))
     assert as_list(got) == as_list(ref)
     assert len(as_list(got)) == sum(1 for r in rows if r[2] == "assistant")
+
+
+def test_a_session_of_any_length_is_one_row(spark):
+    from pyspark.sql import functions as F
+
+    n = 70_000
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    lists = sessions.sessions_from_turns(turns)
+    full = sessions.build_messages(lists, system_prompt=F.lit("sys")).select(F.size("messages").alias("n"), F.element_at("messages", -1)["content"].alias("last")).collect()
+    assert [tuple(r) for r in full] == [(n + 1, f"t{n - 1}")]
+    events = turns.select(F.col("conv_id").alias("session_id"), F.col("turn").alias("seq"), "role", "text")
+    out = sessions.replay_sessions(events).select("part", F.size("messages").alias("n")).collect()
+    assert [tuple(r) for r in out] == [(0, n)]
+    parts = sessions.replay_sessions(events, part_size=30_000).select(F.lit("kept").alias("name"), "part", F.lit("old").alias("system_prompt"), "messages")
+    assert parts.count() > 1
+    load = spark.createDataFrame([(2, 0, "user", "/load kept"), (2, 1, "user", "more")], "session_id long, seq long, role string, text string")
+    got = sessions.replay_sessions(load, saved=parts).select("system_prompt", F.transform("messages", lambda m: m["content"]).alias("m")).collect()
+    assert got[0]["system_prompt"] == "old" and got[0]["m"] == [*(f"t{i}" for i in range(n)), "more"]
