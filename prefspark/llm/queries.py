@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and DuckDB SQL where it can express one."""
+"""The registered queries of the operators, and DuckDB SQL where it can express one."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefspark.llm import decontaminate, html_extract, licenses, lm_score, pii, quality, sentencepiece, sharding, simhash_dedup, substring_dedup
+from prefspark.llm import decontaminate, html_extract, licenses, lm_score, pii, quality, sentencepiece, sharding, simhash_dedup, spelling, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": substring_dedup.query,
         "op9_sharding": sharding.query,
         "op10_simhash_dedup": simhash_dedup.query,
+        "op11_spelling": spelling.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_licenses": licenses.oracle(), "op7_quality": quality.oracle(), "op8_substring_dedup": substring_dedup.oracle()}
+    return {"op6_licenses": licenses.oracle(), "op7_quality": quality.oracle(), "op8_substring_dedup": substring_dedup.oracle(), "op11_spelling": spelling.oracle()}
