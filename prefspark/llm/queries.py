@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefspark.llm import decontaminate, html_extract, licenses, lm_score, minhash_dedup, pii, quality, sentencepiece, sharding, simhash_dedup, spelling, substring_dedup
+from prefspark.llm import decontaminate, html_extract, licenses, lm_score, minhash_dedup, pii, prefix_trie, quality, sentencepiece, sharding, simhash_dedup, spelling, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": sharding.query,
         "op10_simhash_dedup": simhash_dedup.query,
         "op11_spelling": spelling.query,
+        "op12_prefix_trie": prefix_trie.query,
         "op13_minhash_dedup": minhash_dedup.query,
     }
 
@@ -32,5 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_quality": quality.oracle(),
         "op8_substring_dedup": substring_dedup.oracle(),
         "op11_spelling": spelling.oracle(),
+        "op12_prefix_trie": prefix_trie.oracle(),
         "op13_minhash_dedup": minhash_dedup.oracle(),
     }
