@@ -53,7 +53,7 @@ from prefspark.sources import (
     write_responses,
     write_sessions,
 )
-from prefspark.streaming import final_sessions, read_prompts_stream, replay_sessions_stream
+from prefspark.streaming import final_sessions, live_sessions, read_prompts_stream, replay_sessions_stream
 
 __version__ = "0.1.0"
 

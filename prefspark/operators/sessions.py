@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import message, render_messages
+from prefspark.operators.ordinal import checked_small, null_safe_join
 from prefspark.operators.segments import PART_SIZE, hot_parts, split_hot
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE, is_blank, py_strip, truthy
 from prefspark.types import MESSAGES, SESSION
@@ -235,6 +236,63 @@ def whole_saved(saved: DataFrame) -> DataFrame:
 
 
 CONTROL = ("quit", "clear", "system", "load")
+LOAD_COLUMNS = ("load_found", "load_system", "load_messages")
+
+
+def with_loads(controls: DataFrame, saved: DataFrame | None) -> DataFrame:
+    """Control events plus what their ``/load`` finds in ``saved``: ``LOAD_COLUMNS``."""
+    if saved is None:
+        return controls.select("*", F.lit(False).alias("load_found"), F.lit(None).cast("string").alias("load_system"),
+                               F.array().cast(MESSAGES).alias("load_messages"))
+    target = whole_saved(saved).select(
+        F.when(F.col("name").isNotNull(), F.lit("load")).alias("kind"),
+        F.col("name").alias("arg"),
+        F.lit(True).alias("load_found"),
+        F.col("system_prompt").alias("load_system"),
+        F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"),
+    )
+    found = controls.join(target, ["kind", "arg"], "left")
+    return found.select(*controls.columns, F.coalesce("load_found", F.lit(False)).alias("load_found"), "load_system",
+                        F.coalesce("load_messages", F.array().cast(MESSAGES)).alias("load_messages"))
+
+
+def session_bounds(sessions: DataFrame, controls: DataFrame, default_system: str | None) -> DataFrame:
+    """What control events (``with_loads``) come to, for every row of ``sessions(session_id, ...)``.
+
+    Adds ``system_prompt, closed, quit_seq, reset_seq`` (messages count between reset and quit,
+    both exclusive) and ``base_messages`` (of a load that is the last reset).
+    """
+    quits = controls.filter(F.col("kind") == "quit").groupBy("session_id").agg(F.min("seq").alias("quit_seq"))
+    ctrl = null_safe_join(controls, quits, ["session_id"], "left")
+    live = F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq"))
+
+    def last(kind: str, also=F.lit(True)) -> Column:
+        return F.when(live & (F.col("kind") == kind) & also, F.col("seq"))
+
+    found = last("load", F.col("load_found"))
+    state = ctrl.groupBy("session_id").agg(
+        F.max("quit_seq").alias("quit_seq"),
+        F.max(last("clear")).alias("clear_seq"),
+        # Of equal seqs the larger argument counts, so a retried task gives the same.
+        F.max(F.when(last("system").isNotNull(), F.struct("seq", F.coalesce("arg", F.lit("")).alias("arg")))).alias("_sys"),
+        F.max_by(F.struct("load_system", "load_messages"), found).alias("_load"),
+        F.max(found).alias("load_seq"),
+    )
+    state = null_safe_join(sessions, state, ["session_id"], "left")
+    reset = F.greatest("clear_seq", "load_seq")
+    from_load = F.col("load_seq").isNotNull() & (F.col("load_seq") == reset)
+    sys_from_load = F.col("load_seq").isNotNull() & (F.col("_sys").isNull() | (F.col("load_seq") > F.col("_sys.seq")))
+    value = (F.when(sys_from_load, F.col("_load.load_system"))
+             .when(F.col("_sys").isNotNull(), F.col("_sys.arg"))
+             .otherwise(F.lit(default_system).cast("string")))
+    return state.select(
+        *sessions.columns,
+        F.when(truthy(value), value).alias("system_prompt"),
+        F.col("quit_seq").isNotNull().alias("closed"),
+        "quit_seq",
+        reset.alias("reset_seq"),
+        F.when(from_load, F.col("_load.load_messages")).otherwise(F.array().cast(MESSAGES)).alias("base_messages"),
+    )
 
 
 def _replay_frames(
@@ -249,76 +307,18 @@ def _replay_frames(
     Only control events (``/quit``, ``/clear``, ``/system``, ``/load``, system
     rows) are aggregated with string values; they are few. Over all events
     there is one hash aggregate (the session list) and one join of the
-    message events with the per-session state.
+    message events with the per-session state. A null session id is a
+    session of its own.
     """
     ev = classify_events(events, strip_input=strip_input, **columns)
-    ctrl = ev.filter(F.col("kind").isin(*CONTROL))
-    quits = ctrl.filter(F.col("kind") == "quit").groupBy("session_id").agg(F.min("seq").alias("quit_seq"))
-    ctrl = ctrl.join(quits, "session_id", "left").filter(
-        F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq")))
-
-    is_sys = F.col("kind") == "system"
-    cstate = ctrl.groupBy("session_id").agg(
-        F.max(F.when(F.col("kind") == "clear", F.col("seq"))).alias("clear_seq"),
-        F.max(F.when(is_sys, F.col("seq"))).alias("sys_seq"),
-        F.max_by(F.when(is_sys, F.col("arg")), F.when(is_sys, F.col("seq"))).alias("sys_arg"),
-    )
-    if saved is not None:
-        loaded = whole_saved(saved).select(
-            F.col("name").alias("arg"),
-            F.col("system_prompt").alias("load_system"),
-            F.coalesce(F.col("messages"), F.array().cast(MESSAGES)).alias("load_messages"),
-        )
-        loads = (
-            ctrl.filter(F.col("kind") == "load")
-            .join(loaded, "arg", "inner")
-            .groupBy("session_id")
-            .agg(F.max_by(F.struct("seq", "load_system", "load_messages"), F.col("seq")).alias("ld"))
-            .select("session_id", F.col("ld.seq").alias("load_seq"), "ld.load_system", "ld.load_messages")
-        )
-    else:
-        loads = None
-
-    state = ev.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("_events"), F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
-    state = state.join(quits, "session_id", "left").join(cstate, "session_id", "left")
-    if loads is not None:
-        state = state.join(loads, "session_id", "left")
-    else:
-        state = state.select(
-            "*",
-            F.lit(None).cast("long").alias("load_seq"),
-            F.lit(None).cast("string").alias("load_system"),
-            F.lit(None).cast(MESSAGES).alias("load_messages"),
-        )
-    reset = F.greatest("clear_seq", "load_seq")
-    from_load = F.col("load_seq").isNotNull() & (F.col("load_seq") == reset)
-    sys_from_load = F.col("load_seq").isNotNull() & (
-        F.col("sys_seq").isNull() | (F.col("load_seq") > F.col("sys_seq"))
-    )
-    sys_value = (
-        F.when(sys_from_load, F.col("load_system"))
-        .when(F.col("sys_seq").isNotNull(), F.col("sys_arg"))
-        .otherwise(F.lit(default_system).cast("string"))
-    )
-    state = state.select(
-        "session_id",
-        F.when(truthy(sys_value), sys_value).alias("system_prompt"),
-        F.col("quit_seq").isNotNull().alias("closed"),
-        "quit_seq",
-        reset.alias("reset_seq"),
-        F.when(from_load, F.col("load_messages")).otherwise(F.array().cast(MESSAGES)).alias("base_messages"),
-        F.col("_events").alias("_c"),
-        "_lo",
-        "_hi",
-    )
-    from prefspark.operators.ordinal import checked_small
-
-    state, small = checked_small(state)
+    controls = with_loads(ev.filter(F.col("kind").isin(*CONTROL)), saved)
+    listed = ev.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("_c"), F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
+    state, small = checked_small(session_bounds(listed, controls, default_system))
     bounds = state.select("session_id", "quit_seq", "reset_seq")
+    said = ev.filter(F.col("kind") == "message")
     kept = (
-        ev.filter(F.col("kind") == "message")
-        .join(F.broadcast(bounds) if small else bounds, "session_id", "inner")
+        null_safe_join(said, F.broadcast(bounds) if small else bounds, ["session_id"], "inner")
         .filter(F.col("quit_seq").isNull() | (F.col("seq") < F.col("quit_seq")))
         .filter(F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
         .select("session_id", "seq", "role", F.col("text").alias("content"))
@@ -374,7 +374,7 @@ def replay_sessions(
     lists = _lists_with_markers(kept, state, part_size, spans)
     logged = F.transform("_l", lambda e: message(e["role"], e["content"]))
     first = F.col("part") == F.lit(0)
-    return lists.join(F.broadcast(state) if small else state, "session_id", "inner").select(
+    return null_safe_join(lists, F.broadcast(state) if small else state, ["session_id"], "inner").select(
         "session_id", "part", "system_prompt", "closed",
         F.when(first, F.concat(F.col("base_messages"), logged)).otherwise(logged).alias("messages"),
     )
@@ -405,13 +405,14 @@ def session_history(
 ) -> DataFrame:
     """State of each session as ``/history`` shows it at ``seq <= at``.
 
-    ``at`` is one bound for all sessions, or a table ``(session_id, at_seq)``.
+    ``at`` is one bound for all sessions, or a table ``(session_id, at_seq)``
+    with one row per session; a null id there bounds the session of null ids.
     """
     seq = columns.get("seq", "seq")
     sid = columns.get("session", "session_id")
     if isinstance(at, DataFrame):
         bound = at.select(F.col("session_id").alias(sid), F.col("at_seq").alias("_at"))
-        cut = events.join(bound, sid, "inner").filter(F.col(seq) <= F.col("_at")).drop("_at")
+        cut = null_safe_join(events, bound, [sid], "inner").filter(F.col(seq) <= F.col("_at")).drop("_at")
     else:
         cut = events.filter(F.col(seq) <= F.lit(at))
     return replay_sessions(cut, default_system, saved, **columns)

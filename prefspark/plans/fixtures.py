@@ -296,6 +296,60 @@ replayed as (select st.session_id,
     string_agg(role || ':' || text, {SQL_SEP} order by seq) as t from msgs group by session_id) m using (session_id))
 """
 
+# --------------------------------------------------------------------------- /load
+
+# Load commands by key: (modulus, remainder, seq, how far the named conversation lies from the session).
+SESSION_LOADS = [(7, 2, 3, 1), (7, 5, 1, 2), (14, 9, 7, 3), (11, 4, 5, -1_000_000)]
+
+
+def load_events(spark, d) -> DataFrame:
+    """``session_events`` plus ``/load`` commands, some of names that were never saved."""
+    ids = table(spark, d, "conversations").select(F.col("conv_id").alias("session_id")).distinct()
+    loads = F.array(*[F.struct(*[F.lit(x).cast("long").alias(n) for n, x in zip("mrsd", row)]) for row in SESSION_LOADS])
+    extra = ids.select("session_id", F.explode(F.filter(loads, lambda c: F.col("session_id") % c["m"] == c["r"])).alias("c"))
+    text = F.concat(F.lit("/load saved-"), (F.col("session_id") + F.col("c.d")).cast("string"))
+    return session_events(spark, d).unionByName(extra.select("session_id", F.col("c.s").alias("seq"), F.lit("user").alias("role"), text.alias("text")))
+
+
+def named_sessions(spark, d) -> DataFrame:
+    return saved_sessions(spark, d).select(F.concat(F.lit("saved-"), F.col("conv_id").cast("string")).alias("name"), "system_prompt", "messages")
+
+
+def sql_load_events() -> str:
+    parts = [sql_session_events()]
+    for m, r, seq, off in SESSION_LOADS:
+        parts.append(f"select conv_id, {seq}::bigint, 'user', '/load saved-' || (conv_id + {off}) from "
+                     f"(select distinct conv_id from conversations) where conv_id % {m} = {r}")
+    return " union all ".join(parts)
+
+
+def sql_load_replay() -> str:
+    """Replay with loads: the last live load that finds its name is a reset that brings messages along."""
+    head = SQL_CLASSIFY[: SQL_CLASSIFY.index("st as (")].strip().rstrip(",")
+    return f"""
+with {SQL_SAVED.strip()},
+ev0 as ({sql_load_events()}),
+{head},
+found as (select e.session_id, e.seq, s.system_prompt as load_system, s.messages as load_messages
+  from e join saved s on e.kind = 'load' and e.live and e.arg = 'saved-' || s.conv_id),
+ld as (select session_id, max(seq) as load_seq, arg_max(load_system, seq) as load_system, arg_max(load_messages, seq) as load_messages
+  from (select session_id, seq, coalesce(load_system, '') as load_system, load_messages from found) group by session_id),
+ctl as (select session_id, max(seq) filter (where live and kind = 'clear') as clear_seq,
+  max(seq) filter (where live and kind = 'system') as sys_seq, arg_max(arg, seq) filter (where live and kind = 'system') as sys_arg,
+  max(quit_seq) as quit_seq from e group by session_id),
+st as (select ctl.*, load_seq, load_system, greatest(clear_seq, load_seq) as reset_seq,
+  case when load_seq is not null and load_seq = greatest(clear_seq, load_seq) then load_messages else [] end as base
+  from ctl left join ld using (session_id)),
+msgs as (select e.session_id, e.seq, e.role, e.text from e join st using (session_id)
+  where e.live and e.kind = 'message' and (st.reset_seq is null or e.seq > st.reset_seq)),
+listed as (select st.*, list_concat(list_transform(base, lambda m: m.role || ':' || m.content), coalesce(t, [])) as said
+  from st left join (select session_id, list(role || ':' || text order by seq) as t from msgs group by session_id) using (session_id))
+select session_id, nullif(case when load_seq is not null and (sys_seq is null or load_seq > sys_seq) then load_system else sys_arg end, '') as system_prompt,
+  (quit_seq is not null)::bigint as closed, len(said)::bigint as n_messages, array_to_string(said, {SQL_SEP}) as messages_text
+from listed
+"""
+
+
 # --------------------------------------------------------------------------- sessions
 
 

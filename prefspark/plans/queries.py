@@ -19,7 +19,8 @@ from prefspark.plans import models
 from prefspark.plans.fixtures import SQL_SEP, msg_text, sql_msg_text, sql_str
 from prefspark.session import scratch_path
 from prefspark.sources import readers
-from prefspark.streaming import final_sessions, read_prompts_stream, replay_sessions_stream
+from prefspark.streaming import final_sessions, live_sessions, read_prompts_stream, replay_sessions_stream
+from prefspark.streaming.sessions import ROCKSDB
 from prefspark.types import SESSION_EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,8 +318,8 @@ def q_replay_messages(spark, d):
     return out.select("session_id", "seq", big("pos").alias("pos"), "role", "content")
 
 
-# Seq ranges written one after another: each becomes one micro-batch, in order.
-STREAM_SEQ_CUTS = (4, 8, 12)
+# Events are dealt to files by hash: each micro-batch has a few of every session, in no order.
+STREAM_BATCHES = 4
 STREAM_FILES = 4
 
 
@@ -330,9 +331,19 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     """
     run = spark.newSession()
     run.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    run.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return run
 
 
+def _replayed_stream(spark: SparkSession, events: DataFrame, saved: DataFrame | None = None) -> DataFrame:
+    """Output table of the stream over ``events``, a few of every session in each micro-batch."""
+    src = scratch_path(spark, "stream-events")
+    events.repartition(STREAM_BATCHES * STREAM_FILES, "session_id", "seq", "text").write.parquet(src)
+    run = _stream_session(spark)
+    stream = run.readStream.schema(SESSION_EVENT).option("maxFilesPerTrigger", STREAM_FILES).parquet(src)
+    return _stream_to_table(run, replay_sessions_stream(stream, saved=saved), "replay")
+
+
 def _stream_to_table(spark, stream, name: str):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
@@ -347,21 +358,18 @@ with ev0 as ({fx.sql_session_events()}),
 select {_REPLAY_COLS} from replayed
 """)
 def q_replay_sessions_stream(spark, d):
-    events = fx.session_events(spark, d)
-    src = scratch_path(spark, "stream-events")
-    lo = None
-    for hi in (*STREAM_SEQ_CUTS, None):
-        part = events
-        if lo is not None:
-            part = part.filter(F.col("seq") >= lo)
-        if hi is not None:
-            part = part.filter(F.col("seq") < hi)
-        part.repartition(STREAM_FILES, "session_id").write.mode("append").parquet(src)
-        lo = hi
-    run = _stream_session(spark)
-    stream = run.readStream.schema(SESSION_EVENT).option("maxFilesPerTrigger", STREAM_FILES).parquet(src)
-    out = _stream_to_table(run, replay_sessions_stream(stream), "replay")
-    return _replay_out(final_sessions(out))
+    return _replay_out(final_sessions(_replayed_stream(spark, fx.session_events(spark, d))))
+
+
+@register("replay_sessions_load", fx.sql_load_replay())
+def q_replay_sessions_load(spark, d):
+    return _replay_out(sessions.replay_sessions(fx.load_events(spark, d), saved=fx.named_sessions(spark, d)))
+
+
+@register("replay_sessions_stream_load", fx.sql_load_replay())
+def q_replay_sessions_stream_load(spark, d):
+    saved = fx.named_sessions(spark, d)
+    return _replay_out(live_sessions(_replayed_stream(spark, fx.load_events(spark, d), saved)))
 
 
 @register("session_history", f"""
