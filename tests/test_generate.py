@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pandas as pd
 import pytest
 
@@ -79,3 +82,40 @@ def test_select_candidates_hot_prompts_equal_plain(spark, top_p):
     assert [r.rank for r in plain] == [r.rank for r in hot]
     for a, b in zip(plain, hot):
         assert abs(a.prob - b.prob) < 1e-12 and abs(a.kept_prob - b.kept_prob) < 1e-9
+
+
+def _skewed_scores(text_ids):
+    """99 % of the scores within a thousandth of the range, half of these on one score; a null and a NaN."""
+    rnd = random.Random(8)
+    scores = [rnd.choice([0.5, rnd.random() / 1000]) for _ in range(1980)] + [rnd.random() for _ in range(20)] + [None, float("nan")]
+    name = (lambda c: f"candidate-{c:07d}" + "x" * (c % 3)) if text_ids else (lambda c: c)
+    return [(g, name(c), s) for g in (1, None) for c, s in enumerate(scores)] + [(2, name(0), 1.0)]
+
+
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_score_buckets_follow_skewed_scores(spark, text_ids):
+    schema = f"prompt_id long, cand_id {'string' if text_ids else 'long'}, score double"
+    df = spark.createDataFrame(_skewed_scores(text_ids), schema)
+    out = generate.score_buckets(df, "prompt_id", "cand_id", "score", 40).collect()
+    assert len(out) == df.count()
+    fill = Counter((r.prompt_id, r._b) for r in out)
+    assert max(fill.values()) <= 40 and len(fill) < 400
+    for g in (1, None):
+        # Buckets in path order hold the ranking's runs.
+        want = sorted((r for r in out if r.prompt_id == g), key=lambda r: (r.score is None, -(r.score or 0) if r.score == r.score else -9, r.cand_id))
+        assert [r._b for r in want] == sorted(r._b for r in want)
+
+
+def test_score_buckets_leave_equal_rows_together(spark):
+    df = spark.createDataFrame([(1, "same", 2.0)] * 30 + [(1, f"id{k}", 1.0) for k in range(30)], "prompt_id long, cand_id string, score double")
+    fill = Counter(r._b for r in generate.score_buckets(df, "prompt_id", "cand_id", "score", 10).collect())
+    assert sorted(fill.values())[-1] == 30 and sorted(fill.values())[-2] <= 10
+
+
+def test_select_candidates_hot_and_skewed_equal_plain(spark):
+    rows = [r for r in _skewed_scores(True) if r[2] is not None and r[2] == r[2]]
+    df = spark.createDataFrame(rows, "prompt_id long, cand_id string, score double")
+    plain = {(r.prompt_id, r.cand_id): r for r in generate.select_candidates(df, 0.7, None, 0.9).collect()}
+    hot = {(r.prompt_id, r.cand_id): r for r in generate.select_candidates(df, 0.7, None, 0.9, hot_rows=40).collect()}
+    assert plain.keys() == hot.keys() and {k[0] for k in plain} == {1, 2, None}
+    assert all(plain[k].rank == hot[k].rank and abs(plain[k].kept_prob - hot[k].kept_prob) < 1e-9 for k in plain)
