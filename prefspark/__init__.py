@@ -35,6 +35,7 @@ from prefspark.operators.sampling import (
 )
 from prefspark.operators.sessions import (
     build_messages,
+    context_links,
     render_chat,
     replay_messages,
     replay_sessions,
@@ -43,6 +44,7 @@ from prefspark.operators.sessions import (
     session_to_json,
     sessions_from_turns,
     turn_contexts,
+    unfold_contexts,
 )
 from prefspark.sources import (
     read_prompt_lines,

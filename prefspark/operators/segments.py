@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.operators.ordinal import BROADCAST_BYTES, BROADCAST_ROWS, checked_small, checked_table
+from prefspark.operators.ordinal import BROADCAST_BYTES, BROADCAST_ROWS, checked_small, checked_table, null_safe_join
 
 PART_SIZE = 1 << 16
 
@@ -54,7 +54,7 @@ def split_hot(
     if n_hot == 0:
         return df.withColumn("part", F.lit(0).cast("long")).withColumn("_hot", F.lit(False)), False
     small = n_hot <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-    tagged = df.join(F.broadcast(hot) if small else hot, [key], "left")
+    tagged = null_safe_join(df, F.broadcast(hot) if small else hot, [key], "left")
     width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_np")
     part = F.when(F.col("_np").isNull() | F.col(order).isNull(), F.lit(0)).otherwise(
         F.floor((F.col(order) - F.col("_lo")).cast("double") / width)).cast("long")
@@ -91,7 +91,7 @@ def shift_within(
     by_part = Window.partitionBy(group).orderBy("part")
     ends = ends.select(group, "part", (F.lag if offset == 1 else F.lead)("_end").over(by_part).alias("_halo"))
     ends, small = checked_small(ends)
-    x = x.join(F.broadcast(ends) if small else ends, [group, "part"], "left")
+    x = null_safe_join(x, F.broadcast(ends) if small else ends, [group, "part"], "left")
     shifted = [F.lag(c).over(w) for c in cols]  # w runs backwards for a lead
     out = [F.when(edge_row & F.col("_hot"), F.col("_halo")[c]).otherwise(s).alias(n)
            for c, s, n in zip(cols, shifted, names)]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import message, render_messages
-from prefspark.operators.ordinal import checked_small, null_safe_join
+from prefspark.operators.ordinal import checked_small, join_small, null_safe_join
 from prefspark.operators.segments import PART_SIZE, hot_parts, split_hot
 from prefspark.functions.text import PY_NONSPACE, PY_SPACE, is_blank, py_strip, truthy
 from prefspark.types import MESSAGES, SESSION
@@ -107,6 +107,82 @@ def render_chat(
 # --------------------------------------------------------------------------- E4
 
 
+def context_links(
+    turns: DataFrame,
+    session: str = "conv_id",
+    order: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    reply_role: str | None = "assistant",
+    part_size: int = PART_SIZE,
+) -> DataFrame:
+    """Every reply with a link to the history it was generated from: linear in the turns.
+
+    ``(session, order, n_context, context_key, parent_key, reply)``. The context is the session's
+    first ``n_context`` turns. ``context_key`` (32 hex digits) names that prefix by its turns
+    alone, so sessions that begin alike share it; ``parent_key`` names the prefix one turn
+    shorter (null for the empty context). ``unfold_contexts`` makes message lists of chosen rows.
+    With ``reply_role`` None every turn is a reply. Turns are ordered by ``order`` (null first),
+    then role and text.
+
+    A prefix's name is the exclusive or of two hashes of each (position, role, text), so it is a
+    running aggregate: sessions of over ``part_size`` turns are windowed in parts, and each
+    part's count and names so far come from a table with a row per part.
+    """
+    x, hot = split_hot(turns.select(session, order, role, text), session, order, part_size)
+    by = Window.partitionBy(session, "part").orderBy(F.asc_nulls_first(order), F.asc_nulls_first(role), F.asc_nulls_first(text))
+    earlier = Window.partitionBy(session).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_pos", F.row_number().over(by).cast("long"))
+    if hot:
+        sizes = x.groupBy(session, "part").agg(F.count(F.lit(1)).alias("_n"))
+        sizes = sizes.select(session, "part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+        x = join_small(x, sizes.filter("_start > 0"), [session, "part"], "left")
+        x = x.withColumn("_pos", F.col("_pos") + F.coalesce("_start", F.lit(0))).drop("_start")
+    said = [F.col("_pos"), F.coalesce(F.col(role), F.lit("")), F.coalesce(F.col(text), F.lit(""))]
+    x = x.withColumns({"_h1": F.xxhash64(*said), "_h2": F.xxhash64(F.lit("second"), *said)})
+    own = by.rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({"_k1": F.bit_xor("_h1").over(own), "_k2": F.bit_xor("_h2").over(own)})
+    if hot:
+        sums = x.groupBy(session, "part").agg(F.bit_xor("_h1").alias("_x1"), F.bit_xor("_h2").alias("_x2"))
+        sums = sums.select(session, "part", *[F.bit_xor(f"_x{i}").over(earlier).alias(f"_e{i}") for i in (1, 2)])
+        x = join_small(x, sums.filter("_e1 is not null"), [session, "part"], "left")
+        x = x.withColumns({f"_k{i}": F.col(f"_k{i}").bitwiseXOR(F.coalesce(f"_e{i}", F.lit(0))) for i in (1, 2)})
+    # The turn's own name without its own hash is its context's, and so on to the parent.
+    before = [F.col(f"_k{i}").bitwiseXOR(F.col(f"_h{i}")) for i in (1, 2)]
+    lag = [F.lag(F.col(f"_h{i}")).over(by) for i in (1, 2)]
+    if hot:
+        last = x.groupBy(session, "part").agg(F.max_by(F.struct("_h1", "_h2"), "_pos").alias("_last"))
+        last = last.select(session, "part", F.lag("_last").over(Window.partitionBy(session).orderBy("part")).alias("_halo"))
+        x = join_small(x, last.filter("_halo is not null"), [session, "part"], "left")
+        lag = [F.coalesce(g, F.col(f"_halo._h{i}")) for i, g in enumerate(lag, 1)]
+    name = lambda a, b: F.lower(F.concat(F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0")))
+    x = x.withColumns({"_b1": before[0], "_b2": before[1], "_l1": lag[0], "_l2": lag[1]})
+    if reply_role is not None:
+        x = x.filter(F.col(role) == reply_role)
+    parent = name(F.col("_b1").bitwiseXOR(F.col("_l1")), F.col("_b2").bitwiseXOR(F.col("_l2")))
+    return x.select(
+        session, order, (F.col("_pos") - 1).alias("n_context"), name(F.col("_b1"), F.col("_b2")).alias("context_key"),
+        F.when(F.col("_pos") > 1, parent).alias("parent_key"), F.col(text).alias("reply"),
+    )
+
+
+def unfold_contexts(
+    links: DataFrame, turns: DataFrame, session: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """``links`` (rows of ``context_links``, all or some) plus ``context``, the messages they stand for.
+
+    One list per session that is asked for, and a slice of it per link: turns are shuffled once,
+    and only the output grows with the length of the contexts.
+    """
+    asked = links.groupBy(session).agg(F.max("n_context").alias("_most"))
+    entry = F.struct(F.col(order).isNotNull().alias("n"), F.col(order).alias("k"), F.col(role).alias("role"), F.col(text).alias("content"))
+    lists = turns.select(session, order, role, text).groupBy(session).agg(F.array_sort(F.collect_list(entry)).alias("_turns"))
+    lists = null_safe_join(lists, asked, [session], "inner").select(
+        session, F.transform(F.slice("_turns", 1, F.col("_most").cast("int")), lambda e: message(e["role"], e["content"])).alias("_turns"))
+    out = null_safe_join(links, lists, [session], "inner")
+    return out.withColumn("context", F.slice("_turns", 1, F.col("n_context").cast("int"))).drop("_turns")
+
+
 def turn_contexts(
     turns: DataFrame,
     session: str = "conv_id",
@@ -117,25 +193,22 @@ def turn_contexts(
     max_context: int | None = None,
     part_size: int = PART_SIZE,
 ) -> DataFrame:
-    """Every reply with the history it was generated from (all earlier turns).
+    """Every reply with the history it was generated from, as message lists.
 
-    The context is, by definition, the whole earlier session, so the output
-    grows with the square of a session's length, as the model input does.
-    ``max_context`` keeps only the last that many turns (a model context
-    window); the output is then linear, and sessions longer than
-    ``part_size`` are windowed in parts (``_bounded_contexts_hot``).
+    The context is, by definition, the whole earlier session: ``context_links`` unfolded for
+    every reply, so the output grows with the square of a session's length, as the model
+    input does; keep the links where that is too much. ``max_context`` keeps only the last
+    that many turns (a model context window); the output is then linear, and sessions longer
+    than ``part_size`` are windowed in parts (``_bounded_contexts_hot``).
     """
     if max_context is not None and max_context < 1:
         raise ValueError("max_context must be positive")
-    start = Window.unboundedPreceding if max_context is None else -int(max_context)
     cols = [session, order, "context", F.col(text).alias("reply")]
     if max_context is None:
-        w = Window.partitionBy(session).orderBy(order).rowsBetween(start, -1)
-        ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
-        return (turns.select(session, order, role, text, ctx.alias("context"))
-                .filter(F.col(role) == reply_role).select(*cols))
+        links = context_links(turns, session, order, role, text, reply_role, part_size)
+        return unfold_contexts(links, turns, session, order, role, text).select(session, order, "context", "reply")
     x, any_hot = split_hot(turns.select(session, order, role, text), session, order, part_size)
-    w = Window.partitionBy(session, "part").orderBy(order).rowsBetween(start, -1)
+    w = Window.partitionBy(session, "part").orderBy(order).rowsBetween(-int(max_context), -1)
     ctx = F.collect_list(message(F.col(role), F.col(text))).over(w)
     normal = x.filter(~F.col("_hot")) if any_hot else x
     out = (normal.select(session, order, role, text, ctx.alias("context"))
@@ -154,8 +227,6 @@ def _bounded_contexts_hot(x, session, order, role, text, reply_role, n) -> DataF
     as a halo, so the bounded window of every reply sees the same rows as a
     window over the whole session; halo rows give no output of their own.
     """
-    from prefspark.operators.ordinal import join_small
-
     counts = x.groupBy(session, "part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(session).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(session, "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -291,6 +291,23 @@ def q_turn_contexts(spark, d):
                      F.md5(msg_text(F.col("context"))).alias("context_md5"), F.md5("reply").alias("reply_md5"))
 
 
+@register("context_links", f"""
+with w as (select conv_id, turn, role, text,
+  count(*) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as n_context,
+  list(role || ':' || text) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as ctx,
+  lag(role || ':' || text) over (partition by conv_id order by turn) as prev from conversations),
+k as (select conv_id, turn, n_context, coalesce(array_to_string(ctx, {SQL_SEP}), '') as c,
+  case when n_context > 0 then array_to_string(ctx[:-2], {SQL_SEP}) end as p from w)
+select conv_id, turn, n_context::bigint as n_context, count(*) over (partition by n_context, c) as n_same_context,
+  case when n_context > 0 then count(*) over (partition by n_context, p) end as n_same_parent from k
+""")
+def q_context_links(spark, d):
+    links = sessions.context_links(fx.table(spark, d, "conversations"), reply_role=None)
+    same = links.groupBy("context_key").agg(F.count(F.lit(1)).alias("n_same_context"))
+    kin = links.where("parent_key is not null").groupBy("parent_key").agg(F.count(F.lit(1)).alias("n_same_parent"))
+    return links.join(same, "context_key").join(kin, "parent_key", "left").select("conv_id", "turn", "n_context", "n_same_context", "n_same_parent")
+
+
 def _replay_out(df: DataFrame) -> DataFrame:
     return df.select("session_id", "system_prompt", big("closed").alias("closed"),
                      big(F.size("messages")).alias("n_messages"), msg_text(F.col("messages")).alias("messages_text"))

@@ -128,6 +128,38 @@ def test_turn_contexts(spark):
     assert [[m.content for m in r.context] for r in rows] == [["a"], ["b", "c"]]
 
 
+def _long_sessions(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(c, t, rnd.choice(["user", "assistant"]) if t > 40 else "user", f"m{t if c < 3 or t < 30 else -t}") for c in (1, 2, 3, 2**60 + 1) for t in range(90)]
+    rows += [(None, t, "assistant", f"m{t}") for t in (3, 1, 2)] + [(9, None, "assistant", "first"), (9, 4, None, None), (9, 4, "assistant", "b"), (9, 4, "assistant", "a")]
+    return rows, spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_context_links_are_linear_and_unfold_to_the_window(spark):
+    rows, turns = _long_sessions(spark)
+    plain = sessions.context_links(turns, reply_role=None)
+    parts = sessions.context_links(turns, reply_role=None, part_size=16)
+    as_set = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert as_set(plain) == as_set(parts) and plain.count() == len(rows)
+    ordered = {}
+    for c, t, r, x in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")):
+        ordered.setdefault(c, []).append((r, x))
+    # One key per distinct prefix, and the parent's key is the shorter prefix's.
+    prefix = {}
+    for r in plain.collect():
+        history = tuple(ordered[r.conv_id][: r.n_context])
+        assert prefix.setdefault(r.context_key, history) == history
+        assert (r.parent_key is None) == (r.n_context == 0)
+        if r.n_context:
+            assert prefix.setdefault(r.parent_key, history[:-1]) == history[:-1]
+    assert len(set(prefix.values())) == len(prefix)
+    for r in sessions.unfold_contexts(plain, turns).collect():
+        assert [(m.role, m.content) for m in r.context] == ordered[r.conv_id][: r.n_context]
+    some = sessions.unfold_contexts(plain.filter("conv_id = 2 and n_context in (5, 60)"), turns).collect()
+    assert sorted(len(r.context) for r in some) == [5, 60]
+
+
 def test_session_json_roundtrip_keeps_null(spark):
     m = [{"role": "user", "content": "q"}]
     df = spark.createDataFrame([(0, None, m), (1, "sys", [])], f"id long, system_prompt string, messages {MESSAGES.simpleString()}")
