@@ -25,8 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefspark.llm.common import Chunk, chunks, materialize, mix, text_of
 
@@ -103,10 +105,19 @@ class Filter:
     """Slices ``lo:hi`` of the filter; ranges are the leading ``shift`` bits of a key."""
 
     def __init__(self, shift: int, lo: int, slices: list[bytes]) -> None:
-        self.shift, self.lo, self.n = shift, lo, len(slices)
-        self.bits = np.array([len(s) * 8 for s in slices], np.uint64)
-        self.begin = np.concatenate(([0], np.cumsum([len(s) for s in slices])))[:-1].astype(np.uint64) * np.uint64(8)
-        self.data = np.frombuffer(b"".join(slices), np.uint8)
+        self._set(shift, lo, np.array([len(s) for s in slices], np.int64), np.frombuffer(b"".join(slices), np.uint8))
+
+    def _set(self, shift: int, lo: int, sizes: np.ndarray, data: np.ndarray) -> None:
+        self.shift, self.lo, self.n, self.data = shift, lo, len(sizes), data
+        self.bits = sizes.astype(np.uint64) * np.uint64(8)
+        self.begin = (np.cumsum(sizes) - sizes).astype(np.uint64) * np.uint64(8)
+
+    @staticmethod
+    def over(shift: int, lo: int, sizes: np.ndarray, data: np.ndarray) -> "Filter":
+        """The filter whose slices of ``sizes`` bytes lie one after another in ``data``."""
+        out = Filter.__new__(Filter)
+        out._set(shift, lo, sizes, data)
+        return out
 
     def range_of(self, keys: np.ndarray) -> np.ndarray:
         return ranges_of(keys, self.shift) - self.lo
@@ -133,23 +144,51 @@ def ranges_of(keys: np.ndarray, shift: int) -> np.ndarray:
 class Model:
     """Counts of a corpus as tables: ``parts(kind, range, blob)``, sizes, and the mixing weights."""
 
-    def __init__(self, parts: DataFrame, shift: int, total: int, distinct: int, texts: int, vocab: list, filters: list) -> None:
+    def __init__(self, parts: DataFrame, shift: int, total: int, distinct: int, texts: int, vocab: list, filters: list, sizes: dict) -> None:
         self.parts, self.shift, self.total, self.distinct, self.texts = parts, shift, total, distinct, texts
         self.vocab_pieces, self.filter_pieces = vocab, filters
+        #: By (kind, range): distinct words, or bytes of the filter's slice.
+        self.sizes = sizes
         self.weights = np.zeros(CLASSES)
+        self._whole = None
 
-    def _blobs(self, kind: int, piece: tuple[int, int]) -> list[bytes]:
-        rows = self.parts.where((F.col("kind") == kind) & F.col("range").between(*piece)).select("range", "blob").collect()
-        return [bytes(r["blob"]) for r in sorted(rows, key=lambda r: r["range"])]
+    def _layout(self, kind: int, piece: tuple[int, int], least: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([self.sizes.get((kind, k), least) for k in range(piece[0], piece[1] + 1)], np.int64)
+        return sizes, np.cumsum(sizes) - sizes
 
-    def vocab(self, piece: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [unpack(b) for b in self._blobs(0, piece)] or [(np.empty(0, np.uint64), np.empty(0, np.int64))]
-        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.uint32)
+    def _blobs(self, kind: int, piece: tuple[int, int]) -> Iterator[tuple[int, bytes]]:
+        """``(place, blob)`` of the ranges of a piece, a partition at a time."""
+        for r in self.parts.where((F.col("kind") == kind) & F.col("range").between(*piece)).select("range", "blob").toLocalIterator():
+            yield r["range"] - piece[0], r["blob"]
 
-    def filter(self, piece: tuple[int, int]) -> Filter:
-        rows = self.parts.where((F.col("kind") == 1) & F.col("range").between(*piece)).select("range", "blob").collect()
-        held = {r["range"]: bytes(r["blob"]) for r in rows}
-        return Filter(self.shift, piece[0], [held.get(k, bytes(8)) for k in range(piece[0], piece[1] + 1)])
+    def vocab(self, piece: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, begin = self._layout(0, piece, 0)
+        keys, counts = np.empty(sizes.sum(), np.uint64), np.empty(sizes.sum(), np.uint32)
+        for k, blob in self._blobs(0, piece):
+            keys[begin[k] : begin[k] + sizes[k]], counts[begin[k] : begin[k] + sizes[k]] = unpack(blob)
+        return keys, counts
+
+    def filter(self, piece: tuple[int, int]) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """What ``Filter.over`` takes: plain values, which workers can read without this package."""
+        sizes, begin = self._layout(1, piece, 8)
+        data = np.zeros(sizes.sum(), np.uint8)
+        for k, blob in self._blobs(1, piece):
+            data[begin[k] : begin[k] + sizes[k]] = np.frombuffer(blob, np.uint8)
+        return self.shift, piece[0], sizes, data
+
+    def shared(self, piece: tuple[int, int]):
+        """Broadcast of the vocabulary (if it is one piece) and a piece of the filter.
+
+        Where both are whole, fitting and scoring use the same one.
+        """
+        sc = self.parts.sparkSession.sparkContext
+        one = len(self.vocab_pieces) == 1
+        if self._whole is not None:
+            return self._whole
+        out = sc.broadcast((self.vocab(self.vocab_pieces[0]) if one else None, self.filter(piece)))
+        if one and len(self.filter_pieces) == 1:
+            self._whole = out
+        return out
 
 
 def _pieces(sizes: dict[int, int], ranges: int, most: int) -> list[tuple[int, int]]:
@@ -201,7 +240,8 @@ def train(texts: DataFrame, text_col: str = "text", vocab_entries: int = VOCAB_E
     words = [s for s in stats if s["kind"] == 0]
     vocab = _pieces({s["range"]: s["distinct"] for s in words}, 1 << shift, vocab_entries)
     filters = _pieces({s["range"]: s["bytes"] for s in stats if s["kind"] == 1}, 1 << shift, filter_bytes)
-    model = Model(parts, shift, sum(s["total"] for s in words), sum(s["distinct"] for s in words), sum(s["ends"] for s in words), vocab, filters)
+    sizes = {(s["kind"], s["range"]): s["bytes"] if s["kind"] else s["distinct"] for s in stats}
+    model = Model(parts, shift, sum(s["total"] for s in words), sum(s["distinct"] for s in words), sum(s["ends"] for s in words), vocab, filters, sizes)
     if model.total:
         model.weights = _fit(rows, model)
     return model
@@ -219,12 +259,12 @@ def _size_class(history: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(history.astype(np.float64))[1], CLASSES - 1)
 
 
-def _events(b: pd.DataFrame, vocab, held: Filter, texts: int) -> Iterator[tuple]:
+def _events(b: pa.RecordBatch, vocab, held: Filter, texts: int) -> Iterator[tuple]:
     """Per chunk: (chunk, text of token, c(w), c(h), q(h, w), in this piece of the filter)."""
-    for c in chunks(b["text"], lower=True):
+    for c in chunks(b["text"].to_pylist(), lower=True):
         tok, prev, doc, pair = tokens(c)
         if vocab is None:
-            n = np.concatenate([np.frombuffer(x, "<i8") for x in b["counts"].iloc[c.lo : c.hi]])
+            n = np.concatenate([np.frombuffer(x, "<i8") for x in b["counts"].slice(c.lo, c.hi - c.lo).to_pylist()])
         else:
             n = _word_counts(tok, vocab)
         history = np.concatenate(([0], n[:-1]))
@@ -239,39 +279,42 @@ def _events(b: pd.DataFrame, vocab, held: Filter, texts: int) -> Iterator[tuple]
 def _with_counts(rows: DataFrame, model: Model) -> DataFrame:
     """Add the word counts of each token as a column, one pass per piece of the vocabulary."""
     spark = rows.sparkSession
-    schema = rows.schema.add("counts", "binary")
+    schema = T.StructType([*rows.schema.fields, T.StructField("counts", T.BinaryType())])
     for k, piece in enumerate(model.vocab_pieces):
         shared = spark.sparkContext.broadcast(model.vocab(piece))
 
-        def look(batches: Iterator[pd.DataFrame], shared=shared, k=k) -> Iterator[pd.DataFrame]:
+        def look(batches: Iterator[pa.RecordBatch], shared=shared, k=k) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 out = []
-                for c in chunks(b["text"], lower=True):
+                for c in chunks(b["text"].to_pylist(), lower=True):
                     tok, _, doc, _ = tokens(c)
                     n = _word_counts(tok, shared.value)
                     cut = np.searchsorted(doc, np.arange(c.hi - c.lo + 1))
                     for i in range(c.hi - c.lo):
                         own = n[cut[i] : cut[i + 1]]
-                        out.append((own + np.frombuffer(b["counts"].iat[c.lo + i], "<i8") if k else own).astype("<i8").tobytes())
-                yield b.assign(counts=out)
+                        out.append((own + np.frombuffer(b["counts"][c.lo + i].as_py(), "<i8") if k else own).astype("<i8").tobytes())
+                yield _with_columns(b, {"counts": pa.array(out, pa.binary())})
 
-        rows = materialize(rows.mapInPandas(look, schema), "lm_word_counts")
-        shared.unpersist()
+        rows = materialize(rows.mapInArrow(look, schema), "lm_word_counts")
+        shared.destroy()
     return rows
 
 
+def _with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The batch with columns put in or in place; all others, ids above all, stay as they are."""
+    return pa.RecordBatch.from_pydict({n: batch[n] for n in batch.schema.names} | columns)
+
+
 def _fit(rows: DataFrame, model: Model) -> np.ndarray:
     """Best mixing weight of each size class of histories, leaving out each event itself."""
-    spark = rows.sparkSession
-    one = len(model.vocab_pieces) == 1
-    rows = rows if one else _with_counts(rows, model)
+    rows = rows if len(model.vocab_pieces) == 1 else _with_counts(rows, model)
     bottom, texts = model.total + 0.1 * (model.distinct + 1) - 1, model.texts
     sums = np.zeros((CLASSES, len(GRID)))
     for piece in model.filter_pieces:
-        shared = spark.sparkContext.broadcast((model.vocab(model.vocab_pieces[0]) if one else None, model.filter(piece)))
+        shared = model.shared(piece)
 
-        def gain(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            vocab, held = shared.value
+        def gain(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            vocab, held = shared.value[0], Filter.over(*shared.value[1])
             acc = np.zeros((CLASSES, len(GRID)))
             for b in batches:
                 for _, _, n, history, q, here in _events(b, vocab, held, texts):
@@ -281,11 +324,13 @@ def _fit(rows: DataFrame, model: Model) -> np.ndarray:
                     cls = _size_class(history)
                     for g, a in enumerate(GRID):
                         acc[:, g] += np.bincount(cls, np.log(a * r + (1 - a) * u), CLASSES)
-            yield pd.DataFrame({"cls": np.repeat(np.arange(CLASSES), len(GRID)), "g": np.tile(np.arange(len(GRID)), CLASSES), "v": acc.ravel()})
+            cls, g = np.repeat(np.arange(CLASSES, dtype=np.int32), len(GRID)), np.tile(np.arange(len(GRID), dtype=np.int32), CLASSES)
+            yield pa.RecordBatch.from_pydict({"cls": pa.array(cls), "g": pa.array(g), "v": pa.array(acc.ravel())})
 
-        for r in rows.mapInPandas(gain, "cls int, g int, v double").groupBy("cls", "g").agg(F.sum("v").alias("v")).collect():
+        for r in rows.mapInArrow(gain, "cls int, g int, v double").groupBy("cls", "g").agg(F.sum("v").alias("v")).collect():
             sums[r["cls"], r["g"]] += r["v"]
-        shared.unpersist()
+        if shared is not model._whole:
+            shared.destroy()
     out = GRID[np.argmax(np.round(sums, 3), axis=1)]
     out[0] = 0.0  # histories never seen
     return out
@@ -296,7 +341,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     An empty or null text is scored as its end alone. Repeated rows score alike.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     one = len(model.vocab_pieces) == 1
     rows = rows if one else _with_counts(rows, model)
@@ -305,13 +349,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = f"id {kind}, text string, {'' if one else 'counts binary, '}n_tokens bigint, n_known bigint, base_score double, score double"
     weights = model.weights
     for k, piece in enumerate(model.filter_pieces):
-        shared = spark.sparkContext.broadcast((model.vocab(model.vocab_pieces[0]) if one else None, model.filter(piece)))
+        shared = model.shared(piece)
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared, k=k) -> Iterator[pd.DataFrame]:
-            vocab, held = shared.value
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, k=k) -> Iterator[pa.RecordBatch]:
+            vocab, held = shared.value[0], Filter.over(*shared.value[1])
             for b in batches:
-                b = b.astype({"id": "Int64"}) if b["id"].dtype == np.float64 else b
-                out = []
+                out = [np.empty((0, 4))]
                 for c, doc, n, history, q, here in _events(b, vocab, held, texts):
                     size = c.hi - c.lo
                     u = (n + 0.1) / bottom
@@ -321,14 +364,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     out.append(np.column_stack([np.bincount(doc, minlength=size), np.bincount(doc, n > 0, size), np.bincount(doc, np.log10(u), size), part]))
                 got = np.concatenate(out)
                 if k:
-                    yield b.assign(score=b["score"] + got[:, 3])
+                    yield _with_columns(b, {"score": pa.array(b["score"].to_numpy() + got[:, 3])})
                 else:
-                    yield b.assign(n_tokens=got[:, 0].astype(np.int64), n_known=got[:, 1].astype(np.int64), base_score=got[:, 2], score=got[:, 3])
+                    yield _with_columns(b, {"n_tokens": pa.array(got[:, 0].astype(np.int64)), "n_known": pa.array(got[:, 1].astype(np.int64)), "base_score": pa.array(got[:, 2]), "score": pa.array(got[:, 3])})
 
-        rows = rows.mapInPandas(run, schema)
+        rows = rows.mapInArrow(run, schema)
         if len(model.filter_pieces) > 1:
             rows = materialize(rows, "lm_scores")
-            shared.unpersist()
+            shared.destroy()
     return rows.drop("counts")
 
 
