@@ -7,13 +7,14 @@ if 100 * intersection >= ``percent`` * union.
 1. Equal sets are one member. Every member gets ``BANDS * ROWS`` minima under universal
    (multiply-shift) hashes; its bands are the equi-join keys. A pair of similarity 0.85 agrees on
    no band with probability (1 - 0.85**5)**32 = 7e-9, a closer pair less.
-2. In every band bucket all members meet the bucket's leader, its smallest member: one pair a
-   member, whatever the bucket's size. Pairs whose signatures agree on at least ``SURE`` of the
-   minima are verified on the full sets; verified links give first components.
-3. Buckets that still hold several components are searched in full for pairs between different
+2. In every band bucket all members meet the bucket's leader, the member that meets most others in
+   its buckets: one pair a member, whatever the bucket's size. Pairs whose signatures agree on at
+   least ``SURE`` of the minima are verified on the full sets; verified links give first components.
+3. Buckets that still hold several components are searched in full for links between different
    components: the members outside the bucket's largest component against all of it, in blocks of
-   at most about ``BLOCK`` members a side, each block by signatures in one task. What the
-   signatures let pass and step 2 did not meet is verified on the full sets.
+   at most about ``BLOCK`` members and ``WEIGHT`` shingles a side. A task holds the full sets of a block, counts
+   intersections on bit rows over the shingles that stand in two or more of them, and emits only
+   links that join components of the block: at most one less than its members, never its pairs.
 4. Components of all links by alternating large-star and small-star.
 
 Pairs within a first component are not looked at, so a group of copies costs links in proportion to
@@ -44,6 +45,7 @@ BANDS = 32
 ROWS = 5
 SURE = 0.65
 BLOCK = 1024
+WEIGHT = 1 << 20
 LOT = 256
 
 
@@ -149,71 +151,90 @@ def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(compare, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs that link by their full sets, which are made again from one text of each member."""
-    own = pairs.select(F.explode(F.array("a", "b")).alias("m")).distinct().join(sets.select("m", "t", "k1", "k2"), "m")
-    own = materialize(own, "verified_members")
+def full_sets(members: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``(m, n, hashes)`` of ``members(m)``, made again from one text of each."""
+    own = materialize(members.distinct().join(sets.select("m", "t", "k1", "k2"), "m"), "asked_members")
     held = described(join_small(texts, own.select("t").distinct(), ["t"], "left_semi"), shingle, full=True)
     held = held.dropDuplicates(["k1", "k2"]).join(own.select("m", "k1", "k2"), ["k1", "k2"])
-    held = materialize(held.select("m", "n", "hashes"), "verified_sets")
+    return materialize(held.select("m", "n", "hashes"), "full_sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs that link by their full sets."""
+    held = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("m")), sets, texts, shingle)
     both = attach(attach(pairs, "a", held, {"n": "n_a", "hashes": "h_a"}), "b", held, {"n": "n_b", "hashes": "h_b"})
     both = both.where(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
     both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("total"), F.size(F.array_intersect("h_a", "h_b")).cast("bigint").alias("both"))
     return both.where(f"100 * both >= {percent} * (total - both)").select("a", "b")
 
 
-def cross_pairs(groups: DataFrame) -> DataFrame:
-    """Pairs of members of different components, by signatures, in each ``(key, i, j)`` block.
+def bit_rows(flat: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """One bit row for each of ``n`` sets, a bit for each hash of ``flat`` that several sets hold."""
+    _, column, held = np.unique(flat, return_inverse=True, return_counts=True)
+    several = held > 1
+    column = (np.cumsum(several) - 1)[column[keep := several[column]]]
+    out = np.zeros((n, max(1, -(-int(several.sum()) // 64))), np.uint64)
+    np.bitwise_or.at(out, (of[keep], column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    return out
+
+
+def block_links(m: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between components of a block that join them; members of side 0 meet all others."""
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    rows = bit_rows(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), len(sets))
+    _, label = np.unique(root, return_inverse=True)
+    found = []
+    for x in np.nonzero(side == 0)[0].tolist():
+        other = np.nonzero(label != label[x])[0]
+        shared = np.bitwise_count(rows[other] & rows[x]).sum(axis=1, dtype=np.int64)
+        for y in other[100 * shared >= percent * (n[other] + n[x] - shared)].tolist():
+            if label[y] != label[x]:
+                found.append((int(m[x]), int(m[y])))
+                label[label == label[y]] = label[x]
+    return found
 
-    ``side`` says which members of a block are compared: those of side 0 with all of the block.
-    """
-    least = SURE * BANDS * ROWS
 
-    def pairs_of(m: np.ndarray, root: np.ndarray, side: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        out_a, out_b = [], []
-        for x in np.nonzero(side == 0)[0].tolist():
-            near = np.nonzero(((sig == sig[x]).sum(axis=1) >= least) & (root != root[x]))[0]
-            out_a.append(np.minimum(m[near], m[x]))
-            out_b.append(np.maximum(m[near], m[x]))
-        return np.concatenate(out_a or [m[:0]]), np.concatenate(out_b or [m[:0]])
+def cross_links(groups: DataFrame, percent: int) -> DataFrame:
+    """Links between members of different components in the blocks ``(key, i, j)`` of ``groups``."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+
+        def linked() -> list[tuple[int, int]]:
+            m, root, side = (np.array([r[c] for r in rows], np.int64) for c in range(3))
+            return block_links(m, root, side, [r[3] for r in rows], percent) if len(rows) > 1 else []
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
         for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
-            name = held[["key", "i", "j"]].to_numpy()
-            cut = np.nonzero((name[1:] != name[:-1]).any(axis=1))[0] + 1
-            yield from blocks(held, cut.tolist())
-            held = held.iloc[cut[-1] if len(cut) else 0 :]
-        if held is not None and len(held):
-            yield from blocks(held, [len(held)])
-
-    def blocks(rows: pd.DataFrame, ends: list[int]) -> Iterator[pd.DataFrame]:
-        m, root, side = (rows[c].to_numpy() for c in ("m", "root", "side"))
-        sig = rows["sig"].to_numpy()
-        lo, found = 0, []
-        for hi in ends:
-            table = np.frombuffer(b"".join(sig[lo:hi]), np.uint32).reshape(hi - lo, -1)
-            found.append(pairs_of(m[lo:hi], root[lo:hi], side[lo:hi], table))
-            lo = hi
-        if found:
-            yield pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])}).drop_duplicates()
+            out = []
+            flat, edge = b["hashes"].flatten().to_numpy(), b["hashes"].offsets.to_numpy()
+            edge = edge - edge[0]
+            for k, (key, i, j, m, root, side) in enumerate(zip(*[b[c].to_pylist() for c in ("key", "i", "j", "m", "root", "side")])):
+                if (key, i, j) != at:
+                    out += linked()
+                    at, rows = (key, i, j), []
+                rows.append((m, root, side, flat[edge[k] : edge[k + 1]]))
+            # What is kept for the next batch must not hold this one's buffers.
+            rows = [(*r[:3], r[3].copy()) for r in rows]
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+        out = linked()
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     dealt = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInPandas(walk, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(walk, "a bigint, b bigint")
 
 
 def blocked(mixed: DataFrame, block: int) -> DataFrame:
-    """``mixed(key, m, root, main, n_main, n_rest)`` dealt to blocks ``(key, i, j)``.
+    """``mixed(key, m, root, main, n_main, n_rest, w_main, w_rest)`` dealt to blocks ``(key, i, j)``.
 
     Members outside the main component are cut into parts i, each of which meets every part of
     the main component (j >= 0) and every part of its own kind (j < 0) from itself on.
     """
-    parts = mixed.withColumn("mains", F.ceil(F.col("n_main") / block).cast("int")).withColumn("rests", F.ceil(F.col("n_rest") / block).cast("int"))
+    lots = lambda k: F.greatest(F.ceil(F.col(f"n_{k}") / block), F.ceil(F.col(f"w_{k}") / WEIGHT)).cast("int")
+    parts = mixed.withColumns({"mains": lots("main"), "rests": lots("rest")})
     own = F.pmod(F.xxhash64("m"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
     parts = parts.withColumn("own", own)
     # A main part meets all parts i of the rest; one block holds a small bucket whole.
-    small = F.col("n_main") + F.col("n_rest") <= block
+    small = (F.col("n_main") + F.col("n_rest") <= block) & (F.col("w_main") + F.col("w_rest") <= WEIGHT)
     blocks = F.when(small, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("main").cast("int").alias("side"))))
     blocks = blocks.when(F.col("main"), F.transform(F.sequence(F.lit(0), F.col("rests") - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"))))
     meets = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: F.struct(F.col("own").alias("i"), j.alias("j"), F.lit(0).alias("side")))
@@ -226,24 +247,25 @@ def blocked(mixed: DataFrame, block: int) -> DataFrame:
 
 def set_links(sets: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int = BLOCK) -> DataFrame:
     """Links ``(a, b)`` that connect exactly what all linked pairs of ``sets`` connect."""
-    keys = sets.where("n > 0").select("m", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("m").alias("leader"), F.count("*").alias("c")).where("c > 1").select("key", "leader")
+    keys = sets.where("n > 0").select("m", "n", F.explode("bands").alias("key"))
+    buckets = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = materialize(keys.join(buckets, "key"), "shared_bands")
-
-    met = materialize(shared.where("m <> leader").select(F.col("leader").alias("a"), F.col("m").alias("b")).distinct(), "leader_pairs")
-    tried = materialize(agreeing(met, sets), "agreeing_leaders")
+    met = shared.groupBy("m").agg(F.sum("c").alias("met"))
+    leaders = shared.select("key", "m").join(met, "m").groupBy("key").agg(F.max(F.struct("met", (-F.col("m")).alias("m"))).alias("top"))
+    leaders = leaders.select("key", (-F.col("top.m")).alias("leader"))
+    pairs = shared.join(leaders, "key").where("m <> leader").select(F.col("leader").alias("a"), F.col("m").alias("b")).distinct()
+    tried = materialize(agreeing(materialize(pairs, "leader_pairs"), sets), "agreeing_leaders")
     links = materialize(verified(tried, sets, texts, shingle, percent), "leader_links")
     roots = connected_components(links)
 
-    rooted = shared.join(roots.withColumnRenamed("node", "m"), "m", "left").select("key", "m", F.coalesce("root", "m").alias("root"))
-    comps = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
-    open_keys = comps.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("n")).where("n > 1")
-    open_keys = open_keys.select("key", F.col("top.root").alias("top"), F.col("top.c").alias("n_main"), (F.col("all") - F.col("top.c")).alias("n_rest"))
-    mixed = rooted.join(open_keys, "key").withColumn("main", F.col("root") == F.col("top"))
+    rooted = shared.join(roots.withColumnRenamed("node", "m"), "m", "left").select("key", "m", "n", F.coalesce("root", "m").alias("root"))
+    comps = rooted.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    open_keys = comps.groupBy("key").agg(F.max(F.struct("c", "root", "w")).alias("top"), F.sum("c").alias("c"), F.sum("w").alias("w"), F.count("*").alias("n")).where("n > 1")
+    open_keys = open_keys.select("key", F.col("top.root").alias("top"), F.col("top.c").alias("n_main"), (F.col("c") - F.col("top.c")).alias("n_rest"), F.col("top.w").alias("w_main"), (F.col("w") - F.col("top.w")).alias("w_rest"))
+    mixed = rooted.drop("n").join(open_keys, "key").withColumn("main", F.col("root") == F.col("top"))
     groups = materialize(blocked(mixed, block), "open_blocks")
-    more = cross_pairs(groups.join(sets.select("m", "sig"), "m"))
-    more = materialize(more.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross_pairs")
-    return links.unionByName(materialize(verified(more, sets, texts, shingle, percent), "cross_links"))
+    held = full_sets(groups.select("m"), sets, texts, shingle).select("m", "hashes")
+    return links.unionByName(materialize(cross_links(groups.join(held, "m"), percent), "cross_links"))
 
 
 def minhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85, block: int = BLOCK) -> DataFrame:

@@ -81,8 +81,8 @@ def test_query_equals_brute_force(spark):
 
 def test_blocks_meet_all_cross_pairs_once_or_more(spark):
     """Every pair of members of different components shares a block, whatever the block size."""
-    members = [(1, k, 0 if k < 17 else k, k < 17, 17, 9) for k in range(26)]
-    df = spark.createDataFrame(members, "key bigint, m bigint, root bigint, main boolean, n_main bigint, n_rest bigint")
+    members = [(1, k, 0 if k < 17 else k, k < 17, 17, 9, 17, 9) for k in range(26)]
+    df = spark.createDataFrame(members, "key bigint, m bigint, root bigint, main boolean, n_main bigint, n_rest bigint, w_main bigint, w_rest bigint")
     for block in (1, 4, 100):
         met, blocks = set(), {}
         for r in M.blocked(df, block).collect():
@@ -92,6 +92,25 @@ def test_blocks_meet_all_cross_pairs_once_or_more(spark):
         assert met == {frozenset((a, b)) for a in range(26) for b in range(17, 26) if a != b}
 
 
+def test_block_links_join_what_links_and_no_more():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**63, 100)
+    sets = [np.unique(np.concatenate([base[: 100 - k], rng.integers(0, 2**63, k)])) for k in rng.integers(0, 14, 60).tolist()] + [np.unique(rng.integers(0, 2**63, 3))]
+    root = np.arange(len(sets))
+    root[:20] = 0
+    links = M.block_links(np.arange(len(sets)), root, (root != 0).astype(int) ^ 1, sets, 85)
+
+    def parts(pairs):
+        label = root.tolist()
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return len(set(label)), {frozenset(k for k, x in enumerate(label) if x == y) for y in label}
+
+    near = lambda a, b: 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))
+    assert all(near(a, b) for a, b in links) and len(links) < len(sets)
+    assert parts(links) == parts([(a, b) for a in range(len(sets)) for b in range(a) if near(a, b)])
+
+
 def test_signatures_estimate_similarity():
     a = " ".join(f"w{i}" for i in range(1004))
     b = " ".join(f"w{i}" if i < 905 else f"v{i}" for i in range(1004))
