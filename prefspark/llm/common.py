@@ -9,8 +9,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from prefspark.session import scratch_path, shared_dir
 
@@ -171,6 +174,27 @@ def strings(values: Iterable) -> pd.Series:
     return pd.Series(list(values), dtype=object)
 
 
+def map_with_ids(rows: DataFrame, fold, schema: str, id_col: str = "id") -> DataFrame:
+    """``rows.mapInPandas(fold, schema)`` with integer ids as nullable integers.
+
+    pandas would make floats of a bigint column that holds a null, and so change ids beyond 2**53.
+    """
+    out_schema = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frames() -> Iterator[pd.DataFrame]:
+            for b in batches:
+                frame = b.to_pandas()
+                if pa.types.is_integer(b.schema.field(id_col).type):
+                    frame[id_col] = b[id_col].to_pandas(types_mapper=lambda _: pd.Int64Dtype())
+                yield frame
+
+        for frame in fold(frames()):
+            yield pa.RecordBatch.from_pandas(frame, schema=out_schema, preserve_index=False)
+
+    return rows.mapInArrow(run, schema)
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 

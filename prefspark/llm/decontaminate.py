@@ -9,7 +9,9 @@ weighted Jaccard similarity of the shingle multisets, 0.8 or more, decides.
 
 A window that shares no shingle with an item has similarity 0, so only windows around a shared
 shingle are fingerprinted. Documents are read once, in place, without a shuffle. Items go to the
-workers in passes of at most ``PASS_BYTES`` of text, one read of the documents for each.
+workers in passes of at most ``PASS_BYTES`` of text, one read of the documents for each. Weights
+are those of the whole benchmark in every pass (only shingles of several items differ from the
+largest weight, and only these travel with each pass), so passes change no result.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import chunks, encode, text_of, window_hashes, word_hashes
+from prefspark.llm.common import chunks, encode, map_with_ids, text_of, window_hashes, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -46,7 +49,8 @@ def sign_bits(votes: np.ndarray) -> np.ndarray:
 class Items:
     """A bounded set of benchmark items, ready to be probed."""
 
-    def __init__(self, ids: list, texts: list[str], radius: int) -> None:
+    def __init__(self, ids: list, texts: list[str], radius: int, total: int, common: np.ndarray, df: np.ndarray) -> None:
+        """``total``: non-empty items of all passes; ``common``: sorted shingles that ``df`` of them hold, two or more."""
         hashes = [word_hashes(encode(t).lower()) for t in texts]
         keep = [i for i, h in enumerate(hashes) if len(h)]
         self.ids = [ids[i] for i in keep]
@@ -56,9 +60,9 @@ class Items:
         self.shingles = [np.unique(window_hashes(w, int(k)), return_counts=True) for w, k in zip(words, self.unit)]
         every = np.concatenate([s[0] for s in self.shingles]) if keep else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(keep)), [len(s[0]) for s in self.shingles]) if keep else np.empty(0, np.int64)
-        self.known, df = np.unique(every, return_counts=True)
-        self.idf = np.round(8 * np.log2(1 + max(1, len(keep)) / df)).astype(np.int64)
-        self.rare = round(8 * math.log2(1 + max(1, len(keep))))
+        self.known = np.unique(every)
+        self.common, self.idf = common, np.round(8 * np.log2(1 + max(1, total) / df)).astype(np.int64)
+        self.rare = round(8 * math.log2(1 + max(1, total)))  # of a shingle that one item holds, or none
         # Sizes (unit, length) of the items that hold a known shingle.
         pairs = np.unique(np.column_stack([np.searchsorted(self.known, every), self.unit[owner], self.length[owner]]), axis=0) if keep else np.empty((0, 3), np.int64)
         self.sizes, self.size_begin = pairs[:, 1:], np.searchsorted(pairs[:, 0], np.arange(len(self.known) + 1))
@@ -73,10 +77,10 @@ class Items:
         self.by_length = {int(n): np.nonzero(self.length == n)[0] for n in np.unique(self.length)}
 
     def weight(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.known):
+        if not len(self.common):
             return np.full(len(h), self.rare)
-        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return np.where(self.known[at] == h, self.idf[at], self.rare)
+        at = np.minimum(np.searchsorted(self.common, h), len(self.common) - 1)
+        return np.where(self.common[at] == h, self.idf[at], self.rare)
 
     def within(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs within the radius, by equal blocks."""
@@ -105,6 +109,23 @@ class Items:
         return shared / total if total else 0.0
 
 
+def shingle_counts(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of non-empty items, the shingles that two or more of them hold, and how many do."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            words = [h for h in (word_hashes(encode(t).lower()) for t in b["text"]) if len(h)]
+            held = [np.unique(window_hashes(h, min(len(h), SHINGLE))) for h in words]
+            keys, n = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]), return_counts=True)
+            yield pd.DataFrame({"h": np.append(keys.view(np.int64), 0), "n": np.append(n, len(words)), "items": [False] * len(keys) + [True]})
+
+    counts = items.select("text").mapInPandas(each, "h bigint, n bigint, items boolean").groupBy("items", "h").agg(F.sum("n").alias("n"))
+    rows = counts.where("items or n > 1").collect()
+    common = sorted((r["h"] % 2**64, r["n"]) for r in rows if not r["items"])
+    total = sum(r["n"] for r in rows if r["items"])
+    return total, np.array([k for k, _ in common], np.uint64), np.array([n for _, n in common], np.int64)
+
+
 def probe(texts, items: Items, similarity: float) -> Iterator[tuple]:
     """``(text, item, first word, words, hamming, similarity)``: the best window of each pair."""
     best: dict[tuple[int, int], tuple] = {}
@@ -170,21 +191,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     passes = max(1, math.ceil(size / pass_bytes))
+    total, common, df = shingle_counts(items)
     kind, item_kind = rows.schema["id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     out = None
     for p in range(passes):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).orderBy("item_id", "text").collect()  # at most about PASS_BYTES
-        shared = spark.sparkContext.broadcast(Items([r["item_id"] for r in own], [r["text"] for r in own], radius))
+        # Pickled by value: workers need not have this package.
+        shared = spark.sparkContext.broadcast(cloudpickle.dumps(Items([r["item_id"] for r in own], [r["text"] for r in own], radius, total, common, df)))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            held = cloudpickle.loads(shared.value)
             for b in batches:
-                b = b.astype({"id": "Int64"}) if b["id"].dtype == np.float64 else b
-                got = list(probe(b["text"], shared.value, similarity)) if shared.value.ids else []
+                got = list(probe(b["text"], held, similarity)) if held.ids else []
                 if got:
                     k = [g[0] for g in got]
                     yield pd.DataFrame({"id": b["id"].array.take(k), "tag": b["tag"].to_numpy()[k], **{n: [g[j + 1] for g in got] for j, n in enumerate(("item_id", "start", "n_words", "hamming", "similarity"))}})
 
-        found = rows.mapInPandas(run, f"id {kind}, tag bigint, item_id {item_kind}, start bigint, n_words bigint, hamming int, similarity double")
+        found = map_with_ids(rows, run, f"id {kind}, tag bigint, item_id {item_kind}, start bigint, n_words bigint, hamming int, similarity double")
         out = found if out is None else out.unionByName(found)
     return out
 

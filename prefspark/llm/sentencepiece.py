@@ -29,6 +29,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +44,12 @@ WORD = re.compile(f" *[^ \\n{MARK}]+| +|\\n|{MARK}")
 BEFORE_SPACES = re.compile("[^ ](?= )")
 OWN = 0x110000  # stands for a U+2581 of the text; no character has this code
 LOT = 1 << 17
-FLUSH = 200_000
+SLICE = 4 << 20
+FLUSH = 100_000
 FALLBACK_PENALTY = 10.0
 PREFIX = 4
-#: Units gathered in one task; they are held in memory while their edges come in.
+#: Units dealt to one task of the lattice.
 TASK_UNITS = 50_000
-NO_SORT = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
 
 class Vocabulary:
@@ -118,7 +119,8 @@ class Lot(NamedTuple):
 class Cutter:
     """Cuts texts into units by array operations: nothing runs per word."""
 
-    def __init__(self, inner: frozenset[str]) -> None:
+    def __init__(self, inner: Iterable[str]) -> None:
+        inner = list(inner)
         chars = sorted({ord(c) for pair in inner for c in pair})
         #: Place of a character among those of the pairs; 0 for any other.
         self.rank = np.zeros(0x110001, np.int32)
@@ -195,9 +197,11 @@ def keys_of(units: list[str]) -> np.ndarray:
 
 def unit_counts(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
     """``(unit, n)``: the distinct units of all texts and their frequencies."""
-    shared = docs.sparkSession.sparkContext.broadcast(Cutter(vocab.inner))
+    pairs = sorted(vocab.inner)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter = Cutter(pairs)
+
         def merged(held: list[tuple[Lot, np.ndarray, np.ndarray]]) -> pd.DataFrame:
             """Counts of some lots: (lot, one place of each of its distinct units, how often)."""
             keys = np.concatenate([lot.keys[at] for lot, at, _ in held])
@@ -213,7 +217,7 @@ def unit_counts(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> D
 
         held, size = [], 0
         for b in batches:
-            for lot in shared.value.lots(b["text"]):
+            for lot in cutter.lots(b["text"]):
                 _, at, n = np.unique(lot.keys, return_index=True, return_counts=True)
                 held.append((lot, at, n))
                 size += len(at)
@@ -345,6 +349,16 @@ class UnitTable:
         begin = np.cumsum(sizes) - sizes
         self.keys, self.begin, self.sizes = keys[order], begin[order].astype(np.uint32), sizes[order].astype(np.uint32)
 
+    @staticmethod
+    def over(keys: np.ndarray, begin: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> "UnitTable":
+        """The table of plain arrays, which workers can read without this package."""
+        out = UnitTable.__new__(UnitTable)
+        out.keys, out.begin, out.sizes, out.ids = keys, begin, sizes, ids
+        return out
+
+    def plain(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return self.keys, self.begin, self.sizes, self.ids
+
     @staticmethod
     def of(keys: np.ndarray, ids: list[np.ndarray]) -> "UnitTable | None":
         sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
@@ -389,15 +403,10 @@ def unit_table(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", table
     room = F.ceil(F.length("unit") / RUN)
     n_units, n_long, n_room = found.agg(F.count("*"), F.count_if(long), F.coalesce(F.sum(room), F.lit(0))).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_units // TASK_UNITS))
-    before = spark.conf.get(NO_SORT)
-    spark.conf.set(NO_SORT, str(4 * TASK_UNITS))
-    try:
-        table = encode_units(found.where(~long).repartition(parts, "unit"), vocab)
-        if n_long:
-            table = table.unionByName(encode_long_units(found.where(long).repartition(parts, "unit"), vocab))
-        table = materialize(table, "encoded_units")
-    finally:
-        spark.conf.set(NO_SORT, before)
+    table = encode_units(found.where(~long).repartition(parts, "unit"), vocab)
+    if n_long:
+        table = table.unionByName(encode_long_units(found.where(long).repartition(parts, "unit"), vocab))
+    table = materialize(table, "encoded_units")
     if n_room <= table_units:
         return table, None
     # Whole classes of frequency, most frequent first, as long as they fit.
@@ -418,7 +427,7 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     spark = docs.sparkSession
     vocab = vocab or Vocabulary()
     hot, cold = unit_table(docs, vocab, text_col, table_units)
-    shared = spark.sparkContext.broadcast((Cutter(vocab.inner), pack_table(hot), vocab.spelling))
+    shared = spark.sparkContext.broadcast((sorted(vocab.inner), pack_table(hot).plain(), vocab.spelling))
     text = text_of(text_col)
     rows = docs.withColumn("_s_key", F.xxhash64(text))
     if cold is None:
@@ -426,7 +435,7 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     else:
 
         def missing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cutter, table, _ = shared.value
+            cutter, table = Cutter(shared.value[0]), UnitTable.over(*shared.value[1])
             for b in batches:
                 for lot in cutter.lots(b["text"]):
                     lack = np.nonzero(table.look(lot.keys) < 0)[0]
@@ -438,26 +447,31 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
         rows = rows.join(materialize(more, "cold_units"), "_s_key", "left")
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        cutter, table, spelling = shared.value
+        cutter, table, spelling = Cutter(shared.value[0]), UnitTable.over(*shared.value[1]), shared.value[2]
         for texts, colds in batches:
-            extra = {e["unit"]: np.asarray(e["ids"], np.int32) for es in colds.drop_null().to_pylist() for e in es}
-            more = UnitTable.of(keys_of(list(extra)), list(extra.values()))
-            found = [np.empty(0, np.int32)]
-            n = np.zeros(len(texts), np.int64)
-            own = texts.to_pylist()
-            for lot in cutter.lots(own):
-                ids, sizes = table.ids_of(lot.keys)
-                if more is not None and (lack := np.nonzero(sizes == 0)[0]).size:
-                    ids, sizes = _filled(ids, sizes, lack, *more.ids_of(lot.keys[lack]))
-                if not sizes.all():
-                    raise ValueError("a unit of the text is in no table")
-                found.append(ids)
-                n += np.bincount(lot.text, sizes, len(n)).astype(np.int64)
-            ids, edge = np.concatenate(found), np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            out = [pa.ListArray.from_arrays(pa.array(edge), pa.array(ids))]
-            if check:
-                out.append(pa.array([_spelled(ids[a:z], spelling) == t for a, z, t in zip(edge, edge[1:], own)], pa.bool_()))
-            yield pa.StructArray.from_arrays(out, names)
+            # A few rows at a time: what a batch comes to in ids need not be held at once.
+            for lo, hi in _slices(texts):
+                yield some(cutter, table, spelling, texts[lo:hi], colds[lo:hi])
+
+    def some(cutter: Cutter, table: UnitTable, spelling: list[bytes], texts: pa.Array, colds: pa.Array) -> pa.Array:
+        extra = {e["unit"]: np.asarray(e["ids"], np.int32) for es in colds.drop_null().to_pylist() for e in es}
+        more = UnitTable.of(keys_of(list(extra)), list(extra.values()))
+        found = [np.empty(0, np.int32)]
+        n = np.zeros(len(texts), np.int64)
+        own = texts.to_pylist()
+        for lot in cutter.lots(own):
+            ids, sizes = table.ids_of(lot.keys)
+            if more is not None and (lack := np.nonzero(sizes == 0)[0]).size:
+                ids, sizes = _filled(ids, sizes, lack, *more.ids_of(lot.keys[lack]))
+            if not sizes.all():
+                raise ValueError("a unit of the text is in no table")
+            found.append(ids)
+            n += np.bincount(lot.text, sizes, len(n)).astype(np.int64)
+        ids, edge = np.concatenate(found), np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+        out = [pa.ListArray.from_arrays(pa.array(edge), pa.array(ids))]
+        if check:
+            out.append(pa.array([_spelled(ids[a:z], spelling) == t for a, z, t in zip(edge, edge[1:], own)], pa.bool_()))
+        return pa.StructArray.from_arrays(out, names)
 
     names = ["ids", "round_trip"] if check else ["ids"]
     kind = "struct<ids:array<int>,round_trip:boolean>" if check else "struct<ids:array<int>>"
@@ -465,6 +479,13 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"_s_out.{n}") for n in names])
 
 
+def _slices(texts: pa.Array) -> list[tuple[int, int]]:
+    """Runs of rows of about ``SLICE`` bytes of text (one row at least); an empty batch is one run."""
+    size = np.cumsum([0, *(x or 0 for x in pc.binary_length(texts).to_pylist())])
+    cut = [0, *(np.nonzero(np.diff(size // SLICE))[0] + 1).tolist(), len(texts)]
+    return [(a, z) for a, z in zip(cut, cut[1:]) if a < z] or [(0, len(texts))]
+
+
 def _spelled(ids: np.ndarray, spelling: list[bytes]) -> str:
     return b"".join([spelling[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 

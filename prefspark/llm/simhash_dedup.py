@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import connected_components, encode, materialize, text_of
+from prefspark.llm.common import connected_components, encode, map_with_ids, materialize, text_of
 
 BUCKET = 8192
 PIVOTS = 24
@@ -65,16 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(_nullable_ids(fold), f"id {kind}, key bigint, fp bigint")
-
-
-def _nullable_ids(fold):
-    """Keep a bigint id column with nulls whole (pandas would turn it into floats)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from fold(b.astype({"id": "Int64"}) if b["id"].dtype == np.float64 else b for b in batches)
-
-    return run
+    return map_with_ids(rows, fold, f"id {kind}, key bigint, fp bigint")
 
 
 def bucket_links(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:

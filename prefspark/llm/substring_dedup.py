@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import Chunk, chunks, covered, materialize, signed, strings, text_of
+from prefspark.llm.common import Chunk, chunks, covered, map_with_ids, materialize, signed, strings, text_of
 
 LOW32 = 0xFFFFFFFF
 
@@ -106,11 +106,11 @@ def repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
 
         return run
 
-    found = rows.mapInPandas(first_level, schema)
+    found = map_with_ids(rows, first_level, schema)
     for k, length in enumerate(lengths):
         last = k == len(lengths) - 1
         if k:
-            found = materialize(rows.join(alive, ["id", "tag"]).mapInPandas(extend(length, lengths[k - 1], k == 1), schema), f"windows{length}")
+            found = materialize(map_with_ids(rows.join(alive, ["id", "tag"]), extend(length, lengths[k - 1], k == 1), schema), f"windows{length}")
         ends = found.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
         shared = materialize(ends.select("h", "low"), f"shared{length}")
         hits = found.join(shared, "h")
@@ -138,8 +138,6 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if b["id"].dtype == np.float64:
-                b = b.astype({"id": "Int64"})
             out = []
             for text, pos in zip(b["text"], b["pos"]):
                 words = text.encode("utf-8", "replace").split()
@@ -151,7 +149,7 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
             n, removed, kept = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"id": b["id"].array, "n_words": np.array(n, np.int64), "n_removed": np.array(removed, np.int64), "kept": strings(kept)})
 
-    return rows.select("id", "text", "pos").mapInPandas(cut, f"id {kind}, n_words bigint, n_removed bigint, kept string")
+    return map_with_ids(rows.select("id", "text", "pos"), cut, f"id {kind}, n_words bigint, n_removed bigint, kept string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

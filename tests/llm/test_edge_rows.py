@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from prefspark.llm import decontaminate, html_extract, licenses, lm_score, pii, quality, sentencepiece, sharding, simhash_dedup, substring_dedup
+from prefspark.llm import decontaminate, html_extract, licenses, lm_score, minhash_dedup, pii, quality, sentencepiece, sharding, simhash_dedup, substring_dedup
 
 ITEM = " ".join(f"item{i}" for i in range(20))
 LONG = " ".join(f"w{i % 977} mail{i}@x.example.org" for i in range(20_000))
@@ -72,3 +72,20 @@ def test_matches_and_filters(spark, rows):
     assert simhash_dedup.keep_first(rows.limit(0)).count() == 0
     assert quality.quality_filter(rows).columns == rows.columns
     assert pii.sanitise(rows).columns == rows.columns
+
+
+def test_large_ids_beside_a_null_stay_as_they_are(spark):
+    big = 2**60 + 1
+    text = " ".join(f"word{i} and" for i in range(40))
+    data = [(big, f"{text} {ITEM}"), (None, text), (big + 2, text + " more words here"), (None, None)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+    ids = sorted([big, big + 2, None, None], key=repr)
+    for f in (lambda d: lm_score.score(d, lm_score.train(d)), simhash_dedup.simhash_near_dups, substring_dedup.dedup, minhash_dedup.minhash_near_dups):
+        assert sorted((r["id"] for r in f(df).collect()), key=repr) == ids
+    model = lm_score.train(df, vocab_entries=10, filter_bytes=64, range_bytes=64)
+    assert sorted((r["id"] for r in lm_score.score(df, model).collect()), key=repr) == ids
+    assert {r["id"] for r in decontaminate.contaminated(df, items(spark)).collect()} == {big}
+    clean = decontaminate.decontaminate(df, items(spark))
+    assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted([big + 2, None, None], key=repr)
+    apart = spark.createDataFrame([(big, LONG), (None, "one two three four")], "doc_id bigint, text string").coalesce(1)
+    assert sorted((r["doc_id"] for r in simhash_dedup.keep_first(apart).collect()), key=repr) == sorted([big, None], key=repr)
