@@ -139,6 +139,17 @@ def q_read_json_prompts(spark, d):
     return _prompt_out(prompts.prepare_prompts(df, "messages"))
 
 
+@register("read_csv_prompts", "select row_number() over (order by doc_id) as row_id, doc_id, lang, text as prompt from documents")
+def q_read_csv_prompts(spark, d):
+    path = scratch_path(spark, "prompts") + ".csv"
+    docs = fx.table(spark, d, "documents").select("doc_id", "lang", "text")
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.options(**keep).csv(path)
+    df = readers.read_prompts(spark, path, schema="doc_id BIGINT, lang STRING, text STRING")
+    df = prompts.prepare_prompts(df, "prompt", prompt_column="text")
+    return df.select("row_id", "doc_id", "lang", "prompt")
+
+
 @register("read_prompts_stream", _sql_prompt(""))
 def q_read_prompts_stream(spark, d):
     src = scratch_path(spark, "stream-prompts")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from prefspark.operators.ordinal import with_row_id
 from prefspark.operators.generate import clean_lines
 from prefspark.operators.sessions import session_from_json
+from prefspark.sources.csv_records import read_csv
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,8 +24,8 @@ def _read_file(spark: SparkSession, path: str, kind: str, schema, multiline: boo
     """One data file or a folder of them; a malformed record fails the read.
 
     A JSON file that opens with ``[`` is one array of records and is read whole;
-    JSON lines and Parquet are split among tasks. CSV fields may hold line ends,
-    so a CSV file is read by one task.
+    JSON lines and Parquet are split among tasks, and so is CSV, whose fields may
+    hold line ends (``csv_records``).
     """
     reader = (spark.read if schema is None else spark.read.schema(schema)).option("mode", "FAILFAST")
     if kind == "json" and multiline is None:
@@ -33,7 +34,7 @@ def _read_file(spark: SparkSession, path: str, kind: str, schema, multiline: boo
     if kind == "json":
         return reader.option("multiLine", multiline).json(path)
     if kind == "csv":
-        return reader.options(header=True, multiLine=True, escape='"').csv(path)
+        return read_csv(spark, path, schema, row_id=None)
     return reader.format(kind).load(path)
 
 
@@ -75,6 +76,8 @@ def read_prompts(
             base = path.rstrip("/")
             at = next((p for p in (f"{base}/{split}", f"{base}/split={split}") if path_exists(spark, p)), f"{base}/{split}")
             kind = format or _folder_kind(spark, at)
+        if kind == "csv":
+            return read_csv(spark, at, schema, "row_id" if row_id else None)
         df = _read_file(spark, at, kind, schema, multiline_json)
         return with_row_id(df) if row_id else df
     df = spark.table(path)

@@ -38,6 +38,41 @@ def test_read_csv_with_quoted_newline(spark, scratch):
     assert len(rows) == 1 and rows[0].prompt == "line one\nline two, \"quoted\""
 
 
+CSV_ROWS = [("a", "plain"), ("b", 'said "hi"\nand\n\nleft'), ("c", ""), ("d", "x" * 300), ("e", "\n\n"), ("f", 'tail "'), ("g", "1,2\r\n3"), ("h", '""'), ("i", " padded ")]
+
+
+def _csv_file(path, rows, end="\n", blank=False):
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if any(c in v for c in '",\n\r') or v == "" else v
+    lines = ["id,prompt"] + [f"{i},{quoted(t)}" for i, t in rows]
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        f.write((end + (end if blank else "")).join(lines) + end)
+
+
+@pytest.mark.parametrize("split", [1, 7, 40, 10_000_000])
+@pytest.mark.parametrize("end,blank", [("\n", False), ("\r\n", False), ("\n", True)])
+def test_csv_records_across_any_splits(spark, scratch, tmp_path, split, end, blank):
+    run = spark.newSession()
+    run.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    run.conf.set("spark.sql.files.openCostInBytes", "0")
+    for k in range(2):
+        _csv_file(tmp_path / f"{k}.csv", CSV_ROWS[k:], end, blank)
+    df = readers.read_prompts(run, str(tmp_path), format="csv", split=".")
+    got = sorted((r.row_id, r.id, r.prompt or "") for r in df.collect())
+    want = CSV_ROWS + CSV_ROWS[1:]
+    assert got == [(n, i, t) for n, (i, t) in enumerate(want, 1)]
+    if split < 100:
+        assert df.rdd.getNumPartitions() > 2
+
+
+def test_csv_unclosed_quote_and_wrong_shape_fail(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('id,prompt\n1,"never closed\n2,x\n')
+    with pytest.raises(Exception, match="not closed"):
+        readers.read_prompts(spark, str(tmp_path / "open.csv")).collect()
+    (tmp_path / "wide.csv").write_text("id,prompt\n1,a,b\n")
+    with pytest.raises(Exception):
+        readers.read_prompts(spark, str(tmp_path / "wide.csv")).collect()
+
+
 def test_read_dataset_folder_split(spark, scratch):
     base = scratch("ds")
     spark.createDataFrame([("t",)], "prompt string").write.parquet(f"{base}/train")
