@@ -26,6 +26,7 @@ from prefspark.operators.prompts import (
     prepare_prompts,
     rename_prompt,
 )
+from prefspark.operators.rubric_fit import fit_rubric_weights, pair_loss
 from prefspark.operators.sampling import (
     assign_batches,
     limit_samples,
@@ -49,6 +50,7 @@ from prefspark.operators.sessions import (
 from prefspark.sources import (
     read_prompt_lines,
     read_prompts,
+    read_responses,
     read_sessions,
     write_metrics,
     write_prepared,

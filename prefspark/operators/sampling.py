@@ -6,6 +6,8 @@ and in any engine that has md5. Positions are exact (see ``ordinal``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,59 @@ def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
     return df.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
 
 
+ROUNDS = 6
+MULTIPLIERS = (1_540_483_477, 1_103_515_245)  # odd, below 2**31
+LOW31 = (1 << 31) - 1
+
+
+SHAPES = 200_000
+
+
+def permutation_shape(n: int) -> tuple[int, int, int]:
+    """``(a, b, excess)``: sides a * b = n + excess, a within half of the square root and that.
+
+    The least excess among ``SHAPES`` sides at most. Sides below 2**31 keep all products within
+    a bigint, so n may go up to 2**60.
+    """
+    root = max(1, math.isqrt(n))
+    low = max(1, root // 2)
+    sides = range(low, root + 1, max(1, (root - low) // SHAPES))
+    best = min(sides, key=lambda a: (a * -(-n // a) - n, root - a))
+    return best, max(1, -(-n // best)), best * -(-n // best) - n
+
+
+def permuted_position(row_id: Column, n: int, *key: Column | int) -> Column:
+    """Position 1..n of ``row_id`` (1..n) in the order that ``key`` (a seed, an epoch) stands for.
+
+    A keyed permutation computed in place: ``row_id - 1`` is split into two digits, each of which
+    is moved in turn by a keyed hash of the other (a Feistel network over mixed radices), which
+    is one to one on a * b values. Values of n and above are sent through again; there are
+    ``excess`` of them, so ``excess + 1`` times always suffice. No row needs to know another.
+    """
+    a, b, excess = permutation_shape(n)
+    keys = [F.conv(F.substring(seed_key(*key, r), 1, 7), 16, 10).cast("long") for r in range(ROUNDS)]
+
+    def mixed(digit: Column, k: Column) -> Column:
+        x = (digit.bitwiseAND(F.lit(LOW31)) + k) % F.lit(LOW31) * F.lit(MULTIPLIERS[0])
+        x = x.bitwiseXOR(F.shiftright(x, 15)).bitwiseAND(F.lit(LOW31)) * F.lit(MULTIPLIERS[1])
+        return F.shiftright(x.bitwiseXOR(F.shiftright(x, 13)), 4).bitwiseAND(F.lit(LOW31))
+
+    def turn(p: Column, k: Column) -> Column:
+        """Move the first digit by the second, and swap them."""
+        moved = (p["x"] + mixed(p["y"], k)) % p["m"]
+        return F.struct(p["y"].alias("x"), moved.alias("y"), p["o"].alias("m"), p["m"].alias("o"))
+
+    def once(v: Column) -> Column:
+        side = lambda x: F.lit(x).cast("long")
+        start = F.struct(F.call_function("div", v, side(b)).alias("x"), (v % side(b)).alias("y"), side(a).alias("m"), side(b).alias("o"))
+        return F.aggregate(F.array(*keys), start, turn, lambda p: p["x"] * side(b) + p["y"])
+
+    v = once(row_id.cast("long") - 1)
+    if excess:
+        v = F.aggregate(F.sequence(F.lit(1), F.lit(excess)), v, lambda x, _: F.when(x >= n, once(x)).otherwise(x))
+    return v + 1
+
+
 def assign_batches(
     df: DataFrame,
     batch_size: int = 2,
@@ -73,6 +128,7 @@ def assign_batches(
     max_steps: int = -1,
     seed: int = 42,
     row_id: str = "row_id",
+    order: str = "hash",
 ) -> DataFrame:
     """Optimizer step of every row in every epoch.
 
@@ -80,15 +136,31 @@ def assign_batches(
     one step, the last step of an epoch may be short. Adds ``epoch``,
     ``epoch_pos``, ``step`` (global) and ``micro_batch``; ``max_steps > 0``
     keeps steps below it.
+
+    ``order``: ``hash`` ranks rows by md5 of (seed, epoch, row id), whatever the ids are, and
+    moves the rows once per epoch; ``permutation`` needs ids 1..n without gaps (as
+    ``with_row_id`` makes them; anything else fails) and computes each position where the
+    row lies (``permuted_position``): one count, and no row is moved.
     """
     if batch_size < 1 or grad_accum < 1 or epochs < 1:
         raise ValueError("batch_size, grad_accum and epochs must be positive")
+    if order not in ("hash", "permutation"):
+        raise ValueError("order must be hash or permutation")
     per_step = batch_size * grad_accum
-    rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    ranked = hash_ordinal(
-        rows, seed_key(seed, F.col("epoch"), F.col(row_id)), tie=[row_id], out="epoch_pos",
-        partition_by=["epoch"], total="_n",
-    )
+    if order == "permutation":
+        n, low, high, xor = df.agg(F.count(F.lit(1)), F.min(row_id), F.max(row_id), F.bit_xor(row_id)).first()
+        if n and ((low, high) != (1, n) or xor != _xor_to(n)):
+            raise ValueError(f"{row_id} must hold every number from 1 to {n} once")
+        if max_steps > 0:
+            epochs = min(epochs, -(-max_steps // max(1, -(-n // per_step))))
+        rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        ranked = rows.withColumns({"epoch_pos": permuted_position(F.col(row_id), n, seed, F.col("epoch")), "_n": F.lit(n).cast("long")})
+    else:
+        rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        ranked = hash_ordinal(
+            rows, seed_key(seed, F.col("epoch"), F.col(row_id)), tie=[row_id], out="epoch_pos",
+            partition_by=["epoch"], total="_n",
+        )
     steps_per_epoch = F.floor((F.col("_n") + F.lit(per_step - 1)) / F.lit(per_step)).cast("long")
     local = F.floor((F.col("epoch_pos") - 1) / per_step).cast("long")
     ranked = ranked.withColumn("step", F.col("epoch") * steps_per_epoch + local).withColumn(
@@ -97,3 +169,8 @@ def assign_batches(
     if max_steps > 0:
         ranked = ranked.filter(F.col("step") < max_steps)
     return ranked
+
+
+def _xor_to(n: int) -> int:
+    """1 ^ 2 ^ ... ^ n."""
+    return (n, 1, n + 1, 0)[n % 4]

@@ -7,18 +7,19 @@ places) so that the Spark result and the oracle compare value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.chat import CHATML_END, CHATML_START
-from prefspark.operators import generate, judge, objective, ordinal, prompts, sampling, sessions
+from prefspark.operators import generate, judge, objective, ordinal, prompts, rubric_fit, sampling, sessions
 from prefspark.plans import fixtures as fx
 from prefspark.plans import models
 from prefspark.plans.fixtures import SQL_SEP, msg_text, sql_msg_text, sql_str
 from prefspark.session import scratch_path
-from prefspark.sources import readers
+from prefspark.sources import readers, writers
 from prefspark.streaming import final_sessions, live_sessions, read_prompts_stream, replay_sessions_stream
 from prefspark.streaming.sessions import ROCKSDB
 from prefspark.types import SESSION_EVENT
@@ -248,6 +249,149 @@ def q_assign_batches(spark, d):
                      big("step").alias("step"), big("micro_batch").alias("micro_batch"))
 
 
+def _sql_permuted(source: str, epochs: int, per_step: int, batch: int) -> str:
+    """Batches by the keyed permutation: one round of it a step of the recursion."""
+    m1, m2 = sampling.MULTIPLIERS
+    low, rounds = sampling.LOW31, sampling.ROUNDS
+    return f"""
+src as ({source}),
+total as (select count(*)::bigint as n, floor(sqrt(count(*)))::bigint as root from src),
+shape as (select n, a, (n + a - 1) // a as b from (select n, root, unnest(range(greatest(1, root // 2), root + 1)) as a from total)
+  order by a * ((n + a - 1) // a) - n, root - a limit 1),
+walk as (select row_id, epoch, (row_id - 1) // b as x, (row_id - 1) % b as y, a as m, b as o, 0 as r
+  from src, shape, (select unnest(range({epochs})) as epoch)
+  union all
+  select row_id, epoch, y, (x + ((xor(t, t >> 13) >> 4) & {low})) % m, o, m, r + 1 from (
+    select *, (xor(t0, t0 >> 15) & {low}) * {m2} as t from (
+      select walk.*, (((y & {low}) + ('0x' || substr(md5(concat_ws(':', '42', epoch::varchar, (r % {rounds})::varchar)), 1, 7))::bigint) % {low}) * {m1} as t0
+      from walk, shape where r % {rounds} <> 0 or r = 0 or x * b + y >= n))),
+placed as (select row_id, epoch, x * b + y + 1 as epoch_pos, n from walk, shape where r > 0 and r % {rounds} = 0 and x * b + y < n),
+batches as (select src.*, epoch, epoch_pos, epoch * ((n + {per_step} - 1) // {per_step}) + (epoch_pos - 1) // {per_step} as step,
+  ((epoch_pos - 1) % {per_step}) // {batch} as micro_batch from placed join src using (row_id))
+"""
+
+
+@register("assign_batches_permuted", f"""
+with recursive {_sql_permuted(fx.SQL_DOC_ROWS, 2, 8, 2)}
+select doc_id, epoch::bigint as epoch, epoch_pos::bigint as epoch_pos, step::bigint as step,
+       micro_batch::bigint as micro_batch from batches
+""")
+def q_assign_batches_permuted(spark, d):
+    df = sampling.assign_batches(_doc_rows(spark, d), batch_size=2, grad_accum=4, epochs=2, seed=42, order="permutation")
+    return df.select("doc_id", big("epoch").alias("epoch"), big("epoch_pos").alias("epoch_pos"),
+                     big("step").alias("step"), big("micro_batch").alias("micro_batch"))
+
+
+# --------------------------------------------------------------------------- files and tables
+
+
+def _doc_files(spark, d, n_files: int = 16) -> str:
+    """The documents in id order as a folder of Parquet files."""
+    path = scratch_path(spark, "doc-files") + ".parquet"
+    fx.table(spark, d, "documents").select("doc_id", "lang").repartitionByRange(n_files, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return path
+
+
+@register("read_first_prompts", f"""
+select doc_id, row_id::bigint as row_id from ({fx.SQL_DOC_ROWS}) where row_id <= 150
+""")
+def q_read_first_prompts(spark, d):
+    return readers.read_prompts(spark, _doc_files(spark, d), max_samples=150).select("doc_id", "row_id")
+
+
+_SQL_TABLE = """
+select *, row_number() over (order by md5(concat_ws(':', conv_id::varchar, turn::varchar)), conv_id::varchar, turn::varchar) as row_id
+from conversations where conv_id % 2 = 1 and role <> 'system'
+"""
+
+
+@register("read_table_prompts", f"""
+with {_sql_batches(_SQL_TABLE, 1, 8, 2)},
+shuffled as (select row_id, row_number() over (order by md5(concat_ws(':', '42', row_id::varchar)), row_id) as position from src)
+select row_id::bigint as row_id, conv_id, turn, text as prompt, position::bigint as position, step::bigint as step
+from batches join shuffled using (row_id) where row_id <= 200
+""")
+def q_read_table_prompts(spark, d):
+    conv = fx.table(spark, d, "conversations")
+    kinds = {"config": F.concat(F.lit("c"), (F.col("conv_id") % 2).cast("string")), "split": F.when(F.col("role") == "system", F.lit("other")).otherwise(F.lit("train"))}
+    name = f"prompts_{uuid.uuid4().hex}"
+    conv.withColumns(kinds).write.partitionBy("config", "split").option("path", scratch_path(spark, "table")).saveAsTable(name)
+    df = readers.read_prompts(spark, name, config="c1", key=["conv_id", "turn"])
+    df = prompts.prepare_prompts(df, "prompt", prompt_column="text")
+    batches = sampling.assign_batches(df.select("row_id"), seed=42).select("row_id", "step")
+    out = sampling.limit_samples(sampling.seeded_shuffle(df, 42).join(batches, "row_id"), 200)
+    return out.select("row_id", "conv_id", "turn", "prompt", "position", "step")
+
+
+@register("read_prepared", f"""
+with r as ({fx.SQL_DOC_ROWS}), t as (select count(*) as n from r),
+k as (select doc_id, row_number() over (order by md5(concat_ws(':', 'split', '42', row_id::varchar)), row_id) as pos from r)
+select 'eval' as split, doc_id from k, t where pos <= ceil(0.05 * n) union all select 'train', doc_id from k, t where pos > ceil(0.05 * n)
+""")
+def q_read_prepared(spark, d):
+    path = scratch_path(spark, "prepared")
+    writers.write_prepared(sampling.train_eval_split(_doc_rows(spark, d), 0.05, 42), path)
+    parts = [readers.read_prompts(spark, path, split=s, row_id=False).select(F.lit(s).alias("split"), "doc_id") for s in ("train", "eval")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("read_prompt_lines", f"""
+with {fx.SQL_LINES.strip()},
+single as (select unnest(string_split(value, chr(10))) as value from lines),
+kept as (select regexp_replace(value, '^{fx.PY_SPACE}+|{fx.PY_SPACE}+\\z', '', 'g') as prompt from single where not regexp_matches(value, '^{fx.PY_SPACE}*\\z'))
+select prompt, count(*) as n, min(length(prompt))::bigint as n_chars from kept group by prompt
+""")
+def q_read_prompt_lines(spark, d):
+    path = scratch_path(spark, "lines") + ".txt"
+    fx.prompt_line_rows(spark, d).select("value").write.text(path)
+    df = readers.read_prompt_lines(spark, path)
+    return df.groupBy("prompt").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("prompt")).cast("long").alias("n_chars"))
+
+
+@register("read_sessions", f"""
+with {fx.SQL_SAVED},
+parts as (select conv_id, system_prompt, unnest(range(0, greatest(1, (len(messages) + 1) // 2))) as part, messages from saved)
+select 's' || conv_id as name, part::bigint as part, system_prompt, {sql_msg_text('messages[2 * part + 1 : 2 * part + 2]')} as messages_text from parts
+""")
+def q_read_sessions(spark, d):
+    """Sessions cut into parts of two messages, written and read again."""
+    saved = fx.saved_sessions(spark, d).select(F.concat(F.lit("s"), F.col("conv_id").cast("string")).alias("name"), "system_prompt", "messages")
+    n = F.greatest(F.lit(1), F.floor((F.size("messages") + 1) / 2).cast("int"))
+    parts = saved.withColumn("part", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("part", F.col("part").cast("long"))
+    parts = parts.withColumn("messages", F.slice("messages", (F.col("part") * 2 + 1).cast("int"), 2))
+    path = scratch_path(spark, "sessions")
+    writers.write_sessions(parts, path)
+    return readers.read_sessions(spark, path).select("name", "part", "system_prompt", msg_text(F.col("messages")).alias("messages_text"))
+
+
+@register("write_responses", f"""
+select row_id::bigint as position, text as prompt, 'reply ' || (row_id * 3)::varchar as response from ({fx.SQL_CONV_ROWS})
+""")
+def q_write_responses(spark, d):
+    rows = ordinal.with_row_id(fx.table(spark, d, "conversations")).select("row_id", F.col("text").alias("prompt"), F.concat(F.lit("reply "), (F.col("row_id") * 3).cast("string")).alias("response"))
+    path = scratch_path(spark, "responses")
+    # Ids with gaps, rows in no order.
+    spread = rows.withColumn("row_id", F.col("row_id") * 3).repartition(7, "prompt")
+    writers.write_responses(spread, path, rows_per_file=100)
+    return writers.read_responses(spark, path)
+
+
+@register("write_metrics", """
+select 'run1' as run_id, lang as phase, metric, value from (
+  select lang, count(*)::double as n_docs, max(length(text))::double as max_chars from documents group by lang)
+unpivot (value for metric in (n_docs, max_chars))
+""")
+def q_write_metrics(spark, d):
+    """A run that writes half of its metrics, fails, and writes all of them twice."""
+    docs = fx.table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).cast("double").alias("n_docs"), F.max(F.length("text")).cast("double").alias("max_chars"))
+    rows = docs.unpivot(["lang"], ["n_docs", "max_chars"], "metric", "value").select(F.lit("run1").alias("run_id"), F.col("lang").alias("phase"), "metric", "value")
+    path = scratch_path(spark, "metrics")
+    writers.write_metrics(rows.where("metric = 'n_docs'"), path)
+    for _ in range(2):
+        writers.write_metrics(rows, path)
+    return spark.read.schema(writers.METRICS).parquet(path)
+
+
 # =========================================================================== E
 
 
@@ -604,6 +748,23 @@ def _report_out(df: DataFrame, group: str) -> DataFrame:
                      r6("mean_score_b").alias("mean_score_b"))
 
 
+@register("fit_rubric_weights")
+def q_fit_rubric_weights(spark, d):
+    """Weights from pairs of a good and a bad labelled document of one language, and their loss on the other half."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "lang", "text").join(fx.table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+    ranked = docs.withColumn("k", F.row_number().over(Window.partitionBy("lang", "quality").orderBy("doc_id")))
+    side = lambda q, name: ranked.where(f"quality = {q}").select("lang", "k", F.col("text").alias(name))
+    pairs = side(1, "good").join(side(0, "bad"), ["lang", "k"])
+    swap = F.col("k") % 2 == 0
+    pairs = pairs.select("k", F.when(swap, F.col("bad")).otherwise(F.col("good")).alias("completion_a"),
+                         F.when(swap, F.col("good")).otherwise(F.col("bad")).alias("completion_b"), swap.cast("int").alias("winner"))
+    weights = rubric_fit.fit_rubric_weights(pairs.where("k % 4 < 2"))
+    other = rubric_fit.pair_differences(pairs.where("k % 4 >= 2"))
+    losses = [round(rubric_fit.pair_loss(other, w), 6) for w in (weights, rubric_fit.DEFAULTS)]
+    rows = [(f, round(weights[f], 6), rubric_fit.DEFAULTS[f], *losses) for f in rubric_fit.FEATURES]
+    return spark.createDataFrame(rows, "feature string, weight double, default_weight double, held_out_loss double, default_loss double")
+
+
 @register("rubric_win_report", f"""
 with {fx.SQL_PAIRS}, {_SQL_RUBRIC_PAIRS}
 select variant, grouping(variant)::bigint as level, {_REPORT_COLS} from rw group by rollup (variant)

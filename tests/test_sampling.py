@@ -147,3 +147,39 @@ def test_rows_of_a_null_group_are_numbered_too(spark):
     df = spark.createDataFrame([(None, 1), ("a", 2), (None, 3)], "g string, v long")
     rows = ordinal.hash_ordinal(df, F.md5(F.col("v").cast("string")), out="n", partition_by=["g"]).collect()
     assert sorted((r.g or "", r.n) for r in rows) == [("", 1), ("", 2), ("a", 1)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000, 7919])
+def test_permuted_positions_are_a_permutation(spark, n):
+    df = spark.range(1, n + 1).select(F.col("id").alias("row_id"))
+    out = df.select("row_id", *[sampling.permuted_position(F.col("row_id"), n, s, e).alias(f"p{s}_{e}") for s, e in ((1, 0), (1, 1), (2, 0))]).orderBy("row_id").collect()
+    for c in ("p1_0", "p1_1", "p2_0"):
+        assert sorted(r[c] for r in out) == list(range(1, n + 1))
+    if n > 90:
+        a, b, c = ([r[k] for r in out] for k in ("p1_0", "p1_1", "p2_0"))
+        assert a != b and a != c
+        # Neighbours are torn apart: few keep their distance.
+        assert sum(abs(x - y) == 1 for x, y in zip(a, a[1:])) < 0.1 * n
+
+
+def test_permutation_shape_leaves_little_over():
+    for n in [*range(1, 2000), 10**6 + 3, 2**31 - 1, 10**12 + 39, 2**60 - 1]:
+        a, b, excess = sampling.permutation_shape(n)
+        assert a * b == n + excess and 0 <= excess <= max(64, a // 10_000) and max(a, b) < 2**31 and 4 * (a + 1) >= b
+
+
+def test_permuted_batches_move_no_rows(spark):
+    df = spark.range(1, 1001, numPartitions=7).select(F.col("id").alias("row_id"), F.lit("x" * 50).alias("payload"))
+    out = sampling.assign_batches(df, 2, 4, epochs=3, seed=5, order="permutation")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    key = lambda f: sorted((r.row_id, r.epoch, r.epoch_pos, r.step, r.micro_batch) for r in f.collect())
+    rows = key(out)
+    assert rows == key(sampling.assign_batches(df.repartition(31), 2, 4, epochs=3, seed=5, order="permutation"))
+    assert {(e, p) for _, e, p, _, _ in rows} == {(e, p) for e in range(3) for p in range(1, 1001)}
+    assert rows != key(sampling.assign_batches(df, 2, 4, epochs=3, seed=6, order="permutation"))
+    few = key(sampling.assign_batches(df, 2, 4, epochs=3, max_steps=130, seed=5, order="permutation"))
+    assert few == [r for r in rows if r[3] < 130]
+    for bad in (df.where("row_id > 1"), df.where("row_id <> 5"), df.withColumn("row_id", F.greatest("row_id", F.lit(3)))):
+        with pytest.raises(ValueError):
+            sampling.assign_batches(bad, order="permutation")
+    assert sampling.assign_batches(df.limit(0), order="permutation").count() == 0

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from prefspark.operators import prompts, sessions
+from prefspark.operators import prompts, sampling, sessions
 from prefspark.sources import readers, writers
 from prefspark.types import MESSAGES
 
@@ -181,3 +181,77 @@ def test_responses_keep_null_keys(spark, scratch):
     path = scratch("resp")
     writers.write_responses(spark.createDataFrame([(1, "p", None)], "row_id long, prompt string, response string"), path)
     assert json.loads(spark.read.text(path).first().value) == {"prompt": "p", "response": None}
+
+
+def test_first_rows_scan_only_their_files(spark, scratch):
+    path = scratch("many") + ".parquet"
+    spark.range(1000).repartitionByRange(20, "id").sortWithinPartitions("id").write.parquet(path)
+    df = readers.read_prompts(spark, path, max_samples=120)
+    assert len(df.inputFiles()) <= 4
+    assert sorted((r.row_id, r.id) for r in df.collect()) == [(k + 1, k) for k in range(120)]
+    assert readers.read_prompts(spark, path, max_samples=5000).count() == 1000
+    assert len(readers.read_prompts(spark, path, max_samples=0).inputFiles()) == 20
+    lines = scratch("lines") + ".jsonl"
+    spark.range(300).repartitionByRange(10, "id").sortWithinPartitions("id").write.json(lines)
+    df = readers.read_prompts(spark, lines, max_samples=40, row_id=False)
+    assert len(df.inputFiles()) <= 3 and sorted(r.id for r in df.collect()) == list(range(40))
+
+
+def test_catalog_table_has_stable_rows_and_prunes_partitions(spark, scratch):
+    rows = [(k, f"p{k}", f"c{k % 2}", "train" if k % 3 else "test") for k in range(60)]
+    for name, parts in (("rows_a", 1), ("rows_b", 7)):
+        spark.createDataFrame(rows, "id long, prompt string, config string, split string").repartition(parts).write \
+            .partitionBy("config", "split").option("path", scratch(name)).mode("overwrite").saveAsTable(name)
+    try:
+        a, b = (readers.read_prompts(spark, n, config="c1", key=["id"]) for n in ("rows_a", "rows_b"))
+        got = sorted((r.row_id, r.id) for r in a.collect())
+        assert got == sorted((r.row_id, r.id) for r in b.collect())
+        assert [k for k, _ in got] == list(range(1, 21))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(config" in plan and "(split" in plan
+        assert readers.read_prompts(spark, "rows_a", config="c1", key=["id"], max_samples=5).count() == 5
+        assert sampling.train_eval_split(a, 0.1).where("split = 'eval'").count() == 2
+        assert sampling.assign_batches(a, order="permutation").count() == 20
+        every = readers.read_prompts(spark, "rows_a")
+        assert sorted(r.row_id for r in every.collect()) == list(range(1, 41))
+    finally:
+        for n in ("rows_a", "rows_b"):
+            spark.sql(f"drop table {n}")
+
+
+def test_responses_read_back_in_manifest_order(spark, scratch):
+    path = scratch("resp")
+    ids = [k * k for k in range(500)]  # gaps of growing size
+    df = spark.createDataFrame([(i, f"p{i}", f"r{i}" if i % 5 else None) for i in ids], "row_id long, prompt string, response string")
+    writers.write_responses(df.repartition(9), path, rows_per_file=60)
+    manifest = spark.read.json(f"{path}/_manifest").orderBy("part").collect()
+    assert len(manifest) > 4 and sum(r.n_rows for r in manifest) == 500
+    lines = [json.loads(line)["prompt"] for r in manifest for line in open(f"{path}/{r.file}".replace("file:", ""), encoding="utf-8")]
+    assert lines == [f"p{i}" for i in ids]
+    run = spark.newSession()
+    run.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    back = writers.read_responses(run, path).orderBy("position").collect()
+    assert [(r.position, r.prompt, r.response) for r in back] == [(k + 1, f"p{i}", f"r{i}" if i % 5 else None) for k, i in enumerate(ids)]
+    empty = scratch("none")
+    writers.write_responses(df.limit(0), empty)
+    assert writers.read_responses(spark, empty).count() == 0
+
+
+def test_metrics_written_again_stay_one_set(spark, scratch):
+    m = scratch("metrics")
+    full = spark.createDataFrame([("r1", "train", "loss", 0.5), ("r1", "train", "acc", float("nan")), ("r1", None, "x", None)], writers.METRICS)
+    writers.write_metrics(full.where("metric = 'loss'"), m)
+    for _ in range(3):
+        writers.write_metrics(full.union(full), m)
+    assert spark.read.parquet(m).count() == 3
+
+
+def test_session_parts_are_kept(spark, scratch):
+    path = scratch("parts")
+    rows = [("s", 0, "S", MSG), ("s", 1, "S", MSG[:1]), ("t", 0, None, [])]
+    df = spark.createDataFrame(rows, f"name string, part long, system_prompt string, messages {MESSAGES.simpleString()}")
+    writers.write_sessions(df, path)
+    back = readers.read_sessions(spark, path)
+    assert sorted((r.name, r.part, len(r.messages)) for r in back.collect()) == [("s", 0, 2), ("s", 1, 1), ("t", 0, 0)]
+    whole = {r.name: len(r.messages) for r in sessions.whole_saved(back).collect()}
+    assert whole == {"s": 3, "t": 0}
