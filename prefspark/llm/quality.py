@@ -4,8 +4,12 @@ Each text gets its counts in one pass. Every signal is an integer, and its distr
 (language, source) is held in a mergeable quantile sketch: a histogram over integer cells that
 are exact below 64 and at most 1/32 wide relative to their value above it. Two sketches merge
 by adding counts, so Spark builds them by partial aggregation and those of a language (or of
-all rows) are sums of those of its sources. Quartiles give each group its own fences, which
-replace fixed cutoffs; the verdict joins them to the rows.
+all rows) are sums of those of its sources. Each group has its own fences, which replace fixed
+cutoffs: its median plus (or minus) a multiple of its spread, the distance from the median to a
+tail quantile of the sketch, or one cell of the sketch where that is less. Which quantile tells
+ordinary texts from the rest depends on the signal: most texts have no symbols and an ordinary
+length of words, while repeated lines and words are rare but ordinary. The verdict joins the
+fences to the rows.
 """
 
 from __future__ import annotations
@@ -20,9 +24,8 @@ from pyspark.sql import functions as F
 from prefspark.llm.common import chunks, covered, materialize, mix, text_of
 
 SYMBOLS = b"#*$%&|<>"
-#: Signal: (least distance of the fence from its quartile, judged below, judged above).
-SIGNALS = {"symbol_rate": (60, False, True), "dup_rate": (250, False, True), "repeat_rate": (180, False, True), "word_len": (150, True, True)}
-FENCE = 3
+#: Signal: (lower tail quantile or None if not judged below, upper one, multiple of the spread).
+SIGNALS = {"symbol_rate": (None, 75, 3), "dup_rate": (None, 99, 3), "repeat_rate": (None, 99, 3), "word_len": (25, 75, 8)}
 MIN_ROWS = 50
 COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint"
 
@@ -79,11 +82,14 @@ def base_failed() -> Column:
     return (F.col("_q.n_words") < 10) | (F.col("_q.n_repeat_words") * 100 > F.col("_q.n_words") * 20)
 
 
+def cell_width(x: Column) -> Column:
+    e = F.greatest(F.length(F.bin(x)) - 6, F.lit(0))
+    return F.pow(F.lit(2.0), e).cast("bigint")
+
+
 def cell(x: Column) -> Column:
     """Lower end of the sketch cell of a non-negative integer."""
-    e = F.greatest(F.length(F.bin(x)) - 6, F.lit(0))
-    width = F.expr("bigint(1)") * F.pow(F.lit(2.0), e).cast("bigint")
-    return x - x % width
+    return x - x % cell_width(x)
 
 
 def sketch(measured: DataFrame) -> DataFrame:
@@ -96,35 +102,42 @@ def sketch(measured: DataFrame) -> DataFrame:
     return long.groupBy("lang", "source", "s.signal", "s.cell").agg(F.count("*").alias("n"))
 
 
-def fences(cells: DataFrame, fence: int = FENCE, min_rows: int = MIN_ROWS) -> DataFrame:
+def _of_signal(signal: Column, place: int) -> Column:
+    out = F.lit(None).cast("bigint")
+    for k, v in SIGNALS.items():
+        out = F.when(signal == k, F.lit(v[place]).cast("bigint")).otherwise(out)
+    return out
+
+
+def fences(cells: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Fences ``lo``/``hi`` by signal for every (lang, source).
 
     A group of fewer than ``min_rows`` texts takes the merged sketch of its language, and a
     language of fewer that of all rows.
     """
 
-    def quartiles(level: DataFrame, by: list[str]) -> DataFrame:
+    def quantiles(level: DataFrame, by: list[str]) -> DataFrame:
         w = Window.partitionBy(*by, "signal").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
         total = Window.partitionBy(*by, "signal")
         r = level.withColumn("run", F.sum("n").over(w)).withColumn("total", F.sum("n").over(total))
         q = lambda p: F.min(F.when(F.col("run") * 100 >= F.col("total") * p, F.col("cell")))
-        return r.groupBy(*by, "signal").agg(F.max("total").alias("rows"), q(25).alias("q1"), q(75).alias("q3"))
+        tails = (F.coalesce(_of_signal(F.col("signal"), 0), F.lit(50)), _of_signal(F.col("signal"), 1))
+        return r.groupBy(*by, "signal").agg(F.max("total").alias("rows"), q(tails[0]).alias("ql"), q(50).alias("qm"), q(tails[1]).alias("qu"))
 
     merged = lambda by: cells.groupBy(*by, "signal", "cell").agg(F.sum("n").alias("n"))
-    own = quartiles(cells, ["lang", "source"]).alias("o")
-    lang = quartiles(merged(["lang"]), ["lang"]).alias("l")
-    every = quartiles(merged([]), []).alias("e")
+    own = quantiles(cells, ["lang", "source"]).alias("o")
+    lang = quantiles(merged(["lang"]), ["lang"]).alias("l")
+    every = quantiles(merged([]), []).alias("e")
     j = own.join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.signal") == F.col("l.signal")), "left").join(every, F.col("o.signal") == F.col("e.signal"), "left")
     pick = lambda c: F.when(F.col("o.rows") >= min_rows, F.col(f"o.{c}")).when(F.col("l.rows") >= min_rows, F.col(f"l.{c}")).otherwise(F.col(f"e.{c}"))
-    least = F.lit(None).cast("bigint")
-    for k, (m, _, _) in SIGNALS.items():
-        least = F.when(F.col("o.signal") == k, F.lit(m)).otherwise(least)
-    out = j.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.col("o.signal").alias("signal"), pick("q1").alias("q1"), pick("q3").alias("q3"), least.alias("least"))
-    far = F.greatest((F.col("q3") - F.col("q1")) * fence, F.col("least"))
-    return out.select("lang", "source", "signal", (F.col("q1") - far).alias("lo"), (F.col("q3") + far).alias("hi"))
+    out = j.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.col("o.signal").alias("signal"), *[pick(c).alias(c) for c in ("ql", "qm", "qu")])
+    times, least = _of_signal(F.col("signal"), 2), cell_width(F.col("qm"))
+    lo = F.col("qm") - times * F.greatest(F.col("qm") - F.col("ql"), least)
+    hi = F.col("qm") + times * F.greatest(F.col("qu") - F.col("qm"), least)
+    return out.select("lang", "source", "signal", lo.alias("lo"), hi.alias("hi"))
 
 
-def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", fence: int = FENCE, min_rows: int = MIN_ROWS) -> DataFrame:
+def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
     """``docs`` with the counts ``_q``, ``_base_failed`` and ``_kept``.
 
     Null languages and sources are groups of their own. Empty texts fail the base rule.
@@ -132,16 +145,14 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     than shuffling it. The fences are a table of one row per group, joined by size.
     """
     group = lambda d: d.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
-    limits = materialize(fences(materialize(sketch(with_counts(group(docs))), "quality_sketch"), fence, min_rows), "quality_fences")
+    limits = materialize(fences(materialize(sketch(with_counts(group(docs))), "quality_sketch"), min_rows), "quality_fences")
     wide = limits.groupBy(F.col("lang").alias("_l"), F.col("source").alias("_s")).agg(*[F.max(F.when(F.col("signal") == k, F.col(c))).alias(f"_{k}_{c}") for k in SIGNALS for c in ("lo", "hi")])
     rows = with_counts(docs, text_col)
     rows = rows.join(wide, F.col(lang_col).eqNullSafe(F.col("_l")) & F.col(source_col).eqNullSafe(F.col("_s")), "left")
     bad = base_failed()
     for k, v in signals().items():
-        _, below, above = SIGNALS[k]
-        if above:
-            bad = bad | F.coalesce(v > F.col(f"_{k}_hi"), F.lit(False))
-        if below:
+        bad = bad | F.coalesce(v > F.col(f"_{k}_hi"), F.lit(False))
+        if SIGNALS[k][0] is not None:
             bad = bad | F.coalesce(v < F.col(f"_{k}_lo"), F.lit(False))
     return rows.select(*[F.col(c) for c in docs.columns], "_q", base_failed().alias("_base_failed"), (~bad).alias("_kept"))
 
@@ -161,16 +172,17 @@ def oracle() -> str:
     """DuckDB SQL for ``query``."""
     names = list(SIGNALS)
     long = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS signal, {k} AS v FROM s WHERE NOT base_failed" for k in names)
-    least = "CASE o.signal " + " ".join(f"WHEN '{k}' THEN {SIGNALS[k][0]}" for k in names) + " END"
+    of = lambda place: "CASE signal " + " ".join(f"WHEN '{k}' THEN {50 if SIGNALS[k][place] is None else SIGNALS[k][place]}" for k in names) + " END"
     pick = lambda c: f"CASE WHEN o.n >= {MIN_ROWS} THEN o.{c} WHEN l.n >= {MIN_ROWS} THEN l.{c} ELSE e.{c} END"
 
-    def quartiles(by: str) -> str:
+    def quantiles(by: str) -> str:
         keys = f"{by}, signal" if by else "signal"
-        return f"""SELECT {keys}, max(total) AS n, min(CASE WHEN run * 100 >= total * 25 THEN cell END) AS q1, min(CASE WHEN run * 100 >= total * 75 THEN cell END) AS q3
+        return f"""SELECT {keys}, max(total) AS n, min(CASE WHEN run * 100 >= total * {of(0)} THEN cell END) AS ql,
+  min(CASE WHEN run * 100 >= total * 50 THEN cell END) AS qm, min(CASE WHEN run * 100 >= total * {of(1)} THEN cell END) AS qu
 FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY cell) AS run, sum(n) OVER (PARTITION BY {keys}) AS total
       FROM (SELECT {keys}, cell, sum(n) AS n FROM c GROUP BY {keys}, cell)) GROUP BY {keys}"""
 
-    bad = " OR ".join([f"coalesce(s.{k} > f.{k}_hi, false)" for k in names if SIGNALS[k][2]] + [f"coalesce(s.{k} < f.{k}_lo, false)" for k in names if SIGNALS[k][1]])
+    bad = " OR ".join([f"coalesce(s.{k} > f.{k}_hi, false)" for k in names] + [f"coalesce(s.{k} < f.{k}_lo, false)" for k in names if SIGNALS[k][0] is not None])
     wide = ", ".join(f"max({c}) FILTER (signal = '{k}') AS {k}_{c}" for k in names for c in ("lo", "hi"))
     return f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
@@ -186,10 +198,11 @@ s AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_fa
              CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_rate, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS word_len FROM m),
 v AS ({long}),
 c AS (SELECT lang, source, signal, v - v % (1 << greatest(length(bin(v)) - 6, 0)) AS cell, count(*) AS n FROM v GROUP BY ALL),
-o AS ({quartiles('lang, source')}), l AS ({quartiles('lang')}), e AS ({quartiles('')}),
-q AS (SELECT o.lang, o.source, o.signal, {pick('q1')} AS q1, {pick('q3')} AS q3, {least} AS least
+o AS ({quantiles('lang, source')}), l AS ({quantiles('lang')}), e AS ({quantiles('')}),
+q AS (SELECT o.lang, o.source, o.signal, {pick('ql')} AS ql, {pick('qm')} AS qm, {pick('qu')} AS qu
       FROM o LEFT JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.signal = l.signal LEFT JOIN e ON o.signal = e.signal),
-b AS (SELECT lang, source, signal, q1 - greatest((q3 - q1) * {FENCE}, least) AS lo, q3 + greatest((q3 - q1) * {FENCE}, least) AS hi FROM q),
+b AS (SELECT lang, source, signal, qm - {of(2)} * greatest(qm - ql, 1 << greatest(length(bin(qm)) - 6, 0)) AS lo,
+             qm + {of(2)} * greatest(qu - qm, 1 << greatest(length(bin(qm)) - 6, 0)) AS hi FROM q),
 f AS (SELECT lang, source, {wide} FROM b GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {bad}) AS kept
 FROM s LEFT JOIN f ON s.lang IS NOT DISTINCT FROM f.lang AND s.source IS NOT DISTINCT FROM f.source"""

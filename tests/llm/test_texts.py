@@ -100,6 +100,20 @@ def test_quality_sketches_merge(spark):
     assert merged.exceptAll(whole).count() == whole.exceptAll(merged).count() == 0
 
 
+def test_quality_fences_follow_their_groups(spark):
+    """Two sources of one language with different ordinary texts have different fences; neither is a fixed number."""
+    rng = random.Random(7)
+    text = lambda word, n: " ".join("".join(rng.choice("abcdef") for _ in range(word + rng.randrange(-1, 2))) for _ in range(n))
+    rows = [(k, text(4, 60) + " #" * (k % 3), "xx", "short") for k in range(80)] + [(100 + k, text(11, 60), "xx", "long") for k in range(80)]
+    rows += [(998, text(11, 60), "xx", "short"), (999, text(4, 60), "xx", "long"), (997, text(4, 60) + " # " * 40, "xx", "short")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    limits = {(r["source"], r["signal"]): (r["lo"], r["hi"]) for r in quality.fences(quality.sketch(quality.with_counts(df))).collect()}
+    assert limits["short", "word_len"][1] < 1000 < limits["long", "word_len"][1] and limits["long", "word_len"][0] > 500
+    assert limits["short", "symbol_rate"][1] > limits["long", "symbol_rate"][1]
+    kept = {r["doc_id"] for r in quality.judged(df).where("_kept").collect()}
+    assert not kept & {997, 998, 999} and len(kept) >= 156
+
+
 def test_levels_double():
     assert substring_dedup.levels(13) == [7, 13] and substring_dedup.levels(50) == [7, 13, 25, 50] and substring_dedup.levels(5) == [5]
 
