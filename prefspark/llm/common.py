@@ -47,6 +47,15 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def packed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``(row, <columns>)``: each row whole in a struct, so that its column names can clash with none.
+
+    ``select("row.*")`` gives the rows back, whatever their columns are called.
+    """
+    whole = F.struct(*[F.col("`{}`".format(c.replace("`", "``"))) for c in rows.columns])
+    return rows.select(whole.alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
 def encode(text: str) -> bytes:
     """UTF-8 bytes; Spark strings hold no lone surrogates, tests may."""
     return text.encode("utf-8", "replace")

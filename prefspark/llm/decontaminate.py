@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import chunks, encode, map_with_ids, text_of, window_hashes, word_hashes
+from prefspark.llm.common import chunks, encode, map_with_ids, packed, text_of, window_hashes, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -215,8 +215,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the rows that hold an item of the benchmark."""
     bad = contaminated(docs, benchmark, id_col, text_col, **how).select(F.col("id").alias("_b_id"), F.col("tag").alias("_b_tag")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_b_id")) & (F.xxhash64(text_of(text_col)) == F.col("_b_tag"))
-    return docs.join(bad, same, "left_anti").select(*docs.columns)
+    rows = packed(docs, id=F.col(id_col), tag=F.xxhash64(text_of(text_col)))
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("_b_id")) & (F.col("tag") == F.col("_b_tag")), "left_anti").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

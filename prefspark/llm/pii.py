@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import materialize, text_of
+from prefspark.llm.common import materialize, packed, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -128,13 +128,37 @@ def revealing(entities: DataFrame, texts: DataFrame, every: DataFrame, n: int, s
     common = by_term.where((F.col("n_t") > limit) & (F.col("n_t") > n >> 6)).select("term")
     own = texts.join(near.select("row").distinct(), "row", "left_semi").select("row", F.explode(terms_of(F.col("text"))).alias("term"))
     own = own.join(F.broadcast(common), "term", "left_anti").join(by_term.where(F.col("n_t") <= limit), "term")
-    pairs = materialize(own.join(near, "row").where(F.col("n_t") <= 2 * F.col("n_e")), "pii_pairs")
-    counts = pairs.groupBy("entity", "term", "key").agg(F.count("*").alias("c"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
-    counts = counts.groupBy("entity", "term").agg(F.sum("c").alias("n_te"), F.count("*").alias("held"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    own = materialize(own, "pii_own_terms")
+
+    pairs = materialize(class_pairs(with_class(near, "entity", "e"), with_class(own, "term", "t")), "pii_pairs")
+    both = ["e1", "e2", "t1", "t2"]
+    counts = pairs.groupBy(*both, "key").agg(F.count("*").alias("c"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    counts = counts.groupBy(*both).agg(F.sum("c").alias("n_te"), F.count("*").alias("held"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
     wide = lambda c: F.col(c).cast("decimal(18,0)")
     above = (wide("n_te") * F.lit(n).cast("decimal(18,0)") >= wide("n_t") * wide("n_e") * F.lit(1 << bits)) & (F.col("n_te") * 2 >= F.col("n_t"))
-    flagged = counts.where((F.col("held") >= support) & above).select("entity", "term")
-    return pairs.join(flagged, ["entity", "term"]).select("row", "term").distinct()
+    flagged = counts.where((F.col("held") >= support) & above).select(*both)
+    shown = pairs.join(flagged, both).select("row", "t1", "t2").distinct()
+    return with_class(own, "term", "t").join(shown, ["row", "t1", "t2"]).select("row", "term")
+
+
+def with_class(rows: DataFrame, what: str, name: str) -> DataFrame:
+    """``rows`` plus the class of each value of ``what``: the set of rows that hold it, by two hashes.
+
+    Values of one class are counted together: what holds for one of them holds for all.
+    """
+    sets = rows.groupBy(what).agg(F.bit_xor(F.xxhash64("row")).alias(f"{name}1"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias(f"{name}2"))
+    return rows.join(sets, what)
+
+
+def class_pairs(near: DataFrame, own: DataFrame) -> DataFrame:
+    """``(row, key, e1, e2, n_e, t1, t2, n_t)``: classes of entities and of terms that share a row.
+
+    Pairs are made of classes, not of values: a list of contacts that stands in a few copies has
+    few of them, however many addresses and words it holds.
+    """
+    entities = near.select("row", "key", "e1", "e2", "n_e").distinct()
+    terms = own.select("row", "t1", "t2", "n_t").distinct()
+    return terms.join(entities, "row").where(F.col("n_t") <= 2 * F.col("n_e"))
 
 
 def _spans(docs: DataFrame, id_col: str, text_col: str, support: int, bits: int) -> tuple[DataFrame, DataFrame]:
@@ -178,15 +202,17 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     # A span inside one before it is gone; one that only overlaps it lengthens it.
     cuts = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "reached"))).alias("_p_cuts"))
     cuts = rows.join(cuts, "row").select(F.col("id").alias("_p_id"), F.col("key").alias("_p_key"), "_p_cuts").dropDuplicates(["_p_id", "_p_key"])
-    text = F.col(text_col)
-    out = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("_p_id")) & (F.xxhash64(text_of(text_col)) == F.col("_p_key")), "left")
+    text = F.col("text")
+    out = packed(docs, id=F.col(id_col), key=F.xxhash64(text_of(text_col)), text=F.col(text_col))
+    out = out.join(cuts, F.col("id").eqNullSafe(F.col("_p_id")) & (F.col("key") == F.col("_p_key")), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in [*KINDS, "term"]])
     chars = F.split(text, "")
     piece = lambda a, n: F.array_join(F.slice("_p_chars", a + 1, n), "")
     kept = F.transform("_p_cuts", lambda s: F.when(s["start"] >= s["reached"], F.concat(piece(s["reached"], s["start"] - s["reached"]), F.get(names, s["kind"]))).otherwise(""))
     rest = piece(F.element_at("_p_cuts", -1)["end"], F.size("_p_chars"))
     out = out.withColumn("_p_chars", F.when(F.col("_p_cuts").isNotNull(), chars))
-    return out.withColumn(text_col, F.when(F.col("_p_cuts").isNotNull(), F.concat(F.array_join(kept, ""), rest)).otherwise(text)).select(*docs.columns)
+    clean = F.when(F.col("_p_cuts").isNotNull(), F.concat(F.array_join(kept, ""), rest)).otherwise(text)
+    return out.select(F.col("row").withField(f"`{text_col}`", clean).alias("row")).select("row.*")
 
 
 def listed(spans: Column) -> Column:

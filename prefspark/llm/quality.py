@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import chunks, covered, materialize, mix, text_of
+from prefspark.llm.common import chunks, covered, materialize, mix, packed, text_of
 
 SYMBOLS = b"#*$%&|<>"
 #: Signal: (lower tail quantile or None if not judged below, upper one, multiple of the spread).
@@ -144,22 +144,28 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     The text is measured twice (once for the sketches, once for the verdict), which costs less
     than shuffling it. The fences are a table of one row per group, joined by size.
     """
-    group = lambda d: d.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
-    limits = materialize(fences(materialize(sketch(with_counts(group(docs))), "quality_sketch"), min_rows), "quality_fences")
+    rows = _judged(docs, text_col, lang_col, source_col, min_rows)
+    return rows.select("row.*", "_q", "_base_failed", "_kept")
+
+
+def _judged(docs: DataFrame, text_col: str, lang_col: str, source_col: str, min_rows: int) -> DataFrame:
+    """``(row, _q, _base_failed, _kept)``, each row in a struct."""
+    rows = packed(docs, text=F.col(text_col), lang=F.col(lang_col), source=F.col(source_col))
+    limits = materialize(fences(materialize(sketch(with_counts(rows.drop("row"))), "quality_sketch"), min_rows), "quality_fences")
     wide = limits.groupBy(F.col("lang").alias("_l"), F.col("source").alias("_s")).agg(*[F.max(F.when(F.col("signal") == k, F.col(c))).alias(f"_{k}_{c}") for k in SIGNALS for c in ("lo", "hi")])
-    rows = with_counts(docs, text_col)
-    rows = rows.join(wide, F.col(lang_col).eqNullSafe(F.col("_l")) & F.col(source_col).eqNullSafe(F.col("_s")), "left")
+    rows = with_counts(rows)
+    rows = rows.join(wide, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     bad = base_failed()
     for k, v in signals().items():
         bad = bad | F.coalesce(v > F.col(f"_{k}_hi"), F.lit(False))
         if SIGNALS[k][0] is not None:
             bad = bad | F.coalesce(v < F.col(f"_{k}_lo"), F.lit(False))
-    return rows.select(*[F.col(c) for c in docs.columns], "_q", base_failed().alias("_base_failed"), (~bad).alias("_kept"))
+    return rows.select("row", "_q", base_failed().alias("_base_failed"), (~bad).alias("_kept"))
 
 
-def quality_filter(docs: DataFrame, **how) -> DataFrame:
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
     """Rows of ``docs`` that pass the rules, with its own columns."""
-    return judged(docs, **how).where("_kept").select(*docs.columns)
+    return _judged(docs, text_col, lang_col, source_col, min_rows).where("_kept").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import materialize, mix, powers, strings, text_of
+from prefspark.llm.common import materialize, mix, packed, powers, strings, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -429,7 +429,8 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     hot, cold = unit_table(docs, vocab, text_col, table_units)
     shared = spark.sparkContext.broadcast((sorted(vocab.inner), pack_table(hot).plain(), vocab.spelling))
     text = text_of(text_col)
-    rows = docs.withColumn("_s_key", F.xxhash64(text))
+    rows = packed(docs, _s_text=text, _s_key=F.xxhash64(text))
+    text = F.col("_s_text")
     if cold is None:
         rows = rows.withColumn("_s_cold", F.lit(None).cast("array<struct<unit:string,ids:array<int>>>"))
     else:
@@ -476,7 +477,8 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, text_col: str = "te
     names = ["ids", "round_trip"] if check else ["ids"]
     kind = "struct<ids:array<int>,round_trip:boolean>" if check else "struct<ids:array<int>>"
     rows = rows.withColumn("_s_out", F.arrow_udf(run, kind)(text, F.col("_s_cold")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"_s_out.{n}") for n in names])
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in names]
+    return rows.select(*kept, *[F.col(f"_s_out.{n}") for n in names])
 
 
 def _slices(texts: pa.Array) -> list[tuple[int, int]]:

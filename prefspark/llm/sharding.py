@@ -5,6 +5,10 @@ of buckets makes one bucket fit in memory. Second pass: the records of a bucket
 put in a fixed order, Fisher-Yates shuffled (``shuffle``) and written. Places in a shard are
 gapless: bucket sizes, summed over the few buckets of a shard, give each bucket its offset.
 
+``shuffle`` draws from the seed and the number of its task. Buckets are therefore dealt to tasks
+by their number, ``TASK_BUCKETS`` to a task on average, and taken in the order of their numbers: the
+places depend on the records, the seed and the bucket size, not on the session's partitions.
+
 The law is ``key``: a record's shard is the one with the largest seeded hash of (shard, id)
 (rendezvous hashing). It depends on the id and the number of shards alone, and one more shard
 can only win records for itself.
@@ -21,6 +25,7 @@ from prefspark.llm.common import materialize, shuffle_cleanup, text_of
 from prefspark.session import scratch_path
 
 BUCKET_BYTES = 16 << 20
+TASK_BUCKETS = 4
 RESULT = ("size", "text_crc32", "shard", "slot", "grown_shard")
 
 
@@ -38,7 +43,7 @@ def shard_records(docs: DataFrame, shards: int = 8, seed: int = 7, id_col: str =
     named like one of the added ones is replaced.
     """
     raw = text_of(text_col).cast("binary")
-    own = [F.col(c) for c in docs.columns if c not in RESULT] or [F.lit(1).alias("_none")]
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in RESULT] or [F.lit(1).alias("_none")]
     rows = docs.select(
         F.struct(*own).alias("row"),
         (F.octet_length(raw) + 1).cast("bigint").alias("size"),
@@ -53,12 +58,16 @@ def shard_records(docs: DataFrame, shards: int = 8, seed: int = 7, id_col: str =
         rendezvous(F.col("id"), shards + 1, seed).alias("grown_shard"),
         F.pmod(F.xxhash64(F.lit(f"{seed}/bucket"), "id", "crc", "size"), F.lit(buckets)).alias("bucket"),
     )
+    placed = placed.withColumn("bucket", F.col("shard").cast("bigint") * buckets + F.col("bucket"))
     sizes = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "bucket_offsets")
-    record = F.struct("id", "crc", "size", "grown_shard", "row")
-    held = placed.groupBy("shard", "bucket").agg(F.array_sort(F.collect_list(record), lambda a, b: _order(a, b)).alias("held"))
-    mixed = held.join(offsets, ["shard", "bucket"]).select("shard", "offset", F.posexplode(F.shuffle("held", F.lit(seed))).alias("i", "r"))
+    offsets = materialize(sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "bucket_offsets")
+    record = F.struct("id", "crc", "size", "shard", "grown_shard", "row")
+    tasks = max(1, -(-shards * buckets // TASK_BUCKETS))
+    dealt = placed.repartition(tasks, "bucket")
+    held = dealt.groupBy("bucket").agg(F.array_sort(F.collect_list(record), lambda a, b: _order(a, b)).alias("held"))
+    held = held.join(offsets, "bucket").sortWithinPartitions("bucket")
+    mixed = held.select("offset", F.posexplode(F.shuffle("held", F.lit(seed))).alias("i", "r")).withColumn("shard", F.col("r.shard"))
     return mixed.select("r.row.*", F.col("r.size").alias("size"), F.col("r.crc").alias("text_crc32"), "shard", (F.col("offset") + F.col("i")).alias("slot"), F.col("r.grown_shard").alias("grown_shard"))
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import connected_components, encode, map_with_ids, materialize, text_of
+from prefspark.llm.common import connected_components, encode, map_with_ids, materialize, packed, text_of
 
 BUCKET = 8192
 PIVOTS = 24
@@ -176,9 +176,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = _rooted(docs, id_col, text_col, **how)
     best = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("w"))
     best = best.select(F.col("w.id").alias("_w_id"), F.col("w.key").alias("_w_key"))
-    key = F.xxhash64(text_of(text_col))
-    kept = docs.withColumn("_w_hash", key).join(best, F.col(id_col).eqNullSafe(F.col("_w_id")) & (F.col("_w_hash") == F.col("_w_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "_w_hash"]).select(*docs.columns)
+    rows = packed(docs, id=F.col(id_col), key=F.xxhash64(text_of(text_col)))
+    kept = rows.join(best, F.col("id").eqNullSafe(F.col("_w_id")) & (F.col("key") == F.col("_w_key")), "left_semi")
+    return kept.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from prefspark.llm import decontaminate, html_extract, licenses, lm_score, minha
 
 ITEM = " ".join(f"item{i}" for i in range(20))
 LONG = " ".join(f"w{i % 977} mail{i}@x.example.org" for i in range(20_000))
-CLASH = ["id", "key", "h", "at", "tag", "fp", "row", "n", "word", "unit", "ids", "size", "shard", "slot", "kept", "hits", "low", "bucket", "base", "terms", "pos", "contexts"]
+CLASH = ["id", "key", "h", "at", "tag", "fp", "n", "word", "unit", "ids", "size", "shard", "slot", "kept", "hits", "low", "bucket", "base", "terms", "pos", "contexts", "_s", "_l", "_q", "_p_id", "_p_key", "_w_id", "_w_key", "_b_id", "_b_tag", "_s_key", "_s_out", "row", "a.b"]
 
 
 @pytest.fixture(scope="module")

@@ -111,3 +111,16 @@ def test_statistics_are_of_the_whole_corpus(spark):
     few = held + [f"{word()} common {word()}" for _ in range(60)]
     rows = {r["id"]: r for r in pii.find(frame(spark, few)).collect()}
     assert all([s["value"] for s in rows[k]["terms"]] == ["quillon"] for k in range(4))
+
+
+def test_copies_of_a_long_list_make_few_pairs(spark):
+    """A list of addresses and names in edited copies: pairs are of classes, and what reveals is still found."""
+    name = lambda k: "per" + "".join("abcdefghij"[int(c)] for c in f"{k:03d}")
+    people = " ".join(f"{name(k).title()} person{k}@corp.example.org" for k in range(120))
+    rows = [(k, f"{people} edition{k}x") for k in range(4)] + [(10 + k, f"plain words about nothing {k % 7}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    held = pii.find(df).where("id < 4").collect()
+    assert all(len(r["base"]) == 120 and {t["value"] for t in r["terms"]} >= {name(k) for k in range(120)} for r in held)
+    near = spark.createDataFrame([(r, r, f"e{k}", 4) for r in range(4) for k in range(400)], "row bigint, key bigint, entity string, n_e bigint")
+    own = spark.createDataFrame([(r, f"t{k}", 4) for r in range(4) for k in range(400)], "row bigint, term string, n_t bigint")
+    assert pii.class_pairs(pii.with_class(near, "entity", "e"), pii.with_class(own, "term", "t")).count() == 4

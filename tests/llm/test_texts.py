@@ -159,6 +159,17 @@ def test_sharding_law(spark):
     assert 0.05 < moved / len(rows) < 0.2
 
 
+def test_sharding_order_depends_on_the_seed_alone(spark):
+    df = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(1000)], "doc_id bigint, text string")
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "31")
+    same = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(1000)][::-1], "doc_id bigint, text string").repartition(13)
+    again = other.createDataFrame([(i, "x" * (i % 50)) for i in range(1000)], "doc_id bigint, text string").repartition(3)
+    for size in (300, 1 << 20):
+        places = [{r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_records(d, bucket_bytes=size, seed=s).collect()} for d, s in ((df, 7), (same, 7), (again, 7), (df, 8))]
+        assert places[0] == places[1] == places[2] != places[3]
+
+
 def test_sharding_depends_on_the_key_alone(spark):
     df = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(500)], "doc_id bigint, text string")
     a = {r["doc_id"]: r["shard"] for r in sharding.shard_records(df, bucket_bytes=300).collect()}
