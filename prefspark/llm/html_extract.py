@@ -34,25 +34,30 @@ from prefspark.llm.labelled_pages import labelled_pages
 
 BUCKETS = 1 << 14
 SMOOTH = 0.5
+FAINT = 0.05
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select button canvas audio video".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+RAW = frozenset("script style template textarea title iframe select button".split())
+FOREIGN = frozenset("math svg".split())  # what is in them is part of the line
+INLINE = frozenset("audio canvas math noscript object svg video a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 HOLDS = frozenset("ul ol dl table tbody thead tr body html article section main div nav aside footer header".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-NAME = re.compile(r"[a-z]+")
+NAME = re.compile(r"[a-z]{2,}")
+STOPS = re.compile(r"[.,;:!?\u3002\u3001](?:\s|$)")
+#: Stands for class names the model has not seen; a name that labelled pages use for them.
+UNSEEN = "zzunseen"
 
 
 class Node:
-    __slots__ = ("parent", "tag", "names", "label", "chars", "linked", "blocks")
+    __slots__ = ("parent", "tag", "names", "label", "chars", "linked", "stops", "blocks")
 
     def __init__(self, parent: int, tag: str, names: list[str], label: int) -> None:
         self.parent, self.tag, self.names, self.label = parent, tag, names, label
-        self.chars = self.linked = 0
+        self.chars = self.linked = self.stops = 0
         self.blocks: list[int] = []
 
 
@@ -61,18 +66,25 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
     nodes = [Node(-1, "#root", [], 1)]  # elements around the labelled ones may hold content
     blocks: list[list] = []
     stack = [("#root", 0)]  # open elements with their block node
+    held: Counter = Counter()  # open elements by tag
+    implied = -1  # node of text that stands in no element
     links = 0
     current: list | None = None
     at = 0
 
     def text(s: str) -> None:
-        nonlocal current
+        nonlocal current, implied
         if not s.strip():
             if current is not None and s:
                 current[1].append(" ")
             return
         s = html.unescape(s)
         node = stack[-1][1]
+        if not node:
+            if implied < 0:
+                nodes.append(Node(0, "#text", [], 1))
+                implied = len(nodes) - 1
+            node = implied
         if current is None or current[0] != node:
             current = [node, []]
             blocks.append(current)
@@ -81,9 +93,18 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
         n = nodes[node]
         size = len(s)
         n.chars += size
+        n.stops += len(STOPS.findall(s))
         if links:
             n.linked += size
 
+    def leave(k: int) -> None:
+        """Close the open elements from place ``k`` on."""
+        nonlocal links
+        for t, _ in stack[k:]:
+            held[t] -= 1
+            links -= t == "a"
+        del stack[k:]
+
     while True:
         m = TOKEN.search(page, at)
         if m is None:
@@ -96,17 +117,17 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
             continue
         tag = m[2].lower()
         if m[1]:  # an end tag closes up to its element, if that is open
-            if tag == "p" and not any(t == "p" for t, _ in stack):
-                current = None
+            if not held[tag]:
+                if tag == "p":
+                    current = None
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
-                    if tag not in INLINE:
+                    leave(k)
+                    if tag not in INLINE and not (held["math"] or held["svg"]):
                         current = None
                     break
-                if tag in INLINE and stack[k][0] not in INLINE:
+                if tag in INLINE and stack[k][0] not in INLINE and not (held["math"] or held["svg"]):
                     break
             continue
         if tag in RAW:
@@ -116,7 +137,9 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
             elif not m[3].endswith("/") and tag in ("script", "style"):
                 at = len(page)
             continue
-        if tag in INLINE or tag in VOID:
+        if tag in INLINE or tag in VOID or held["math"] or held["svg"]:
+            if m[3].endswith("/") and tag not in VOID:
+                continue
             if tag == "br":
                 if current is not None:
                     current[1].append(" ")
@@ -125,6 +148,7 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
                     current = None
             else:
                 stack.append((tag, stack[-1][1]))
+                held[tag] += 1
                 links += tag == "a"
             continue
         # A block element: close what it implies, then open it.
@@ -132,8 +156,7 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
         for k in range(len(stack) - 1, 0, -1):
             t = stack[k][0]
             if t in closing:
-                links -= sum(x == "a" for x, _ in stack[k:])
-                del stack[k:]
+                leave(k)
                 break
             if t in HOLDS and t not in closing:
                 break
@@ -154,15 +177,22 @@ def parse(page: str) -> tuple[list[Node], list[list]]:
             label = nodes[parent].label
         nodes.append(Node(parent, tag, names, label))
         stack.append((tag, len(nodes) - 1))
+        held[tag] += 1
 
 
 def cell(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS
 
 
-def features(n: Node) -> list[tuple[str, str]]:
-    """(group, feature): a feature's frequency is taken among the elements of its group."""
-    out = [("any", f"name={x}") for x in dict.fromkeys(n.names)] or [(f"tag={n.tag}", f"unnamed={n.tag}")]
+def features(n: Node, known: dict[int, float] | None = None) -> list[tuple[str, str]]:
+    """(group, feature): a feature's frequency is taken among the elements of its group.
+
+    Names and the share of the text in links. With ``known`` (a model's cells), names it has not seen count as ``UNSEEN``, once.
+    """
+    names = [f"name={x}" for x in dict.fromkeys(n.names)]
+    if known is not None and names:
+        names = [x for x in names if cell(x) in known] or [f"name={UNSEEN}"]
+    out = [("any", x) for x in names] or [(f"tag={n.tag}", f"unnamed={n.tag}")]
     if n.chars:
         out.append((f"text={n.tag}", f"link={n.tag}/{4 * n.linked // n.chars}"))
     return out
@@ -173,8 +203,8 @@ def groups(n: Node) -> list[str]:
 
 
 def edge(parent: Node, child: Node) -> str:
-    """The class of a parent-child pair that its potential depends on."""
-    return f"{parent.tag if parent.tag in HOLDS else '*'}>{child.tag}"
+    """The class of a parent-child pair that its potential depends on: tags, and whether the child is named."""
+    return f"{parent.tag if parent.tag in HOLDS else '*'}>{child.tag}{'.' if child.names else ''}"
 
 
 def train(labelled: DataFrame, html_col: str = "html") -> dict:
@@ -200,7 +230,8 @@ def train(labelled: DataFrame, html_col: str = "html") -> dict:
     ratio = {}
     for c, g in {k[1:3] for k in got if k[0] == "f"}:
         p = [(got.get(("f", c, g, y), 0) + SMOOTH) / (got.get(("g", g, 0, y), 0) + 2 * SMOOTH) for y in (0, 1)]
-        ratio[c] = math.log(p[1] / p[0])
+        # What tells next to nothing counts as nothing: an article may have thousands of equal parts.
+        ratio[c] = r if abs(r := math.log(p[1] / p[0])) >= FAINT else 0.0
     pairs = {}
     every = np.array([[sum(got.get(("e", c, u, y), 0) for c in {k[1] for k in got if k[0] == "e"}) + SMOOTH for y in (0, 1)] for u in (0, 1)])
     every = every / every.sum(axis=1, keepdims=True)
@@ -220,7 +251,7 @@ def marginals(nodes: list[Node], model: dict) -> list[float]:
     belief = []  # phi times the messages of the children
     psi = [every] * n
     for i, node in enumerate(nodes):
-        r = sum(ratio.get(cell(f), 0.0) for _, f in features(node)) if i else 0.0
+        r = sum(ratio.get(cell(f), 0.0) for _, f in features(node, ratio)) if i else 0.0
         r = max(-30.0, min(30.0, r))
         p = 1 / (1 + math.exp(-r))
         belief.append([1 - p, p] if i else [0.0, 1.0])
@@ -254,7 +285,8 @@ def main_text(page: str, model: dict) -> str:
     p = marginals(nodes, model)
     out = []
     for node, pieces in blocks:
-        if node and p[node] >= 0.5:
+        # Text in no element at all counts only if it holds a sentence.
+        if node and p[node] >= 0.5 and (nodes[node].tag != "#text" or nodes[node].stops):
             s = " ".join("".join(pieces).split())
             if s:
                 out.append(s)
@@ -264,8 +296,9 @@ def main_text(page: str, model: dict) -> str:
 def extract(pages: DataFrame, model: dict, html_col: str = "html") -> DataFrame:
     """``pages`` without its other columns changed, plus ``main_text``.
 
-    A null or empty page has empty text. Text outside every element is not content. Unclosed
-    and stray tags are accepted. Repeated rows repeat their result.
+    A null or empty page has empty text. Text outside every element is that of an implied body.
+    A block whose probability is one half is kept. Unclosed and stray tags are accepted. Repeated
+    rows repeat their result.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

@@ -16,12 +16,14 @@ SHORT = "a short note on the matter, as promised."
 CONTAINERS = [
     '<article data-main="1">{}</article>', '<main data-main="1">{}</main>', '<div class="content" data-main="1">{}</div>', '<div id="content" data-main="1">{}</div>', '<section class="post" data-main="1">{}</section>',
     '<div class="post-content entry-content" data-main="1">{}</div>', '<div class="article-body" data-main="1">{}</div>', '<main><article data-main="1">{}</article></main>', '<div class="wrapper"><div class="story" data-main="1">{}</div></div>',
+    '{}', '<div class="zzunseen" data-main="1">{}</div>', '<div id="zzunseen"><div class="zzunseen" data-main="1">{}</div></div>', '<section class="zzunseen" data-main="1">{}</section>', '<div class="zzunseen" id="zzunseen" data-main="1">{}</div>', '<div class="zzunseen"><div class="zzunseen" data-main="1">{}</div></div>', '<td class="zzunseen" data-main="1">{}</td>', '<div class="zzunseen" data-main="1"><div class="zzunseen">{}</div></div>', '<div><div data-main="1">{}</div></div>', '{}',
     '<div id="article" data-main="1">{}</div>', '<div class="post" data-main="1">{}</div>', '<section data-main="1">{}</section>', '<div data-main="1">{}</div>', '<div id="main"><div class="text" data-main="1">{}</div></div>', '<div class="page"><article class="entry" data-main="1"><div class="body">{}</div></article></div>', '<div role="main" data-main="1">{}</div>', '<table><tr><td class="content" data-main="1">{}</td></tr></table>',
 ]
 # Main content.
 BODIES = [
     "<h1>{t}</h1><p>{l}</p><p>{s}</p>", "<h1>{t}</h1><p><b>{l}</b><br><p>{l}</p>", "<h2>{t}</h2><p>{l}</p><h3>{t}</h3><p>{l}</p><ul><li>{s}</li><li>{l}</li></ul>", "<header><h1>{t}</h1></header><p>{s}</p><blockquote><p>{l}</p></blockquote>",
     "<h1>{t}</h1><section><p>{l}</p></section><section><h2>{t}</h2><p>{l}</p></section>", "<h1>{t}</h1><p>{l} <a href='/x'>{t}</a></p><figure><figcaption>{s}</figcaption></figure><p>{l}</p>", "<h1>{t}</h1><pre>{s}</pre><p>{s}</p><table><tr><td>{s}</td><td>{t}</td></tr></table>",
+    "<h1>{t}</h1>{l}<br><br>{l} {l}", "{l} {s}\n\n{l}", "<h1>{t}</h1><div>{l}</div><div class='zzunseen'>{l} {l}</div>", "<h1>{t}</h1><p class='zzunseen'>{l}</p><p class='zzunseen'>{s}</p><p>{l} {l}</p>", "<h2 class='zzunseen'>{t}</h2><div class='zzunseen'><p>{l}</p><p>{l}</p></div>",
     "<h1>{t}</h1><p>{s}", "<p>{l}</p><div>{l}</div><ol><li>{s}</li><li>{s}</li></ol>", "<h1>{t}</h1><dl><dt>{t}</dt><dd>{l}</dd></dl><p>{l}</p>", "<h1>{t}</h1><p>{t}</p>",
 ]
 # Boilerplate, outside or inside the content container.
@@ -35,6 +37,7 @@ OUTER = [
     '<form data-main="0"><p>{s}</p><label>email</label><input name="e"></form>', '<form class="search" data-main="0"><input name="q"><label>search</label></form>', '<div class="newsletter subscribe" data-main="0"><p>{s}</p><form><label>mail</label></form></div>',
     '<div class="topbar" data-main="0"><a href="/l">log in</a></div>', '<div class="site footer" data-main="0"><p>{s}</p></div>', '<div class="comments area" data-main="0"><p>{l}</p></div>', '<section class="user comments" data-main="0"><p>{s}</p></section>', '<div class="widget" data-main="0"><p>{s}</p></div>', '<div class="recommended" data-main="0"><h3>{t}</h3><p>{s}</p></div>',
     '<div class="comments" data-main="0"><h3>comments</h3><div class="comment"><p>{s}</p></div><div class="comment"><p>{l}</p></div></div>', '<section id="comments" data-main="0"><h2>{t}</h2><ul><li><p>{l}</p></li><li><p>{s}</p></li></ul></section>', '<section class="comments" data-main="0"><article class="comment"><p>{l}</p></article><article><p>{s}</p></article></section>', '<ol class="comment-list" data-main="0"><li class="comment">{l}</li><li class="comment"><p>{s}</p></li></ol>', '<div class="reply" data-main="0"><p>{l}</p></div>', '<div class="discussion responses" data-main="0"><p>{l}</p></div>',
+    '<div id="disqus_thread" data-main="0"><p>{l}</p></div>', '<div id="respond" class="commentlist" data-main="0"><p>{s}</p></div>', '<div class="zzunseen" data-main="0"><a href="/a">one</a> <a href="/b">two</a> <a href="/c">three</a></div>', '<ul class="zzunseen" data-main="0"><li><a href="/a">{t}</a></li><li><a href="/b">{t}</a></li></ul>',
 ]
 INNER = [
     "", '<div class="ad" data-main="0">{s}</div>', '<div class="ads" data-main="0"><p>{l}</p></div>', '<div class="advert" data-main="0">{s}</div>', '<div class="advertisement" data-main="0"><p>{s}</p></div>', '<aside class="ad" data-main="0">{s}</aside>', '<section class="promo" data-main="0"><p>{l}</p></section>', '<div class="sponsored" data-main="0"><p>{l}</p></div>', '<p class="ad" data-main="0">{s}</p>', '<p class="sponsored promo" data-main="0">{l}</p>',
@@ -42,6 +45,7 @@ INNER = [
     '<div class="tags" data-main="0"><a href="/a">{t}</a> <a href="/b">{t}</a></div>', '<aside data-main="0"><p>{s}</p></aside>', '<form data-main="0"><label>{t}</label><p>{s}</p></form>', '<div class="hidden" hidden data-main="0"><p>{l}</p></div>', '<div class="author byline meta" data-main="0">by a. writer, {t}</div>', '<footer data-main="0"><p>{s}</p></footer>',
 ]
 PAGE = '<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{{t}}</title><script>var a="<p>";</script></head><body>{top}{left}{main}{low}</body></html>'
+BARE = "{top}{left}{main}{low}"  # without html and body
 TITLES = ["a quiet year", "what the council said about the bridge and why it matters"]
 
 
@@ -56,7 +60,7 @@ def labelled_pages(spark: SparkSession, text_col: str = "html") -> DataFrame:
     )
     put = lambda frame, key, col: F.replace(frame, F.lit(key), col)
     before = F.when(F.col("id") % 2 == 0, F.concat("n", "b")).otherwise(F.concat("b", "n"))
-    page = F.lit(PAGE)
+    page = F.when(F.col("id") % 11 == 0, F.lit(BARE)).otherwise(F.lit(PAGE))
     for key, col in (("{top}", F.col("o1")), ("{left}", F.col("o2")), ("{low}", F.col("o3")), ("{main}", F.expr("replace(c, '{}', '{body}')")), ("{body}", before)):
         page = put(page, key, col)
     page = put(page, "{{t}}", F.lit(TITLES[0]))

@@ -73,3 +73,43 @@ def test_depth_and_length(model):
     deep = "<div>" * 5000 + "x" + "</div>" * 5000
     assert H.main_text(deep, model) in ("", "x")
     assert H.main_text("<article>" + "<p>word</p>" * 20000 + "</article>", model).count("word") == 20000
+
+
+SENTENCES = "The council met in the spring, and after long talks the members agreed on a plan. Nobody had expected that, but it was done."
+
+
+def _unseen_layout(k):
+    """A page whose content stands in elements of names that no labelled page has, and its blocks."""
+    name = f"{'bcdfg'[k % 5]}lor{'aeiou'[k // 5 % 5]}x"
+    blocks = [f"Heading number {k}", f"First part {k}. {SENTENCES}", f"Second part {k}. {SENTENCES}", SENTENCES]
+    inner = f"<h{1 + k % 3}>{blocks[0]}</h{1 + k % 3}>" + "".join(f"<p>{b}</p>" if k % 2 else f"<div>{b}</div>" for b in blocks[1:])
+    frames = [f"<div class='{name}'>{inner}</div>", f"<div id='{name}'><div class='{name}-in'>{inner}</div></div>", f"<section class='{name} wide'>{inner}</section>", inner, f"<div>{inner}</div>"]
+    around = ["<nav><a href='/'>home</a></nav>", "<div class='menu'><a href='/'>home</a> <a href='/n'>news</a></div>", "<header><p>the daily</p></header>", "<div class='cookie-banner'>We use cookies. All of them.</div>"]
+    after = ["<footer>all rights reserved</footer>", "<div id='disqus_thread'><p>A reader writes. I agree.</p></div>", "<aside class='sidebar'><p>Something else. Read it.</p></aside>"]
+    return f"<html><body>{around[k % 4]}{frames[k % len(frames)]}{after[k % 3]}</body></html>", blocks
+
+
+def test_content_in_names_never_seen(model):
+    right = extra = total = 0
+    for k in range(75):
+        page, blocks = _unseen_layout(k)
+        got = H.main_text(page, model).split("\n\n")
+        right += sum(b in got for b in blocks)
+        extra += sum(g not in blocks for g in got if g)
+        total += len(blocks)
+    assert right / total > 0.95 and extra / total < 0.02
+
+
+def test_text_without_elements_and_kept_elements(model):
+    assert H.main_text(f"{SENTENCES}\n\n{SENTENCES}", model) == f"{SENTENCES} {SENTENCES}"
+    assert H.main_text(f"<body><h1>A title</h1><p>{SENTENCES}</p></body>", model) == f"A title\n\n{SENTENCES}"
+    page = f"<article><p>{SENTENCES} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><object><p>What stands for the object, in words.</p></object><noscript>Without scripts.</noscript><button>Buy</button></article>"
+    assert H.main_text(page, model) == f"{SENTENCES} x=2 holds.\n\nWhat stands for the object, in words.\n\nWithout scripts."
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    began = time.time()
+    H.parse("<div>" * 3000 + "</b></i></p></span>" * 30_000)
+    assert time.time() - began < 5
