@@ -40,7 +40,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with shuffle_cleanup(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing reads any more (all that came of it is written)."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(name: str = "text") -> Column:
@@ -239,7 +248,8 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not last[0]:
             break
-        edges = materialize(star(star(edges, True), False), "stars")
+        before, edges = edges, materialize(star(star(edges, True), False), "stars")
+        release(before)
         now = digest(edges)
         if now == last:
             break

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import SPACE, materialize, text_of
+from prefspark.llm.common import SPACE, materialize, release, text_of
 from prefspark.operators.ordinal import join_small, null_safe_join
 from prefspark.operators.segments import PART_SIZE, split_hot
 
@@ -269,10 +269,11 @@ def subtree_sums(skeleton: DataFrame) -> DataFrame:
         up = linked.select(F.col("k1").alias("u1"), F.col("k2").alias("u2"), F.col("u1").alias("v1"), F.col("u2").alias("v2"))
         out = rows.join(add, ["k1", "k2"], "left").join(up, ["u1", "u2"], "left")
         zero = F.lit(0).cast("bigint")
-        rows = materialize(
+        before, rows = rows, materialize(
             out.select("k1", "k2", F.col("v1").alias("u1"), F.col("v2").alias("u2"), (F.col("leaves") + F.coalesce("more_leaves", zero)).alias("leaves"), (F.col("saved") + F.coalesce("more_saved", zero)).alias("saved")),
             "skeleton_sums",
         )
+        release(before)
     return rows.select("k1", "k2", "leaves", "saved")
 
 

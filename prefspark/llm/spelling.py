@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import materialize, mix, strings, text_of
+from prefspark.llm.common import materialize, mix, release, strings, text_of
 
 RUNS = "[A-Za-zÀ-ÿ]+"
 LENGTHS = 64
@@ -223,7 +223,9 @@ def last_forms(forms: DataFrame) -> DataFrame:
         if up.join(up.select(F.col("word").alias("root")), "root", "left_semi").isEmpty():
             break
         over = up.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        up = materialize(up.join(over, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
+        before, up = up, materialize(up.join(over, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
+        if hasattr(before, "_written_to"):
+            release(before)
     return up
 
 

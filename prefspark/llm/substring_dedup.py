@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import Chunk, chunks, covered, map_with_ids, materialize, signed, strings, text_of
+from prefspark.llm.common import Chunk, chunks, covered, map_with_ids, materialize, release, signed, strings, text_of
 
 LOW32 = 0xFFFFFFFF
 
@@ -111,6 +111,7 @@ def repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
         last = k == len(lengths) - 1
         if k:
             found = materialize(map_with_ids(rows.join(alive, ["id", "tag"]), extend(length, lengths[k - 1], k == 1), schema), f"windows{length}")
+            release(alive)
         ends = found.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
         shared = materialize(ends.select("h", "low"), f"shared{length}")
         hits = found.join(shared, "h")
@@ -118,6 +119,9 @@ def repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
             hits = hits.where("id > low")
         hits = hits.groupBy("id", F.shiftright("at", 32).alias("tag")).agg(F.collect_list(F.col("at").bitwiseAND(F.lit(LOW32)).cast("int")).alias("pos"))
         alive = materialize(hits, f"alive{length}")
+        release(shared)
+        if k:
+            release(found)
         if alive.isEmpty():
             return None
     return alive
