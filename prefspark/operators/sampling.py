@@ -76,13 +76,13 @@ SHAPES = 200_000
 
 
 def permutation_shape(n: int) -> tuple[int, int, int]:
-    """``(a, b, excess)``: sides a * b = n + excess, a within half of the square root and that.
+    """``(a, b, excess)``: sides a * b = n + excess, a between two thirds of the square root and that.
 
     The least excess among ``SHAPES`` sides at most. Sides below 2**31 keep all products within
     a bigint, so n may go up to 2**60.
     """
     root = max(1, math.isqrt(n))
-    low = max(1, root // 2)
+    low = -(-2 * root // 3)
     sides = range(low, root + 1, max(1, (root - low) // SHAPES))
     best = min(sides, key=lambda a: (a * -(-n // a) - n, root - a))
     return best, max(1, -(-n // best)), best * -(-n // best) - n

@@ -256,7 +256,7 @@ def _sql_permuted(source: str, epochs: int, per_step: int, batch: int) -> str:
     return f"""
 src as ({source}),
 total as (select count(*)::bigint as n, floor(sqrt(count(*)))::bigint as root from src),
-shape as (select n, a, (n + a - 1) // a as b from (select n, root, unnest(range(greatest(1, root // 2), root + 1)) as a from total)
+shape as (select n, a, (n + a - 1) // a as b from (select n, root, unnest(range((2 * root + 2) // 3, root + 1)) as a from total)
   order by a * ((n + a - 1) // a) - n, root - a limit 1),
 walk as (select row_id, epoch, (row_id - 1) // b as x, (row_id - 1) % b as y, a as m, b as o, 0 as r
   from src, shape, (select unnest(range({epochs})) as epoch)
