@@ -342,12 +342,20 @@ def _filled(ids: np.ndarray, sizes: np.ndarray, lack: np.ndarray, more: np.ndarr
 class UnitTable:
     """Units by sorted 64-bit hash with their ids, packed."""
 
-    def __init__(self, rows: list[tuple[bytes, bytes, bytes]]) -> None:
-        join = lambda k, kind: np.frombuffer(b"".join(r[k] for r in rows), kind)
-        keys, sizes, self.ids = join(0, np.uint64), join(1, np.uint32).astype(np.int64), join(2, np.uint16)
-        order = np.argsort(keys)
-        begin = np.cumsum(sizes) - sizes
-        self.keys, self.begin, self.sizes = keys[order], begin[order].astype(np.uint32), sizes[order].astype(np.uint32)
+    def __init__(self, keys: list[np.ndarray], sizes: list[np.ndarray], ids: list[np.ndarray]) -> None:
+        """Parts of a table, in any order; the lists are emptied as they are joined, to hold little twice."""
+
+        def join(parts: list[np.ndarray], kind: type) -> np.ndarray:
+            out = np.concatenate([*parts, np.empty(0, kind)])
+            parts.clear()
+            return out
+
+        self.ids = join(ids, np.uint16)
+        self.keys, self.sizes = join(keys, np.uint64), join(sizes, np.uint32)
+        self.begin = (np.cumsum(self.sizes, dtype=np.int64) - self.sizes).astype(np.uint32)
+        order = np.argsort(self.keys).astype(np.uint32)
+        for name in ("keys", "sizes", "begin"):
+            setattr(self, name, getattr(self, name)[order])
 
     @staticmethod
     def over(keys: np.ndarray, begin: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> "UnitTable":
@@ -362,7 +370,7 @@ class UnitTable:
     @staticmethod
     def of(keys: np.ndarray, ids: list[np.ndarray]) -> "UnitTable | None":
         sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
-        return UnitTable([(keys.tobytes(), sizes.tobytes(), np.concatenate(ids).astype(np.uint16).tobytes())]) if ids else None
+        return UnitTable([keys], [sizes], [np.concatenate(ids).astype(np.uint16)]) if ids else None
 
     def ids_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units one after another, and how many each has (0: not held)."""
@@ -391,8 +399,12 @@ def pack_table(table: DataFrame) -> UnitTable:
                 ids = np.concatenate(list(b["ids"])).astype(np.uint16)
                 yield pd.DataFrame({"k": [keys.tobytes()], "n": [sizes.tobytes()], "ids": [ids.tobytes()]})
 
-    rows = table.select("unit", "ids").mapInPandas(pack, "k binary, n binary, ids binary").collect()
-    return UnitTable([(bytes(r["k"]), bytes(r["n"]), bytes(r["ids"])) for r in rows])
+    parts: tuple[list, list, list] = ([], [], [])
+    # A partition at a time: the driver holds the table once, and little more.
+    for r in table.select("unit", "ids").mapInPandas(pack, "k binary, n binary, ids binary").toLocalIterator():
+        for part, name, kind in zip(parts, ("k", "n", "ids"), (np.uint64, np.uint32, np.uint16)):
+            part.append(np.frombuffer(r[name], kind))
+    return UnitTable(*parts)
 
 
 def unit_table(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", table_units: int = TABLE_UNITS) -> tuple[DataFrame, DataFrame | None]:
