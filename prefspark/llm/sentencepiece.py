@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.llm.common import materialize, mix, packed, powers, strings, text_of
@@ -50,6 +50,8 @@ FALLBACK_PENALTY = 10.0
 PREFIX = 4
 #: Units dealt to one task of the lattice.
 TASK_UNITS = 50_000
+#: Bytes of the packed unit table that go to the driver in one job.
+LOT_BYTES = 8 << 20
 
 
 class Vocabulary:
@@ -254,20 +256,24 @@ def encode_units(found: DataFrame, vocab: Vocabulary) -> DataFrame:
     piece = F.when(F.col("unit") == OWN_MARK, F.lit(0)).otherwise(F.coalesce("piece_id", F.lit(0)))
     edge = F.shiftleft(F.col("start") + F.col("len") - 1, 24) + F.shiftleft(F.col("start") - 1, 16) + piece
     lattice = edges.select("unit", edge.alias("e")).groupBy("unit").agg(F.sort_array(F.collect_list("e")).alias("edges"))
+    lattice = materialize(lattice, "lattice")
     scores = _listed(vocab.scores, "double")
     start_of = lambda e: F.shiftright(e, 16).bitwiseAND(F.lit(255))
     piece_of = lambda e: e.bitwiseAND(F.lit(0xFFFF))
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("edge")))
 
-    def step(best, e):
+    # The scores stand once in a plan that reads a table: the driver spells out every copy, at every stage of a plan.
+    scored = F.transform("edges", lambda e: F.struct(e.alias("edge"), F.get(scores, piece_of(e)).alias("score")))
+
+    def step(best, x):
         """best[k]: score and last edge of the best path over the first k characters."""
-        end = F.shiftright(e, 24)
-        total = F.get(best, start_of(e))["score"] + F.get(scores, piece_of(e))
+        e, end = x["edge"], F.shiftright(x["edge"], 24)
+        total = F.get(best, start_of(e))["score"] + x["score"]
         here = F.array(F.struct(total.alias("score"), e.alias("edge")))
         # Edges come by end: the path to an end is there already, or is the next of the array.
         return F.when(F.size(best) == end, F.concat(best, here)).when(total > F.get(best, end)["score"], F.concat(F.slice(best, F.lit(1), end), here)).otherwise(best)
 
-    best = lattice.select("unit", F.aggregate("edges", first, step, lambda best: F.transform(best, lambda x: x["edge"])).alias("last"))
+    best = lattice.select("unit", F.aggregate(scored, first, step, lambda best: F.transform(best, lambda x: x["edge"])).alias("last"))
     # Back from the end: each step takes the edge that ends where the one before starts.
     back = F.struct(F.length("unit").alias("at"), F.array().cast("array<int>").alias("path"))
 
@@ -352,7 +358,7 @@ class UnitTable:
 
         self.ids = join(ids, np.uint16)
         self.keys, self.sizes = join(keys, np.uint64), join(sizes, np.uint32)
-        self.begin = (np.cumsum(self.sizes, dtype=np.int64) - self.sizes).astype(np.uint32)
+        self.begin = np.cumsum(self.sizes, dtype=np.uint32) - self.sizes
         order = np.argsort(self.keys).astype(np.uint32)
         for name in ("keys", "sizes", "begin"):
             setattr(self, name, getattr(self, name)[order])
@@ -388,7 +394,7 @@ class UnitTable:
         return np.where(self.keys[at] == keys, at, -1)
 
 
-def pack_table(table: DataFrame) -> UnitTable:
+def pack_table(table: DataFrame, lot_bytes: int = LOT_BYTES) -> UnitTable:
     """Collect a unit table of bounded size in packed form."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -400,13 +406,21 @@ def pack_table(table: DataFrame) -> UnitTable:
                 yield pd.DataFrame({"k": [keys.tobytes()], "n": [sizes.tobytes()], "ids": [ids.tobytes()]})
 
     parts: tuple[list, list, list] = ([], [], [])
-    # A partition at a time: the driver holds the table once, and little more.
-    for r in table.select("unit", "ids").mapInPandas(pack, "k binary, n binary, ids binary").toLocalIterator():
+    for r in _by_lots(materialize(table.select("unit", "ids").mapInPandas(pack, "k binary, n binary, ids binary"), "packed_units"), lot_bytes):
         for part, name, kind in zip(parts, ("k", "n", "ids"), (np.uint64, np.uint32, np.uint16)):
             part.append(np.frombuffer(r[name], kind))
     return UnitTable(*parts)
 
 
+def _by_lots(rows: DataFrame, lot_bytes: int) -> Iterator[Row]:
+    """The rows of a table of binary columns, about ``lot_bytes`` of them collected at a time.
+
+    A job for every partition would cost the driver more memory than what a partition holds.
+    """
+    size = rows.agg(F.sum(sum((F.octet_length(c) for c in rows.columns), F.lit(0)))).first()[0] or 0
+    return rows.coalesce(-(-size // lot_bytes) or 1).toLocalIterator()
+
+
 def unit_table(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", table_units: int = TABLE_UNITS) -> tuple[DataFrame, DataFrame | None]:
     """The encoded units of all texts: those that travel, and the rest (None if all fit)."""
     spark = docs.sparkSession

@@ -246,3 +246,23 @@ def test_long_runs_are_cut_only_where_no_piece_goes_on(spark):
         for r in sentencepiece.encode(df, vocab, table_units=travelling, check=True).collect():
             assert list(r["ids"]) == uncut(texts[r["doc_id"]], vocab, pieces), r["doc_id"]
             assert r["round_trip"]
+
+
+def test_unit_table_costs_the_driver_few_jobs_and_a_short_plan(spark, capsys):
+    vocab = sentencepiece.Vocabulary()
+    units = [f"▁unit{i}" for i in range(400)]
+    found = spark.createDataFrame([(u,) for u in units], "unit string").repartition(40)
+    capsys.readouterr()
+    sentencepiece.encode_units(found, vocab).explain()
+    # Once in the plan: its other parts are a few thousand characters.
+    assert len(capsys.readouterr().out) < 1.5 * len(",".join(map(repr, vocab.scores)))
+    rows = [(u, [i, 0, 65_535]) for i, u in enumerate(units)]
+    table = spark.createDataFrame(rows, "unit string, ids array<int>").repartition(40)
+    for lot_bytes in (8 << 20, 200):
+        spark.sparkContext.setJobGroup(f"pack_{lot_bytes}", "")
+        packed = sentencepiece.pack_table(table, lot_bytes)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"pack_{lot_bytes}")
+        assert jobs and (len(jobs) < 20 or lot_bytes == 200)
+        ids, sizes = packed.ids_of(sentencepiece.keys_of(units))
+        assert (sizes == 3).all() and ids.tolist() == [i for _, own in rows for i in own]
